@@ -557,7 +557,11 @@ class Profiler:
         worst = F.max_by(F.struct("variable_name", pct), F.struct(pct, -F.col("ordinal")))
         per_table = rows.groupBy("table_name").agg(
             F.max("total_count").alias("row_count"),
-            F.bround(F.avg("valid_pct"), 2).alias("avg_valid_pct"),
+            # The mean is taken of decimals, so that ties round the same way on every run.
+            F.bround(
+                F.sum(F.col("valid_pct").cast("decimal(5,2)"))
+                / F.count("valid_pct").cast("decimal(20,0)"), 2
+            ).cast("double").alias("avg_valid_pct"),
             F.bround(F.min("valid_pct"), 2).alias("min_valid_pct"),
             F.bround(F.max(pct), 2).alias("max_missing_pct"),
             worst.alias("worst"),
