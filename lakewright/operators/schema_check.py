@@ -257,7 +257,7 @@ def expected_schema(
     table_hash = described.groupBy(*per_table).agg(
         F.sha2(F.concat_ws("|", lines), 256).alias("table_schema_hash")
     )
-    condition = [described[c].eqNullSafe(table_hash[c]) for c in per_table]
-    return described.join(table_hash, condition, "left").select(
-        *[described[c] for c in EXPECTED_COLUMNS], "column_schema_hash", "table_schema_hash"
+    condition = [F.col(f"c.{c}").eqNullSafe(F.col(f"t.{c}")) for c in per_table]
+    return described.alias("c").join(table_hash.alias("t"), condition, "left").select(
+        *[f"c.{c}" for c in EXPECTED_COLUMNS], "column_schema_hash", "table_schema_hash"
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["profiling"]
+MODULES = ["profiling", "ingestion", "dictionary", "harmonization"]
 
 
 def all_queries() -> dict:
