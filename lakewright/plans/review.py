@@ -82,7 +82,7 @@ def explore_metadata(
     return explore(metadata, where, ["lake_table_name", "lake_variable_name", "source_type"], n)
 
 
-def explore_pipeline_steps(steps: DataFrame, step_type=None, enabled_only=False):
+def explore_steps(steps: DataFrame, step_type=None, enabled_only=False):
     where = equals("step_type", step_type) + flagged("enabled", enabled_only)
     return explore(steps, where, ["step_order", "step_id"], None)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["profiling", "ingestion", "dictionary", "harmonization"]
+MODULES = ["profiling", "ingestion", "dictionary", "harmonization", "review"]
 
 
 def all_queries() -> dict:
