@@ -46,24 +46,45 @@ class Lake:
         self._fitted(zone, table, df).write.mode("append").insertInto(self.name(zone, table))
 
     def replace(self, zone: str, table: str, df: DataFrame, keys: tuple[str, ...] = ()) -> None:
-        """Build the table beside the old one and swap: a failing job leaves the old table,
-        and ``df`` may read the table it replaces."""
+        """Build the table in a place of its own and swap the catalog entry: a failing job
+        leaves the old table, ``df`` may read the table it replaces, and no data moves."""
         beside = f"swap_{table}_{uuid.uuid4().hex[:8]}"
+        path = f"{self._folder(zone)}/{table}__{uuid.uuid4().hex}"
         try:
-            self._create(zone, beside, df, keys)
+            self._create(zone, beside, df, keys, path)
         except Exception:
             self.drop(zone, beside)
+            self._remove(path)
             raise
+        old = self._own_path(zone, table)
         self.drop(zone, table)
         self.spark.sql(
             f"ALTER TABLE {self.name(zone, beside)} RENAME TO {self.name(zone, table)}"
         )
+        if old:
+            self._remove(old)
+
+    def _folder(self, zone: str) -> str:
+        return self.spark.catalog.getDatabase(f"{self.prefix}{zone}").locationUri.rstrip("/")
+
+    def _own_path(self, zone: str, table: str) -> str | None:
+        """Where a table made by ``replace`` keeps its data; dropping it leaves that behind."""
+        if not self.exists(zone, table):
+            return None
+        about = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(zone, table)}")
+        facts = {r["col_name"]: r["data_type"] for r in about.collect()}
+        return facts.get("Location") if facts.get("Type") == "EXTERNAL" else None
+
+    def _remove(self, path: str) -> None:
+        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        hadoop.getFileSystem(conf).delete(hadoop, True)
 
     def replace_slice(
         self, zone: str, table: str, df: DataFrame, values: dict[str, str]
     ) -> None:
         """Replace the rows whose key columns equal ``values`` by ``df``; other rows are not
-        read. The key columns partition the table."""
+        read. The key columns partition the table, which ``append`` or this call made."""
         keys = tuple(values)
         df = df.withColumns({k: F.lit(v) for k, v in values.items()})
         if not self.exists(zone, table):
@@ -79,11 +100,16 @@ class Lake:
                 f"ALTER TABLE {self.name(zone, table)} DROP IF EXISTS PARTITION ({spec})"
             )
 
-    def _create(self, zone: str, table: str, df: DataFrame, keys: tuple[str, ...]) -> None:
+    def _create(
+        self, zone: str, table: str, df: DataFrame, keys: tuple[str, ...],
+        path: str | None = None,
+    ) -> None:
         rest = [c for c in df.columns if c not in keys]
         writer = df.select(*[f"`{c}`" for c in rest], *keys).write.format("parquet")
         if keys:
             writer = writer.partitionBy(*keys)
+        if path:
+            writer = writer.option("path", path)
         writer.saveAsTable(self.name(zone, table))
 
     def _fitted(self, zone: str, table: str, df: DataFrame) -> DataFrame:
