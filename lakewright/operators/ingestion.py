@@ -14,6 +14,7 @@ from lakewright.functions.datatypes import lenient_cast, spark_type, strict_cast
 from lakewright.functions.names import key_name, normalized
 from lakewright.functions.text import blank_to_null, trim_blanks
 from lakewright.operators.lineage import batch_status, write_audit_event
+from lakewright.session import written
 from lakewright.sources import files as fl
 from lakewright.sources.lake import Lake
 
@@ -231,6 +232,16 @@ def _plain(path: str) -> str:
     return re.sub(r"^file:/+", "/", unquote(path))
 
 
+def _known_facts(facts: DataFrame) -> tuple[dict, dict]:
+    """Facts by path and the distinct headers by id. The files are read once; the driver holds
+    a short row per file and each different header once."""
+    header_id = F.sha2(F.to_json("header"), 256)
+    stored = written(facts.withColumn("header_id", header_id))
+    by_path = {r["path"]: r for r in stored.drop("header").collect()}
+    headers = stored.where("found").select("header_id", "header").distinct().collect()
+    return by_path, {r["header_id"]: tuple(r["header"]) for r in headers}
+
+
 def _load_group(
     lake: Lake, paths: list[str], header: list[str], lake_table: str,
     mapping: list[tuple[str, str]], lab_years: dict[str, int | None], ingest_id: str, options: dict,
@@ -264,7 +275,7 @@ def ingest_batch(
         .select("file_path", "logged_at_utc").collect()
     )
     logged = {r["file_path"]: r["logged_at_utc"] for r in pending}
-    facts = {r["path"]: r for r in fl.file_facts(spark, list(logged)).collect()}
+    facts, headers = _known_facts(fl.file_facts(spark, list(logged)))
     listed = spark.createDataFrame([(p,) for p in logged], "path string")
     homes = {r["path"]: r for r in resolve_lake_tables(listed, dictionary, source_type).collect()}
     wanted = F.lit(source_type.strip().lower())
@@ -291,7 +302,7 @@ def ingest_batch(
         if problem:
             results[path] = {"load_status": "error", "lake_table": table, "problem": problem}
             continue
-        header = tuple(fl.header_fields(fact["first_lines"]))
+        header = headers[fact["header_id"]]
         if not header:
             results[path] = {"load_status": "error", "lake_table": table, "problem": "empty file"}
             continue

@@ -1,9 +1,10 @@
 """Column profiles of one or many tables.
 
 All statistics come from one frequency table: every cell of every table becomes a
-(column, value) row and the rows are counted. The count combines inside each input partition before it
-shuffles, so a value or a NULL that fills a third of a table is one row per partition. Long
-texts travel as a digest. What is derived per column afterwards is as small as the schema.
+(column, value) row and the rows are counted, values in their own types. The count combines
+inside each input partition before it shuffles, so a value or a NULL that fills a third of a
+table is one row per partition. Long texts travel as a digest. What is derived per column
+afterwards is as small as the schema.
 """
 
 from __future__ import annotations
@@ -66,16 +67,45 @@ def _catalog_frame(spark: SparkSession, catalog: list[dict]) -> DataFrame:
     )
 
 
-def long_form(tables: dict[str, DataFrame], catalog: list[dict]) -> DataFrame:
-    """(col_id, value): every cell of every table as text."""
-    parts, start = [], 0
-    for df in tables.values():
-        texts = [tx.as_text(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields]
-        cells = df.select(F.posexplode(F.array(*texts)).alias("position", "value"))
-        parts.append(cells.select((F.col("position") + start).alias("col_id"), "value"))
-        start += len(texts)
-    assert start == len(catalog)
-    return reduce(DataFrame.unionByName, parts)
+def cells_by_type(
+    tables: dict[str, DataFrame], catalog: list[dict]
+) -> dict[str, tuple[T.DataType, DataFrame]]:
+    """(col_id, value) rows of all cells, one frame per column type. Values keep their type,
+    so each column is read once and only distinct values are ever turned into text."""
+    ids = {(c["table_name"], c["variable_name"]): c["col_id"] for c in catalog}
+    parts: dict[str, tuple[T.DataType, list[DataFrame]]] = {}
+    for table, df in tables.items():
+        fields: dict[str, list[T.StructField]] = {}
+        for f in df.schema.fields:
+            fields.setdefault(_family(f.dataType), []).append(f)
+        for family, group in fields.items():
+            entries = F.array(*[_cell(f.name, f.dataType) for f in group])
+            col_ids = F.array(*[F.lit(ids[table, f.name]) for f in group])
+            cells = df.select(F.posexplode(entries).alias("position", "value")).select(
+                F.element_at(col_ids, F.col("position") + 1).alias("col_id"), "value"
+            )
+            kind = group[0].dataType if family != "string" else T.StringType()
+            parts.setdefault(family, (kind, []))[1].append(cells)
+    return {
+        family: (kind, reduce(DataFrame.unionByName, frames))
+        for family, (kind, frames) in parts.items()
+    }
+
+
+def _family(data_type: T.DataType) -> str:
+    if isinstance(data_type, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return "bigint"
+    if isinstance(data_type, (T.StringType, T.ArrayType, T.MapType, T.StructType)):
+        return "string"
+    return data_type.simpleString()
+
+
+def _cell(name: str, data_type: T.DataType) -> Column:
+    c = F.col(f"`{name}`")
+    family = _family(data_type)
+    if family == "bigint":
+        return c.cast("bigint")
+    return tx.as_text(c, data_type) if family == "string" else c
 
 
 def is_long_text(c: Column) -> Column:
@@ -86,19 +116,72 @@ def is_long_text(c: Column) -> Column:
     )
 
 
-def frequencies(cells: DataFrame) -> DataFrame:
-    """(col_id, value, digest, n): how often each column holds each value. A long text is
-    known by its SHA-256 digest, with the start of the text as value."""
-    c = F.col("value")
-    return (
-        cells.select(
+def frequencies(cells: dict[str, tuple[T.DataType, DataFrame]], settings: dict) -> DataFrame:
+    """How often each column holds each value, with what later steps ask of a distinct value.
+
+    ``value`` is the text of the value; a long text is known by its SHA-256 ``digest``, with
+    the start of the text as value. ``kind`` is the missingness class, ``number`` the number
+    the text spells, ``key`` the upper-cased text of a possible placeholder and ``layouts``
+    the date layouts the text fits, one bit each.
+    """
+    return reduce(
+        DataFrame.unionByName,
+        [_typed_frequencies(kind, frame, settings) for kind, frame in cells.values()],
+    )
+
+
+def _typed_frequencies(data_type: T.DataType, cells: DataFrame, settings: dict) -> DataFrame:
+    v = F.col("value")
+    count = F.count(F.lit(1)).alias("n")
+    if isinstance(data_type, T.StringType):
+        counted = cells.select(
             "col_id",
-            F.when(is_long_text(c), F.substring(tx.trim_blanks(c), 1, HEAD_CHARS))
-            .otherwise(c).alias("value"),
-            F.when(is_long_text(c), F.sha2(c, 256)).alias("digest"),
+            F.when(is_long_text(v), F.substring(tx.trim_blanks(v), 1, HEAD_CHARS))
+            .otherwise(v).alias("value"),
+            F.when(is_long_text(v), F.sha2(v, 256)).alias("digest"),
+        ).groupBy("col_id", "value", "digest").agg(count)
+        counted = counted.withColumn("trimmed", tx.trim_blanks(v))
+    else:
+        counted = cells.groupBy("col_id", "value").agg(count).withColumns({
+            "native": v,
+            "value": tx.as_text(v, data_type),
+            "digest": F.lit(None).cast("string"),
+        }).withColumn("trimmed", F.col("value"))
+    trimmed = F.col("trimmed")
+    numeric, strings = _sentinel_lists(settings)
+    filled = F.when(v.isNull(), "na").otherwise("filled")
+    if isinstance(data_type, T.NumericType):
+        kind, layouts = filled, F.lit(0)
+        number = F.col("native").cast("double")
+        number = F.when(~F.isnan(number), number)
+        repeated = (number == F.floor(number)) & trimmed.rlike(tx.REPEATED_DIGIT)
+    elif isinstance(data_type, T.StringType):
+        kind = (
+            F.when(v.isNull(), "na").when(v == "", "empty")
+            .when(v.rlike(tx.WHITESPACE_ONLY), "whitespace").otherwise("filled")
         )
-        .groupBy("col_id", "value", "digest")
-        .agg(F.count(F.lit(1)).alias("n"))
+        number = F.when(trimmed.rlike(tx.NUMBER), trimmed.try_cast("double"))
+        repeated = trimmed.rlike(tx.REPEATED_DIGIT)
+        layouts = F.when(
+            trimmed.rlike(tx.MAY_BE_DATE),
+            reduce(lambda a, b: a + b, [
+                tx.date_layout_match(trimmed, layout).cast("int") * (1 << i)
+                for i, layout in enumerate(tx.DATE_LAYOUTS)
+            ]),
+        ).otherwise(0)
+    else:
+        kind, number, repeated = filled, F.lit(None).cast("double"), F.lit(False)
+        # Texts of dates and timestamps start with year-month-day, the first layout.
+        layouts = tx.date_layout_match(trimmed, tx.DATE_LAYOUTS[0]).cast("int")
+    candidate = F.col("digest").isNull() & (
+        F.upper(trimmed).isin(*numeric, *strings) | repeated
+    )
+    return counted.select(
+        "col_id", "value", "digest", "n",
+        kind.alias("kind"),
+        number.alias("number"),
+        F.when(candidate, F.upper(trimmed)).alias("key"),
+        layouts.alias("layouts"),
     )
 
 
@@ -122,48 +205,26 @@ def _spelling(key: Column, spellings: dict[str, str]) -> Column:
     return F.try_element_at(lookup, key)
 
 
-def classified(freq: DataFrame, settings: dict) -> DataFrame:
-    """Frequencies with what later steps ask of each distinct value: its missingness class,
-    its number, and its upper-cased text where it may be a placeholder."""
-    numeric, strings = _sentinel_lists(settings)
-    v, trimmed = F.col("value"), F.col("trimmed")
-    kind = (
-        F.when(v.isNull(), "na")
-        .when(v == "", "empty")
-        .when(v.rlike(tx.WHITESPACE_ONLY), "whitespace")
-        .otherwise("filled")
-    )
-    listed = F.upper(trimmed).isin(*numeric, *strings)
-    candidate = F.col("digest").isNull() & (listed | trimmed.rlike(tx.REPEATED_DIGIT))
-    return (
-        freq.withColumn("trimmed", tx.trim_blanks(v))
-        .withColumns({
-            "kind": kind,
-            "number": F.when(trimmed.rlike(tx.NUMBER), trimmed.try_cast("double")),
-            "key": F.when(candidate, F.upper(trimmed)),
-        })
-    )
-
-
 def value_groups(freq: DataFrame, catalog: DataFrame, settings: dict) -> DataFrame:
-    """Classified frequencies reduced to one row per column for ordinary values and one per
+    """Frequencies reduced to one row per column for ordinary values and one per
     placeholder candidate, with the column's totals, its inferred type and, for candidates,
     whether they are sentinels."""
     numeric, _ = _sentinel_lists(settings)
-    n, trimmed, kind = F.col("n"), F.col("trimmed"), F.col("kind")
+    n, kind = F.col("n"), F.col("kind")
     layouts = range(len(tx.DATE_LAYOUTS))
 
     def rows_if(cond: Column) -> Column:
         return F.coalesce(F.sum(F.when(cond, n)), F.lit(0))
 
-    has_text = F.coalesce(trimmed != "", F.lit(False))
+    has_text = F.col("has_text")
     has_number = F.col("number").isNotNull()
+    trimmed = tx.trim_blanks(F.col("value"))
     prepared = freq.join(
         F.broadcast(catalog.select("col_id", "is_identifier", "is_text")), "col_id"
     ).select(
-        "col_id", "is_identifier", "key", "n", "kind", "number", "trimmed",
+        "col_id", "is_identifier", "key", "n", "kind", "number", "layouts",
+        F.when(kind == "filled", trimmed != "").otherwise(False).alias("has_text"),
         F.when(F.col("is_text") & has_number, trimmed).alias("number_text"),
-        *[tx.date_layout_match(trimmed, tx.DATE_LAYOUTS[i]).alias(f"date_{i}") for i in layouts],
     )
     groups = prepared.groupBy("col_id", "is_identifier", "key").agg(
         F.sum(n).alias("rows"),
@@ -172,8 +233,10 @@ def value_groups(freq: DataFrame, catalog: DataFrame, settings: dict) -> DataFra
         rows_if(kind == "whitespace").alias("white_rows"),
         rows_if(has_text).alias("text_rows"),
         rows_if(has_number).alias("number_rows"),
-        rows_if(trimmed.isin(*numeric.values())).alias("listed_number_rows"),
-        *[rows_if(F.col(f"date_{i}")).alias(f"date_{i}") for i in layouts],
+        rows_if(F.col("key").isin(*numeric)).alias("listed_number_rows"),
+        *[
+            rows_if(F.col("layouts").bitwiseAND(1 << i) != 0).alias(f"date_{i}") for i in layouts
+        ],
         F.count_if(kind == "filled").alias("filled_values"),
         F.count_if(has_text & F.col("number_text").isNull()).alias("plain_values"),
         F.count_distinct("number_text").alias("number_texts"),
@@ -351,7 +414,9 @@ def overall_score(scores: DataFrame) -> DataFrame:
 
 def _valid_values(freq: DataFrame, groups: DataFrame) -> DataFrame:
     """Frequencies of values that are neither blank nor a sentinel of their column, with the
-    column's type and the mean used to centre its deviations."""
+    column's type and the mean used to centre its deviations. Both broadcast sides are as
+    small as the schema: one row per column, and per column at most one sentinel per listed
+    placeholder or, where frequent digits count, per one of its few values."""
     sentinels = found_sentinels(groups).select("col_id", "key")
     kinds = groups.groupBy("col_id").agg(
         F.max("inferred_type").alias("inferred_type"),
@@ -444,20 +509,24 @@ def top_values(freq: DataFrame, groups: DataFrame, settings: dict) -> DataFrame:
     )
 
 
-def with_whole_texts(tops: DataFrame, cells: DataFrame) -> DataFrame:
+def with_whole_texts(
+    tops: DataFrame, cells: dict[str, tuple[T.DataType, DataFrame]]
+) -> DataFrame:
     """Replace the start of long texts among ``tops`` by the whole text, read again from the
-    cells. Nothing is read when no long text is among them."""
+    text cells. Nothing is read when no long text is among them."""
+    if "string" not in cells:
+        return tops
     wanted = tops.where(F.col("digest").isNotNull()).select("col_id", "digest").distinct()
     c = F.col("value")
     whole = (
-        cells.where(is_long_text(c))
+        cells["string"][1].where(is_long_text(c))
         .select("col_id", F.sha2(c, 256).alias("digest"), c.alias("whole"))
         .join(F.broadcast(wanted), ["col_id", "digest"])
         .groupBy("col_id", "digest")
         .agg(F.any_value("whole").alias("whole"))
     )
     return (
-        tops.join(F.broadcast(whole), ["col_id", "digest"], "left")
+        tops.join(whole, ["col_id", "digest"], "left")
         .withColumn("value", F.coalesce("whole", "value"))
         .drop("whole")
     )
@@ -491,8 +560,8 @@ class Profiler:
         self.small_distinct = small_distinct
         self.columns = column_catalog(tables, self.settings)
         self.catalog = _catalog_frame(self.spark, self.columns)
-        self.cells = long_form(tables, self.columns)
-        self.freq = classified(frequencies(self.cells), self.settings)
+        self.cells = cells_by_type(tables, self.columns)
+        self.freq = frequencies(self.cells, self.settings)
         self.stamp = {"ingest_id": F.lit(ingest_id), "schema_name": F.lit(schema_name)}
         self.groups = value_groups(self.freq, self.catalog, self.settings)
         self._stored = False
@@ -624,8 +693,7 @@ class Profiler:
         )
         present = groups.select("col_id").distinct()
         joined = (
-            present.join(F.broadcast(modes), "col_id", "left")
-            .join(F.broadcast(stats), "col_id", "left")
+            present.join(modes, "col_id", "left").join(F.broadcast(stats), "col_id", "left")
         )
         numeric = F.col("inferred_type") == "numeric"
         described = ~numeric | F.col("stat_min").isNotNull()

@@ -47,17 +47,14 @@ def exact_quantiles(
     first = items.groupBy("k", _log_bucket(F.col("v")).alias("bucket")).agg(
         F.sum("w").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")
     )
-    per_key = Window.partitionBy("k")
-    wanted = F.array(*[F.lit(float(f)) for f in fractions])
-    position = (F.sum("n").over(per_key) - 1) * F.col("fraction")
-    targets = first.withColumn("fraction", F.explode(wanted)).withColumn(
-        "at", F.sum("n").over(Window.partitionBy("k", "fraction"))
+    total = F.sum("n").over(Window.partitionBy("k", "fraction"))
+    targets = (
+        first.withColumn("fraction", F.explode(F.array(*[F.lit(float(f)) for f in fractions])))
+        .withColumn("at", (total - 1) * F.col("fraction"))
+        .withColumn("rank", F.explode(F.array_distinct(F.array(F.floor("at"), F.ceil("at")))))
+        .withColumn("target", F.col("rank"))
     )
-    targets = targets.withColumn("at", (F.col("at") - 1) * F.col("fraction"))
-    targets = targets.withColumn(
-        "rank", F.explode(F.array(F.floor("at"), F.ceil("at")))
-    ).withColumn("target", F.col("rank"))
-    held = _rank_holders(targets.distinct(), ["k", "fraction", "target"])
+    held = _rank_holders(targets, ["k", "fraction", "target"])
     columns = ["k", "fraction", "at", "target", "rank", "low", "high"]
     held = held.select(columns)
     schema = held.schema

@@ -187,6 +187,16 @@ def hashed(columns: list[str]) -> Column:
     )
 
 
+def combined_hash(hashes: Column) -> Column:
+    """One hash of a set of SHA-256 texts in any order: their parts are summed, so that no
+    group of hashes has to be gathered in one place."""
+    parts = [
+        F.sum(F.conv(F.substring(hashes, at, 15), 16, 10).cast("decimal(38,0)")).cast("string")
+        for at in (1, 16, 31, 46)
+    ]
+    return F.sha2(F.concat_ws("|", *parts), 256)
+
+
 EXPECTED_COLUMNS = [
     "schema_version", "table_schema", "lake_table_name", "lake_variable_name", "data_type",
     "udt_name", "length", "precision", "scale", "default_value", "is_nullable", "is_required",
@@ -251,11 +261,8 @@ def expected_schema(
         ),
     }).withColumn("column_schema_hash", hashed(EXPECTED_COLUMNS))
     per_table = ["schema_version", "lake_table_name", "table_schema"]
-    lines = F.sort_array(F.collect_list(
-        F.concat_ws("||", "lake_variable_name", "column_schema_hash")
-    ))
     table_hash = described.groupBy(*per_table).agg(
-        F.sha2(F.concat_ws("|", lines), 256).alias("table_schema_hash")
+        combined_hash(F.col("column_schema_hash")).alias("table_schema_hash")
     )
     condition = [F.col(f"c.{c}").eqNullSafe(F.col(f"t.{c}")) for c in per_table]
     return described.alias("c").join(table_hash.alias("t"), condition, "left").select(

@@ -154,6 +154,9 @@ _HASH_COLUMNS = ["schema_version", "table_schema", "lake_table_name", "lake_vari
                  "target_type"]
 _HASH = "sha256(concat_ws('|', " + ", ".join(
     f"coalesce(CAST({c} AS VARCHAR), '')" for c in _HASH_COLUMNS) + "))"
+_SUMS = ", ".join(
+    f"CAST(sum(CAST('0x' || substr(column_schema_hash, {at}, 15) AS HUGEINT)) OVER w AS VARCHAR)"
+    for at in (1, 16, 31, 46))
 _EXPECTED_SCHEMA = f"""
 WITH d AS (
   SELECT lower(lake_table_name) AS lake_table_name, lower(lake_variable_name)
@@ -183,8 +186,7 @@ j AS (
   LEFT JOIN k USING (table_schema, lake_table_name, lake_variable_name)
   LEFT JOIN t USING (lake_table_name, lake_variable_name)),
 h AS (SELECT *, {_HASH} AS column_schema_hash FROM j)
-SELECT * EXCLUDE (default_value, udt_name), sha256(string_agg(lake_variable_name || '||'
-  || column_schema_hash, '|' ORDER BY lake_variable_name || '||' || column_schema_hash) OVER w)
+SELECT * EXCLUDE (default_value, udt_name), sha256(concat_ws('|', {_SUMS}))
   AS table_schema_hash FROM h
 WINDOW w AS (PARTITION BY schema_version, lake_table_name, table_schema)"""
 

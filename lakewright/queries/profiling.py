@@ -11,7 +11,6 @@ from lakewright.operators.profiling import (
 from lakewright.operators.quantiles import exact_quantiles
 from lakewright.operators.settings import DEFAULTS, profiling_settings
 from lakewright.queries.common import derive, load, plain
-from lakewright.session import spread
 
 # A raw, all-text copy of orders whose values carry the blanks and placeholders real extracts
 # have: whole groups of values are written as NULL, empty, spaces or a placeholder.
@@ -60,16 +59,14 @@ COLUMNS = {
 }
 SMALL = ["raw_orders", "customer", "supplier", "part", "nation", "region", "labels"]
 TEXTS = ["documents", "pages", "conversations", "benchmark", "events"]
-LARGE = ["raw_orders", "lineitem", "events", "documents", "pages", "conversations"]
 ALL = [t for t in COLUMNS if t != "orders"]
 
 
 def tables(spark: SparkSession, sf_dir: str, names: list[str]) -> dict[str, DataFrame]:
-    out = {}
-    for n in names:
-        df = derive(spark, sf_dir, DERIVED[n]) if n in DERIVED else load(spark, sf_dir, n)
-        out[n] = spread(df) if n in LARGE else df
-    return out
+    return {
+        n: derive(spark, sf_dir, DERIVED[n]) if n in DERIVED else load(spark, sf_dir, n)
+        for n in names
+    }
 
 
 def profiler(spark: SparkSession, sf_dir: str, names: list[str], **options) -> Profiler:

@@ -48,10 +48,3 @@ def written(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(spark)}/lakewright-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def spread(scan: DataFrame) -> DataFrame:
-    """A file scan that would keep most cores idle, dealt out to all of them. For work that
-    costs far more per row than moving the row; leaves scans of many partitions alone."""
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() * 2 <= cores else scan

@@ -16,14 +16,14 @@ from lakewright.functions.names import normalize_name
 
 FACTS_SCHEMA = (
     "path string, found boolean, file_size_bytes bigint, checksum string, "
-    "first_lines array<string>, problem string"
+    "header array<string>, problem string"
 )
+FIRST_LINES = 12
 # multiLine keeps line ends inside quotes, at the price of one task per file; files known to
 # have none can be read in splits by passing quoted_newlines=False.
 HEAD_BYTES = 1 << 20
 CHUNK_BYTES = 1 << 22
 CSV_OPTIONS = {"quote": '"', "escape": '"', "multiLine": True}
-NA_TEXTS = ("", "NA")
 
 
 def discover(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
@@ -70,15 +70,14 @@ def _facts_of(path: str) -> dict:
                 size += len(chunk)
                 if len(head) < HEAD_BYTES:
                     head += chunk[: HEAD_BYTES - len(head)]
-        lines = head.decode("utf-8-sig", "replace").splitlines()[:12]
         return dict(path=path, found=True, file_size_bytes=size, checksum=digest.hexdigest(),
-                    first_lines=lines, problem=None)
+                    header=header_fields(head.decode("utf-8-sig", "replace")), problem=None)
     except FileNotFoundError:
         problem, found = "file does not exist", False
     except OSError as error:
         problem, found = str(error), False
     return dict(path=path, found=found, file_size_bytes=None, checksum=None,
-                first_lines=None, problem=problem)
+                header=None, problem=problem)
 
 
 def _facts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -89,17 +88,16 @@ def _facts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def file_facts(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Size, MD5 and first lines of each file, streamed in one task per file; a file that
-    cannot be read is a row with ``found`` false."""
+    """Size, MD5 and header of each file, streamed in one task per file; a file that cannot
+    be read is a row with ``found`` false."""
     listed = spark.createDataFrame([(p,) for p in paths], "path string")
     slots = max(1, min(len(paths), 4096))
     return listed.repartition(slots, "path").mapInPandas(_facts, FACTS_SCHEMA)
 
 
-def header_fields(first_lines: list[str], delimiter: str = ",") -> list[str]:
-    if not first_lines:
-        return []
-    return next(csv.reader(io.StringIO("\n".join(first_lines)), delimiter=delimiter), [])
+def header_fields(text: str, delimiter: str = ",") -> list[str]:
+    """Fields of the first record of a text."""
+    return next(csv.reader(io.StringIO(text), delimiter=delimiter), [])
 
 
 def _text_schema(width: int) -> T.StructType:
@@ -115,8 +113,9 @@ def read_text_csv(
     quoted_newlines: bool = True,
 ) -> DataFrame:
     """Files that share one header, all columns text. Columns come in file order under the
-    normalized names (the first of equal names wins) next to ``_source_file``. Text is kept
-    as written unless ``na_values`` names texts to read as NULL."""
+    normalized names (the first of equal names wins) next to ``_source_file``. A field with
+    nothing between its commas is NULL; other text is kept as written, blanks included, unless
+    ``na_values`` names texts to read as NULL."""
     reader = spark.read.options(
         header=True, sep=delimiter, nullValue="\u0000", emptyValue="",
         ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
@@ -147,11 +146,11 @@ def read_csv_strict(
     facts = file_facts(spark, [path]).first()
     if not facts["found"]:
         return None
-    lines = facts["first_lines"]
-    header = header_fields(lines)
+    header = facts["header"]
     if set(expected) & {normalize_name(h) for h in header}:
         return read_text_csv(spark, [path], header).drop("_source_file")
-    widths = [len(header_fields([line])) if line.strip() else 0 for line in lines]
+    lines = [r["value"] for r in spark.read.text(path).limit(FIRST_LINES).collect()]
+    widths = [len(header_fields(line)) if line.strip() else 0 for line in lines]
     start = next((i for i, w in enumerate(widths[: max_skip + 1]) if w == len(expected)), None)
     if start is None:
         return None

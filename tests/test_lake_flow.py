@@ -87,7 +87,7 @@ def test_ingest_batch(lake, incoming):
     result = ingest(lake, incoming, type_decisions=decisions(lake.spark))
     assert (result["status"], result["n_files"], result["n_error"]) == ("success", 3, 0)
     people = lake.read("raw", "people").orderBy("patient_id").collect()
-    assert [r["weight_kg"] for r in people] == ["70.5", ""]
+    assert [r["weight_kg"] for r in people] == ["70.5", None]
     assert people[0]["absent"] is None and people[0]["_ingest_id"] == "I1"
     labs = {r["test_name"]: (r["value"], r["lab_year"]) for r in lake.read("raw", "labs").collect()}
     assert labs == {"Na": ("135.5", "2019"), "K": ("4", "2019"), "Ca": ("1e3", "2020")}

@@ -212,5 +212,6 @@ def test_file_facts_on_many_files(spark, tmp_path):
     assert len(found) == 5
     facts = fl.file_facts(spark, [r["path"] for r in found] + [str(tmp_path / "no.csv")]).collect()
     assert sum(r["found"] for r in facts) == 5
-    header = fl.header_fields(next(r for r in facts if r["found"])["first_lines"])
-    assert header == ["a\nb", "c"]
+    assert all(r["header"] == ["a\nb", "c"] for r in facts if r["found"])
+    missing = [r for r in facts if not r["found"]]
+    assert missing[0]["problem"] == "file does not exist" and missing[0]["checksum"] is None
