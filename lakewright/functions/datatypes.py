@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakewright.functions.text import GUARDED_NUMBER, guarded_number, trim_blanks
+from lakewright.functions.text import NUMBER, guarded_number, trim_blanks
 
 # Which Spark type holds each declared type.
 SPARK_TYPES: dict[str, T.DataType] = {
@@ -66,8 +66,25 @@ TYPE_RANK = {
     "TEXT": -1,
 }
 
-DATE_TEXT = ["yyyy-M-d", "M/d/yyyy", "yyyy/M/d", "yyyyMMdd", "d-MMM-yyyy"]
-CLOCK_TEXT = ["H:m:s", "H:m", "h:m:s a", "h:m a"]
+# How dates and times are written in extracts. Each text is parsed by the one
+# pattern its shape calls for, so that texts which fit none cost a comparison and no more.
+DATE_TEXT = [
+    (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"),
+    (r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"),
+    (r"^\d{8}$", "yyyyMMdd"),
+    (r"^\d{1,2}-[A-Za-z]{3}-\d{4}$", "d-MMM-yyyy"),
+]
+MOMENT_TEXT = [
+    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}(:\d{1,2})?$", "M/d/yyyy H:m[:s]"),
+    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}(:\d{1,2})? [AaPp][Mm]$", "M/d/yyyy h:m[:s] a"),
+    (r"^\d{4}/\d{1,2}/\d{1,2} \d{1,2}:\d{1,2}(:\d{1,2})?$", "yyyy/M/d H:m[:s]"),
+]
+CLOCK_TEXT = [
+    (r"^\d{1,2}:\d{1,2}(:\d{1,2})?$", "H:m[:s]"),
+    (r"^\d{1,2}:\d{1,2}(:\d{1,2})? [AaPp][Mm]$", "h:m[:s] a"),
+]
+ISO_START = r"^\d{4}-\d{1,2}-\d{1,2}"
+WHOLE_NUMBER = r"^[+-]?[0-9]+$"
 
 
 def base_name(declared: str) -> str:
@@ -144,8 +161,12 @@ def type_rank(sql_type: Column) -> Column:
     return F.coalesce(F.try_element_at(ranks, base), F.lit(-1))
 
 
-def _first_parsed(c: Column, formats: list[str]) -> Column:
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats])
+def _parsed(c: Column, shapes: list[tuple[str, str]]) -> Column:
+    """The moment a text spells, by the pattern of the shape it has; NULL without one."""
+    return F.coalesce(*[
+        F.when(c.rlike(shape), F.try_to_timestamp(c, F.lit(pattern)))
+        for shape, pattern in shapes
+    ])
 
 
 def _must_parse(c: Column, parsed: Column, wanted: str) -> Column:
@@ -164,16 +185,15 @@ def strict_cast(c: Column, declared: str) -> Column:
         return F.substring(c, 1, int(sized.group(1)))
     trimmed = trim_blanks(c)
     if is_time(declared):
-        clock = F.date_format(_first_parsed(trimmed, CLOCK_TEXT), "HH:mm:ss")
+        clock = F.date_format(_parsed(trimmed, CLOCK_TEXT), "HH:mm:ss")
         return _must_parse(trimmed, clock, declared)
     if isinstance(target, T.DateType):
-        day = F.coalesce(trimmed.try_cast("date"), _first_parsed(trimmed, DATE_TEXT).cast("date"))
+        iso = F.when(trimmed.rlike(ISO_START), trimmed.try_cast("date"))
+        day = F.coalesce(iso, _parsed(trimmed, DATE_TEXT).cast("date"))
         return _must_parse(trimmed, day, declared)
     if isinstance(target, (T.TimestampNTZType, T.TimestampType)):
-        formats = [f"{d} {t}" for d in DATE_TEXT[1:3] for t in CLOCK_TEXT] + DATE_TEXT
-        moment = F.coalesce(
-            trimmed.try_cast(target), _first_parsed(trimmed, formats).cast(target)
-        )
+        iso = F.when(trimmed.rlike(ISO_START), trimmed.try_cast(target))
+        moment = F.coalesce(iso, _parsed(trimmed, MOMENT_TEXT + DATE_TEXT).cast(target))
         return _must_parse(trimmed, moment, declared)
     if isinstance(target, T.BooleanType):
         switch = F.when(F.lower(trimmed) == "on", "true").when(F.lower(trimmed) == "off", "false")
@@ -189,21 +209,18 @@ def lenient_cast(c: Column, descriptor: str) -> Column:
     present = F.when(~trimmed.isin("", "NA"), trimmed)
     kind = descriptor.strip().lower()
     if kind == "integer":
-        return present.try_cast("int")
+        return F.when(present.rlike(WHOLE_NUMBER), present.try_cast("int"))
     if kind == "boolean":
         return F.when(present.isin("T", "TRUE", "True", "true", "t", "1"), F.lit(True)).when(
             present.isin("F", "FALSE", "False", "false", "f", "0"), F.lit(False)
         )
     if kind == "timestamp":
-        return present.try_cast("timestamp_ntz")
+        return F.when(present.rlike(ISO_START), present.try_cast("timestamp_ntz"))
     if kind == "date":
-        return F.coalesce(
-            F.try_to_timestamp(present, F.lit("yyyy-M-d")),
-            F.try_to_timestamp(present, F.lit("yyyy/M/d")),
-        ).cast("date")
+        shapes = [(ISO_START + "$", "yyyy-M-d"), (r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d")]
+        return _parsed(present, shapes).cast("date")
     if kind.startswith("numeric("):
-        return F.when(present.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"),
-                      present.try_cast("double"))
+        return F.when(present.rlike(NUMBER), present.try_cast("double"))
     return c
 
 
@@ -215,19 +232,3 @@ def convert(c: Column, source: T.DataType, target: T.DataType | None) -> Column:
     if isinstance(source, T.StringType) and isinstance(target, T.NumericType):
         return guarded_number(c, target)
     return c.cast(target)
-
-
-__all__ = [
-    "GUARDED_NUMBER",
-    "SPARK_TYPES",
-    "TYPE_RANK",
-    "convert",
-    "declared_name",
-    "is_time",
-    "lenient_cast",
-    "normalized_type",
-    "spark_type",
-    "strict_cast",
-    "type_descriptor",
-    "type_rank",
-]

@@ -51,7 +51,8 @@ def to_number(c: Column) -> Column:
 def guarded_number(c: Column, data_type: T.DataType) -> Column:
     """Text to a numeric type, NULL where the text is not strictly a number: ``.5`` and
     ``1e3`` pass, ``5.``, ``+5`` and ``abc`` do not."""
-    return F.when(c.rlike(GUARDED_NUMBER), c.try_cast(data_type))
+    pattern = r"^-?[0-9]+$" if isinstance(data_type, T.IntegralType) else GUARDED_NUMBER
+    return F.when(c.rlike(pattern), c.try_cast(data_type))
 
 
 def date_layout_match(c: Column, layout: tuple[str, str, str, str]) -> Column:

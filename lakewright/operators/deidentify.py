@@ -54,9 +54,13 @@ def _hash(value: Column, salt: str, size: int, strong: bool) -> Column:
 
 
 def birth_date(c: Column) -> Column:
+    """The date a text starts with, year first; NULL without one."""
+    def start(pattern: str, fmt: str) -> Column:
+        found = F.when(c.rlike(pattern), F.regexp_extract(c, pattern, 0))
+        return F.try_to_timestamp(found, F.lit(fmt))
+
     return F.coalesce(
-        F.try_to_timestamp(F.regexp_extract(c, r"^\d{1,4}-\d{1,2}-\d{1,2}", 0), F.lit("y-M-d")),
-        F.try_to_timestamp(F.regexp_extract(c, r"^\d{1,4}/\d{1,2}/\d{1,2}", 0), F.lit("y/M/d")),
+        start(r"^\d{1,4}-\d{1,2}-\d{1,2}", "y-M-d"), start(r"^\d{1,4}/\d{1,2}/\d{1,2}", "y/M/d")
     ).cast("date")
 
 
