@@ -65,13 +65,15 @@ def date_layout_match(c: Column, layout: tuple[str, str, str, str]) -> Column:
 
 
 def as_text(c: Column, data_type: T.DataType) -> Column:
-    """The text a typed column is profiled as: whole doubles print without a fraction and
+    """The text a typed column is profiled as: numbers print without trailing zeros and
     booleans in capitals, so typed and text copies of a column profile alike."""
     if isinstance(data_type, T.StringType):
         return c
     if isinstance(data_type, (T.DoubleType, T.FloatType)):
         whole = (c == F.floor(c)) & (F.abs(c) < F.lit(1e15))
         return F.when(whole, c.try_cast("bigint").cast("string")).otherwise(c.cast("string"))
+    if isinstance(data_type, T.DecimalType) and data_type.scale > 0:
+        return F.regexp_replace(c.cast("string"), r"\.?0+$", "")
     if isinstance(data_type, T.BooleanType):
         return F.upper(c.cast("string"))
     if isinstance(data_type, (T.ArrayType, T.MapType, T.StructType)):

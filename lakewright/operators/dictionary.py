@@ -47,19 +47,30 @@ def load_dictionary(df: DataFrame, source_type: str | None = None) -> DataFrame:
     return out if source_type is None else out.where(F.col("source_type") == source_type)
 
 
-def _field_rows(df: DataFrame, value: str) -> DataFrame:
-    texts = df.select(*KEY, *[F.col(c).cast("string").alias(c) for c in TRACKED_FIELDS])
-    return texts.unpivot(KEY, TRACKED_FIELDS, "field_changed", value)
+def _texts(df: DataFrame, name: str) -> DataFrame:
+    fields = F.struct(*[F.col(c).cast("string").alias(c) for c in TRACKED_FIELDS])
+    return df.select(*KEY, fields.alias(name))
 
 
 def dictionary_changes(new: DataFrame, current: DataFrame) -> DataFrame:
     """Field-level changes from ``current`` to ``new``, one row per variable and field. All
     fields of added and removed variables are listed, of kept ones those whose text differs
-    (NULL and empty text are the same). With an empty ``current`` every row is INITIAL."""
+    (NULL and empty text are the same). With an empty ``current`` every row is INITIAL.
+
+    Variables are joined once, whole; fields become rows only after the join.
+    """
     none_yet = current.isEmpty()
-    joined = _field_rows(new, "new_value").withColumn("in_new", F.lit(True)).join(
-        _field_rows(current, "old_value").withColumn("in_old", F.lit(True)),
-        [*KEY, "field_changed"], "full_outer",
+    joined = _texts(new, "new").join(_texts(current, "old"), KEY, "full_outer")
+    entries = F.array(*[
+        F.struct(
+            F.lit(f).alias("field_changed"), F.col(f"old.{f}").alias("old_value"),
+            F.col(f"new.{f}").alias("new_value"),
+        )
+        for f in TRACKED_FIELDS
+    ])
+    rows = joined.select(
+        *KEY, F.col("new").isNotNull().alias("in_new"), F.col("old").isNotNull().alias("in_old"),
+        F.inline(entries),
     )
     old, new_value = F.col("old_value"), F.col("new_value")
     kept = F.col("in_new") & F.col("in_old")
@@ -70,11 +81,11 @@ def dictionary_changes(new: DataFrame, current: DataFrame) -> DataFrame:
 
     change = (
         F.when(F.lit(none_yet), "INITIAL")
-        .when(F.col("in_old").isNull(), "ADD")
-        .when(F.col("in_new").isNull(), "REMOVE")
+        .when(~F.col("in_old"), "ADD")
+        .when(~F.col("in_new"), "REMOVE")
         .when(differs, "UPDATE")
     )
-    return joined.select(
+    return rows.select(
         *KEY, "field_changed", value(old).alias("old_value"),
         value(new_value).alias("new_value"), change.alias("change_type"),
     ).where(F.col("change_type").isNotNull())

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from datetime import datetime, timezone
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -226,9 +227,8 @@ def _write_files(lake: Lake, ingest_id: str, files: list[dict]) -> None:
     lake.replace_slice("governance", "ingest_file_log", df.coalesce(1), {"ingest_id": ingest_id})
 
 
-def _plain(path: str) -> str:
-    from urllib.parse import unquote
-
+def plain_path(path: str) -> str:
+    """A path as it was given: local paths without their scheme, escapes undone."""
     return re.sub(r"^file:/+", "/", unquote(path))
 
 
@@ -337,7 +337,7 @@ def ingest_batch(
             lake.read("raw", table).where(F.col("_ingest_id") == ingest_id)
             .groupBy("_source_file").count().collect()
         )
-        counts.update({_plain(r["_source_file"]): r["count"] for r in per_file})
+        counts.update({plain_path(r["_source_file"]): r["count"] for r in per_file})
     log = []
     for path, result in results.items():
         fact, good = facts[path], result["load_status"] == "success"
@@ -345,7 +345,7 @@ def ingest_batch(
             "path": path, "logged_at": logged[path], **result,
             "file_size_bytes": fact["file_size_bytes"] if good else None,
             "checksum": fact["checksum"] if good else None,
-            "row_count": counts.get(_plain(path), 0) if good else None,
+            "row_count": counts.get(plain_path(path), 0) if good else None,
         })
     _write_files(lake, ingest_id, log)
 
@@ -379,8 +379,7 @@ def ingest_folder(
     """Ingest every CSV file of a folder as one batch. Without a source type it is the one
     whose dictionary rows name the files (of several, the first by name)."""
     found = fl.discover(lake.spark, folder)
-    paths = sorted(_plain(r["path"]) if r["path"].startswith("file:") else r["path"]
-                   for r in found.select("path").collect())
+    paths = sorted(plain_path(r["path"]) for r in found.select("path").collect())
     if not paths:
         raise FileNotFoundError(f"no CSV files in {folder}")
     if source_type is None:

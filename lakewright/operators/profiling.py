@@ -130,6 +130,10 @@ def frequencies(cells: dict[str, tuple[T.DataType, DataFrame]], settings: dict)
     )
 
 
+def _finite(number: Column) -> Column:
+    return F.when(F.abs(number) < float("inf"), number)
+
+
 def _typed_frequencies(data_type: T.DataType, cells: DataFrame, settings: dict) -> DataFrame:
     v = F.col("value")
     count = F.count(F.lit(1)).alias("n")
@@ -152,15 +156,14 @@ def _typed_frequencies(data_type: T.DataType, cells: DataFrame, settings: dict)
     filled = F.when(v.isNull(), "na").otherwise("filled")
     if isinstance(data_type, T.NumericType):
         kind, layouts = filled, F.lit(0)
-        number = F.col("native").cast("double")
-        number = F.when(~F.isnan(number), number)
+        number = _finite(F.col("native").cast("double"))
         repeated = (number == F.floor(number)) & trimmed.rlike(tx.REPEATED_DIGIT)
     elif isinstance(data_type, T.StringType):
         kind = (
             F.when(v.isNull(), "na").when(v == "", "empty")
             .when(v.rlike(tx.WHITESPACE_ONLY), "whitespace").otherwise("filled")
         )
-        number = F.when(trimmed.rlike(tx.NUMBER), trimmed.try_cast("double"))
+        number = _finite(F.when(trimmed.rlike(tx.NUMBER), trimmed.try_cast("double")))
         repeated = trimmed.rlike(tx.REPEATED_DIGIT)
         layouts = F.when(
             trimmed.rlike(tx.MAY_BE_DATE),

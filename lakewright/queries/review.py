@@ -78,8 +78,8 @@ SELECT CASE WHEN l_returnflag = 'A' THEN 'labs' WHEN l_returnflag = 'N' THEN 'vi
 FROM {lineitem}
 """
 VALIDATED = """
-SELECT CASE WHEN l_returnflag = 'A' THEN 'CISIR' WHEN l_returnflag = 'N' THEN 'CLARITY'
-       ELSE 'TRAUMA_REGISTRY' END AS source_type,
+SELECT CASE WHEN l_returnflag = 'A' THEN 'REG_A' WHEN l_returnflag = 'N' THEN 'REG_B'
+       ELSE 'REG_C' END AS source_type,
        'ING_' || CAST(l_orderkey AS STRING) AS ingest_id
 FROM {lineitem}
 """

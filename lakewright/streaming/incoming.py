@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from lakewright.operators.ingestion import _plain, ingest_batch, open_batch
+from lakewright.operators.ingestion import ingest_batch, open_batch, plain_path
 from lakewright.sources.lake import Lake
 
 
@@ -29,8 +29,7 @@ def ingest_arrivals(
 
     def load(batch: DataFrame, number: int) -> None:
         ingest_id = f"{prefix}_{source_id}_{number:08d}"
-        paths = sorted(_plain(r["path"]) if r["path"].startswith("file:") else r["path"]
-                       for r in batch.collect())  # at most max_files paths
+        paths = sorted(plain_path(r["path"]) for r in batch.collect())  # at most max_files
         if not paths:
             return
         known = None

@@ -23,14 +23,14 @@ DICT_COLUMNS = (
     "validated_table_target string, validated_variable_name string"
 )
 DICTIONARY = [
-    ("CISIR", "Patients", "Patient ID", "text", "people", "patient_id", "Y", "demographics",
+    ("REG_A", "Patients", "Patient ID", "text", "people", "patient_id", "Y", "demographics",
      "patient_key"),
-    ("CISIR", "Patients", "Weight (kg)", "text", "people", "weight_kg", "N",
+    ("REG_A", "Patients", "Weight (kg)", "text", "people", "weight_kg", "N",
      "demographics, vitals", "weight_kg"),
-    ("CISIR", "Patients", "Born", "text", "people", "birth_date", "N", "demographics", "born"),
-    ("CISIR", "Patients", "Absent", "text", "people", "absent", "N", None, None),
-    ("CISIR", "lab_results", "Value", "text", "labs", "value", "N", "labs", "result_value"),
-    ("CISIR", "lab_results", "Test Name", "text", "labs", "test_name", "N", "labs", "test_name"),
+    ("REG_A", "Patients", "Born", "text", "people", "birth_date", "N", "demographics", "born"),
+    ("REG_A", "Patients", "Absent", "text", "people", "absent", "N", None, None),
+    ("REG_A", "lab_results", "Value", "text", "labs", "value", "N", "labs", "result_value"),
+    ("REG_A", "lab_results", "Test Name", "text", "labs", "test_name", "N", "labs", "test_name"),
 ]
 TYPES = [
     ("people", "weight_kg", "text", "NUMERIC(6,2)", "ok"),
@@ -128,20 +128,20 @@ def test_missing_and_unknown_files(lake, incoming):
     ing.open_batch(lake, "I1", "SRC", paths)
     pending = lake.read("governance", "ingest_file_log").collect()
     assert {r["load_status"] for r in pending} == {"pending"} and len(pending) == 3
-    result = ing.ingest_batch(lake, "I1", "SRC", "CISIR", dictionary(lake.spark))
+    result = ing.ingest_batch(lake, "I1", "SRC", "REG_A", dictionary(lake.spark))
     assert (result["status"], result["n_files"], result["n_success"]) == ("partial", 3, 1)
     log = {r["file_name"]: r for r in lake.read("governance", "ingest_file_log").collect()}
     assert log["gone.csv"]["load_status"] == "error" and log["gone.csv"]["row_count"] is None
     assert log["strange.csv"]["lake_table_name"] is None
     # A repeated run replaces the batch's own rows.
-    ing.ingest_batch(lake, "I1", "SRC", "CISIR", dictionary(lake.spark))
+    ing.ingest_batch(lake, "I1", "SRC", "REG_A", dictionary(lake.spark))
     assert lake.read("raw", "people").count() == 2
 
 
 def test_new_columns_widen_raw_table(lake, incoming):
     ingest(lake, incoming)
     more = lake.spark.createDataFrame(
-        [*DICTIONARY, ("CISIR", "Patients", "Extra", "text", "people", "extra", "N", None, None)],
+        [*DICTIONARY, ("REG_A", "Patients", "Extra", "text", "people", "extra", "N", None, None)],
         DICT_COLUMNS)
     ing.ingest_folder(lake, str(incoming), "I2", "SRC", more)
     rows = {(r["_ingest_id"], r["patient_id"]): r["extra"]
@@ -162,7 +162,7 @@ def test_validation(lake, incoming):
     codes = {(r["issue_code"], r["lake_variable_name"]) for r in logged.collect()}
     assert ("SCHEMA_UNEXPECTED_COLUMN", "surprise") in codes
     assert ("TYPE_TARGET_MISMATCH", "weight_kg") in codes
-    result = validate_schema(lake, "I1", source_type="cisir", halt_on_error=False)
+    result = validate_schema(lake, "I1", source_type="reg_a", halt_on_error=False)
     assert not result["success"] and result["critical_count"] >= 1
     with pytest.raises(ValueError, match="not found"):
         validate_schema(lake, "NOPE")
@@ -189,13 +189,13 @@ def test_metadata_sync_versions(lake):
 
 def test_sync_of_one_source_leaves_others(lake):
     spark = lake.spark
-    other = [("CLARITY", *r[1:]) for r in DICTIONARY[:2]]
+    other = [("REG_B", *r[1:]) for r in DICTIONARY[:2]]
     dic.sync_metadata(lake, spark.createDataFrame([*DICTIONARY, *other], DICT_COLUMNS))
     only = spark.createDataFrame(other[:1], DICT_COLUMNS)
-    result = dic.sync_metadata(lake, only, source_type="CLARITY")
+    result = dic.sync_metadata(lake, only, source_type="REG_B")
     assert result["removes"] == 17
     active = lake.read("reference", "metadata").where("is_active").groupBy("source_type").count()
-    assert {r[0]: r[1] for r in active.collect()} == {"CISIR": 6, "CLARITY": 1}
+    assert {r[0]: r[1] for r in active.collect()} == {"REG_A": 6, "REG_B": 1}
 
 
 def test_refresh_chain(lake):
@@ -238,10 +238,10 @@ def test_harmonize(lake, incoming):
     synced = har.sync_harmonization_map(lake)
     assert synced == {"count": 6, "tables_mapped": 3, "sources_mapped": 1}
     manual = spark.createDataFrame([
-        ("CISIR", "people", "patient_id", "demographics", "origin", "constant", "it's here",
+        ("REG_A", "people", "patient_id", "demographics", "origin", "constant", "it's here",
          True, 100, None),
-        ("CISIR", "nowhere", "x", "demographics", "patient_key", "rename", None, True, 1, None),
-        ("CISIR", "labs", "value", "labs", "result_value", "expression",
+        ("REG_A", "nowhere", "x", "demographics", "patient_key", "rename", None, True, 1, None),
+        ("REG_A", "labs", "value", "labs", "result_value", "expression",
          "CAST(value AS DOUBLE) * 2", True, 5,
          "by hand"),
     ], "source_type string, source_table string, source_column string, target_table string, "
@@ -285,7 +285,7 @@ def test_second_batch_keeps_first(lake, incoming):
 
 def test_arrivals(lake, incoming, tmp_path):
     spark = lake.spark
-    options = dict(checkpoint=str(tmp_path / "cp"), source_id="SRC", source_type="CISIR",
+    options = dict(checkpoint=str(tmp_path / "cp"), source_id="SRC", source_type="REG_A",
                    dictionary=dictionary(spark))
     ingest_arrivals(lake, str(incoming), **options).awaitTermination()
     assert lake.read("raw", "labs").count() == 3
