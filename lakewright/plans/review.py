@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from lakewright.functions.text import all_of
 from lakewright.sources.lake import Lake
 
-SEVERITY_ORDER = {"critical": 1, "warning": 2, "info": 3}
-
 
 def contains(column: str, text: str | None) -> list[Column]:
     """Case-insensitive substring test, none when no text is given."""
