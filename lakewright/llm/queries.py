@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from lakewright.llm import contamination, language, quality, secrets, tokens
+from lakewright.llm import contamination, language, quality, secrets, tokens, toxicity
 
 QUERIES = {}
-for _module in (tokens, language, quality, secrets, contamination):
+for _module in (tokens, language, toxicity, quality, secrets, contamination):
     QUERIES.update(_module.QUERIES)
