@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -83,30 +83,32 @@ class ToxicityModel:
         )
         return z.ZstdCompressor(compression_params=params, dict_data=z.ZstdCompressionDict(dictionary))
 
-    def gains(self, windows: list[bytes]) -> list[int]:
-        """Bytes that the toxic dictionary saves of each window."""
+    def learn(self, windows: Iterable[bytes]) -> None:
+        """Compresses the windows that have no gain yet, all in one call of the library."""
         if not self.toxic_words or not self.ordinary:
-            return [0] * len(windows)
+            return
         if self._tools is None:
             self._tools = (
                 self._compressor(self.ordinary), self._compressor(self.ordinary + _tripled(self.toxic_words)),
                 set(_runs(self.toxic_words)),
             )
         one, other, common = self._tools
-        new = [w for w in set(windows) if w not in self._gains]
+        wanted = set(windows)
+        new = [w for w in wanted if w not in self._gains]
         if len(self._gains) + len(new) > REMEMBERED:
             self._gains.clear()
-            new = list(set(windows))
+            new = list(wanted)
         open_ = [w for w in new if not common.isdisjoint(_runs(w))]
         self._gains.update(dict.fromkeys(new, 0))
         if open_:
             sources = [_tripled(w) for w in open_]
             a, b = (c.multi_compress_to_buffer(sources, threads=1) for c in (one, other))
             self._gains.update((w, len(a[i]) - len(b[i])) for i, w in enumerate(open_))
-        return list(map(self._gains.__getitem__, windows))
 
     def features(self, windows: list[bytes], counts: list[int] | None = None) -> np.ndarray:
-        g = np.array(self.gains(windows) or [0])
+        """Of a text whose windows have been learned; without dictionaries no window gains."""
+        g = np.array(list(map(self._gains.__getitem__, windows)) if self._gains else [0] * len(windows))
+        g = g if len(g) else np.zeros(1, int)  # a text without words counts as one window without gain
         n = np.array(counts or [1] * len(g))
         reached = np.array([n[g >= least].sum() for least in GAINS])
         total = n.sum()
@@ -165,6 +167,7 @@ def fit_toxicity(sample: list[tuple[int, list[bytes], list[int]]]) -> ToxicityMo
         model.toxic_words = toxic_words(toxic, ordinary)
     except zstandard.ZstdError:  # too little text to train on
         pass
+    model.learn(w for _, words, _ in sample for w in words)
     x = np.array([model.features(w, n) for _, w, n in sample])
     y = np.array([float(label == 1) for label, _, _ in sample])
     model.centre, model.scale = x.mean(axis=0), x.std(axis=0) + 1e-9
@@ -206,9 +209,13 @@ def toxicity(df: DataFrame, model: ToxicityModel, id_column: str = "doc_id", tex
     shared = df.sparkSession.sparkContext.broadcast(model)
     rows = picked(df, doc_id=id_column, text=text_column)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return mapped(
-        rows, lambda columns: [(i, shared.value.score(windows_of(text))) for i, text in zip(*columns)], f"doc_id {kind}, score double"
-    )
+
+    def run(columns: list[list]) -> list[tuple]:
+        texts = [windows_of(text) for text in columns[1]]
+        shared.value.learn(w for windows in texts for w in windows)
+        return [(i, shared.value.score(windows)) for i, windows in zip(columns[0], texts)]
+
+    return mapped(rows, run, f"doc_id {kind}, score double")
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
