@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from lakewright.llm import contamination, language, quality, secrets, tokens, toxicity
+from lakewright.llm import contamination, language, lines, quality, secrets, tokens, toxicity, urls
 
 QUERIES = {}
-for _module in (tokens, language, toxicity, quality, secrets, contamination):
+for _module in (urls, tokens, language, toxicity, lines, quality, secrets, contamination):
     QUERIES.update(_module.QUERIES)
