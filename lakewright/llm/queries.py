@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from lakewright.llm import contamination, language, lines, neardup, quality, secrets, tokens, toxicity, urls
+from lakewright.llm import contamination, language, lines, neardup, pieces, quality, secrets, tokens, toxicity, urls
 
 QUERIES = {}
-for _module in (urls, tokens, language, toxicity, lines, neardup, quality, secrets, contamination):
+for _module in (urls, tokens, language, toxicity, lines, pieces, quality, neardup, secrets, contamination):
     QUERIES.update(_module.QUERIES)
