@@ -57,3 +57,18 @@ def mapped(df: DataFrame, rows: Callable[[list[list]], Iterator[tuple] | list[tu
                     yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
 
     return df.mapInArrow(run, schema=kind)
+
+
+def filtered(df: DataFrame, text_column: str, keep: Callable[[list], list[bool]]) -> DataFrame:
+    """The rows of ``df`` whose text ``keep`` marks, all columns as they are and in place.
+    Columns go to the tasks under plain names, as not every name can be passed on."""
+    at = df.columns.index(text_column)
+    plain = df.toDF(*(f"c{i}" for i in range(len(df.columns))))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(start, SLICE_ROWS)
+                yield part.filter(pa.array(keep(part.column(at).to_pylist()), pa.bool_()))
+
+    return plain.mapInArrow(run, schema=plain.schema).toDF(*df.columns)

@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakewright.llm.common import mapped, picked, table
+from lakewright.llm.common import filtered, mapped, picked, table
 from lakewright.llm.shingles import WIDTH, shingle_hashes, shingle_texts, words_of
 
 CONTAINMENT = 0.75
@@ -168,15 +168,7 @@ def without_contaminated(docs: DataFrame, items: DataFrame, text_column: str = "
     spark = docs.sparkSession
     for block in item_blocks(items):
         shared = spark.sparkContext.broadcast(block)
-
-        def run(batches, shared=shared):
-            import pyarrow as pa
-
-            for batch in batches:
-                texts = batch.column(batch.schema.get_field_index(text_column)).to_pylist()
-                yield batch.filter(pa.array([not shared.value.leaks(t) for t in texts], pa.bool_()))
-
-        docs = docs.mapInArrow(run, schema=docs.schema)
+        docs = filtered(docs, text_column, lambda texts, shared=shared: [not shared.value.leaks(t) for t in texts])
     return docs
 
 

@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakewright.llm.common import is_held_out, mapped, picked, table
+from lakewright.llm.common import filtered, is_held_out, mapped, picked, table
 
 UNDECIDED = "und"
 
@@ -186,15 +186,7 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def with_language(docs: DataFrame, model: LanguageModel, text_column: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns as they are, that the model does not reject."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            texts = batch.column(batch.schema.get_field_index(text_column)).to_pylist()
-            yield batch.filter(pa.array([not p[2] for p in shared.value.predict(texts)], pa.bool_()))
-
-    return docs.mapInArrow(run, schema=docs.schema)
+    return filtered(docs, text_column, lambda texts: [not rejected for _, _, rejected in shared.value.predict(texts)])
 
 
 QUERIES = {"op3_language_id": (op3_language_id, None)}

@@ -1,0 +1,391 @@
+"""Operators against brute force, exact round trips and held-out accuracy."""
+
+from __future__ import annotations
+
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from samples import PROSE
+from pyspark.sql import functions as F
+
+from lakewright.llm import contamination, language, lines, neardup, pieces, quality, secrets, shingles, tokens, toxicity, urls
+
+SF = "/root/testdata/sf0.01"
+
+
+def _texts(spark):
+    return {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()}
+
+
+# Token counts
+
+
+def _library_counts(name, texts):
+    import public_tokenizers
+
+    if name.endswith(".model"):
+        import sentencepiece
+
+        model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(name))
+        return [len(model.encode(t)) for t in texts]
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
+    return [len(tokenizer.encode(t, add_special_tokens=False).ids) for t in texts]
+
+
+@pytest.mark.parametrize("name, by_word", [("word_bpe_49k.json", True), ("byte_bpe_50k.json", False), ("piece_bpe_32k.model", False)])
+def test_token_counts_equal_the_library(spark, documents, tmp_path, name, by_word):
+    import public_tokenizers
+
+    texts = [
+        "Hello  World\n\tit's  <|endoftext|>done <|startoftext|>", "<|ENDOFTEXT|>", "ΣΑΣ Σ, ÉÈ don't stop now\x1cthen\x85end",
+        "é ́x", "123 45.6 漢字 🎉", "", " ", "same text", " same \n text ", "same text",
+    ]
+    docs = documents(*enumerate(texts))
+    got = tokens.token_counts(docs, public_tokenizers.path(name), str(tmp_path / "cache"), by_word=by_word)
+    assert {r[0]: r[2] for r in got.collect()} == dict(enumerate(_library_counts(name, texts)))
+
+
+def test_token_cache_is_used_and_appended(spark, documents, tmp_path):
+    import public_tokenizers
+
+    path, cache = public_tokenizers.path("word_bpe_49k.json"), str(tmp_path / "cache")
+    tokens.token_counts(documents((1, "a b"), (2, " a  b ")), path, cache, by_word=True).collect()
+    assert tokens.read_cache(spark, cache).count() == 1
+    # A stored count is taken as it is: nothing is encoded again.
+    row = tokens.read_cache(spark, cache).first()
+    other = str(tmp_path / "other")
+    spark.createDataFrame([(bytes(row["content"]), 77, row["tokenizer"])], tokens.CACHE_SCHEMA).write.partitionBy("tokenizer").parquet(other)
+    got = tokens.token_counts(documents((5, "a b"), (6, "c d e")), path, other, by_word=True)
+    assert {r["doc_id"]: r["n_tokens"] for r in got.collect()} == {5: 77, 6: 3}
+    assert tokens.read_cache(spark, other).count() == 2
+
+
+# Language
+
+
+def test_language_by_nearest_centroid(spark, documents):
+    random.seed(1)
+    rows = [
+        (4 * n + k, " ".join(random.sample(text.split(), 12)), name) for n in range(40) for k, (name, text) in enumerate(PROSE.items())
+    ]
+    model = language.fit_languages(documents(*rows[:120]))
+    got = {r["doc_id"]: r for r in language.identified(documents(*rows[120:], (900, "123 ###"), (901, "漢字")), model).collect()}
+    assert all(got[i]["lang_pred"] == name for i, _, name in rows[120:])
+    assert (got[900]["lang_pred"], got[900]["score"], got[900]["rejected"]) == ("und", 0.0, True)
+    assert got[901]["lang_pred"] in PROSE and got[901]["rejected"]
+    assert len(model.languages) == 4 * language.CENTROIDS
+
+
+def test_language_held_out_accuracy(spark):
+    truth = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    rows = [r for r in language.op3_language_id(spark, SF).collect() if r["held_out"]]
+    assert len(rows) > 150
+    assert sum(r["lang_pred"] == truth[r["doc_id"]] for r in rows) >= 0.99 * len(rows)
+    assert sum(r["rejected"] for r in rows) <= 0.01 * len(rows)
+    assert all((zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in rows)
+
+
+# Toxicity
+
+
+def test_toxicity_ranks_held_out_documents(spark):
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet("/root/testdata/sf0.1/labels.parquet").collect()}
+    rows = [r for r in toxicity.op4_toxicity(spark, "/root/testdata/sf0.1").collect() if r["held_out"] and r["doc_id"] in labels]
+    y, s = np.array([labels[r["doc_id"]] for r in rows]), np.array([r["score"] for r in rows])
+    above = (s[y == 1][:, None] > s[y == 0][None, :]).mean()
+    assert above > 0.93
+    assert ((s >= 0.3) == (y == 1)).mean() > 0.95
+    assert all(r["predicted"] == int(r["score"] >= 0.3) for r in rows)
+
+
+# Lines
+
+
+def _lines_by_hand(rows, ratio, least):
+    held, total = Counter(), Counter()
+    for site, text in rows:
+        if site is not None and text is not None:
+            held.update({(site, line.strip(" \t\n\x0b\f\r")) for line in text.split("\n")})
+        total[site] += site is not None
+    out = []
+    for site, text in rows:
+        if text is None:
+            out.append(None)
+            continue
+        gone = [
+            site is not None and line.strip(" \t\n\x0b\f\r") != ""
+            and held[site, line.strip(" \t\n\x0b\f\r")] >= least and held[site, line.strip(" \t\n\x0b\f\r")] > ratio * total[site]
+            for line in text.split("\n")
+        ]
+        out.append("\n".join(line for line, g in zip(text.split("\n"), gone) if not g))
+    return out
+
+
+def test_lines_by_site_against_brute_force(spark, documents):
+    random.seed(2)
+    pool = [f"line {i}" for i in range(40)] + ["", "  line 3 ", "menu", "menu "]
+    rows = []
+    for i in range(300):
+        site = random.choice(["hot", "hot", "b", "c", None])
+        text = None if i % 50 == 0 else "\n".join(random.choice(pool[: 4 + i % 40]) for _ in range(random.randint(1, 9)))
+        rows.append((i, text, None, site))
+    found = lines.without_boilerplate(documents(*rows), F.col("source"), F.col("text"))
+    got = {r["id"]: r["text"] for r in found.select(F.col("row.doc_id").alias("id"), "text").collect()}
+    assert [got[i] for i in range(300)] == _lines_by_hand([(r[3], r[1]) for r in rows], lines.RATIO, lines.LEAST_PAGES)
+
+
+# Near duplicates
+
+
+def _components_by_hand(docs):
+    sets = {i: shingles.shingle_texts(shingles.words_of(t)) for i, t in docs.items()}
+    parent = {i: i for i in docs}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    ids = sorted(docs)
+    for x, i in enumerate(ids):
+        for j in ids[x + 1:]:
+            a, b = sets[i], sets[j]
+            if a and b and 100 * len(a & b) >= 75 * len(a | b):
+                p, q = sorted((root(i), root(j)))
+                parent[q] = p
+    return {i: root(i) for i in ids}, {i: len(s) for i, s in sets.items()}
+
+
+def test_near_duplicates_against_all_pairs(spark, documents):
+    random.seed(4)
+    docs, n = {}, 0
+    for group in range(12):
+        base = [f"w{group}x{random.randint(0, 400)}" for _ in range(random.choice([4, 30, 80, 200]))]
+        # Copies drift from the one before, so that ends of a chain are not linked themselves.
+        for _ in range(random.choice([1, 3, 12])):
+            base = [w if random.random() > 0.015 else f"new{random.randint(0, 999)}" for w in base]
+            docs[n] = " ".join(base)
+            n += 1
+    for text in ("", "A b c", "a  B c", "a b", None, docs[3].upper()):
+        docs[n] = text
+        n += 1
+    items = list(docs.items())
+    random.shuffle(items)
+    got = {r["doc_id"]: r for r in neardup.near_duplicates(documents(*items)).collect()}
+    component, size = _components_by_hand(docs)
+    assert {i: r["component_id"] for i, r in got.items()} == component
+    assert {i: r["n_shingles"] for i, r in got.items()} == size
+    assert all(r["kept"] == (i == component[i]) for i, r in got.items())
+
+
+def test_group_that_one_pivot_does_not_reach(spark, documents):
+    """A chain in which only neighbours are linked, and a star around a middle document."""
+    words = [f"w{i}" for i in range(400)]
+    docs = {10 * i: " ".join(words[5 * i: 5 * i + 100]) for i in range(40)}
+    got = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(documents(*docs.items())).collect()}
+    assert got == _components_by_hand(docs)[0]
+    assert set(got.values()) == {0}
+
+
+def test_registers_merge_and_estimate():
+    rng = np.random.default_rng(5)
+    a, b = rng.integers(0, 1 << 62, 3000).astype(np.uint64), rng.integers(0, 1 << 62, 2000).astype(np.uint64)
+    b[:1500] = a[:1500]
+    x, y = neardup.registers_of(a), neardup.registers_of(b)
+    assert (np.maximum(x, y) == neardup.registers_of(np.union1d(a, b))).all()
+    truth = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
+    found = neardup.estimates(np.array([3000.0]), np.array([2000.0]), np.array([(x > y).sum()]), np.array([(x < y).sum()]))
+    assert abs(found[0] - truth) < 0.15
+
+
+# Contamination
+
+
+def test_contamination_against_brute_force(spark, documents):
+    random.seed(6)
+    items = {i: " ".join(f"v{random.randint(0, 3000)}" for _ in range(n)) for i, n in enumerate([1, 3, 5, 8, 20, 60, 400])}
+    items[50], items[51] = "  ", None
+    docs = {}
+    for i in range(60):
+        words = [f"v{random.randint(0, 3000)}" for _ in range(random.choice([3, 200, 3000]))]
+        if i % 2:
+            part = items[i % 7].split()
+            cut = part[: max(1, int(len(part) * random.choice([0.5, 0.8, 1])))]
+            at = random.randint(0, len(words))
+            words[at:at] = [w.upper() for w in cut]
+        docs[i] = "\n".join(words)
+    table = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    want = set()
+    for i, text in docs.items():
+        for k, item in items.items():
+            w = shingles.words_of(item)
+            own = shingles.shingle_texts(w)
+            if own and 4 * len(own & shingles.shingle_texts(shingles.words_of(text), min(5, len(w)))) >= 3 * len(own):
+                if len(shingles.words_of(text)) >= min(5, len(w)):
+                    want.add((i, k))
+    for block in (contamination.BLOCK_SHINGLES, 50):
+        got = contamination.contaminated(documents(*docs.items()), table, block_shingles=block)
+        assert {(r["doc_id"], r["item_id"]) for r in got.collect()} == want
+    clean = contamination.without_contaminated(documents(*docs.items()), table)
+    assert {r["doc_id"] for r in clean.collect()} == set(docs) - {i for i, _ in want}
+
+
+# Pieces
+
+
+def _pieces_path():
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def test_pieces_equal_the_library_and_decode(spark, documents):
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=_pieces_path())
+    random.seed(7)
+    texts = [" ".join(random.choice(["the", "Geschwindigkeit", "é", "①", "x=1;", "", "", "\n", "aaaaaaa"]) for _ in range(random.randint(0, 30))) for _ in range(80)]
+    texts += ["", " ", "   ", "\n\n", "\ta\t", "z" * 3000, " lead", "trail ", "漢字①" * 50]
+    docs = documents(*enumerate(texts))
+    for frequent in (pieces.FREQUENT_WORDS, 5, 0):
+        whole = pieces.assembled(pieces.encoded(docs, _pieces_path(), frequent_words=frequent))
+        assert {r["doc_id"]: r["ids"] for r in whole.collect()} == {i: model.encode(t) for i, t in enumerate(texts)}
+    assert {r["doc_id"]: r["text"] for r in pieces.decoded(whole, _pieces_path()).collect()} == dict(enumerate(texts))
+
+
+def test_fold_equals_merging():
+    own = pieces.load_pieces(_pieces_path())
+    random.seed(8)
+    for _ in range(3000):
+        word = "".join(random.choice("abcdethinosr▁éü01.,①") for _ in range(random.randint(1, 24)))
+        edges = [(i, j) for i in range(len(word)) for j in range(i + 1, min(len(word), i + own.longest) + 1) if word[i:j] in own.ids]
+        assert own.path_of(word, edges) == own.merged(word)
+
+
+# Quality
+
+
+def _quality_by_hand(text):
+    words = [(m.start(), m[0]) for m in re.finditer(r"[^\x20\x09-\x0D]+", text)]
+    w = [x for _, x in words]
+    spots = Counter(tuple(w[i:i + 8]) for i in range(len(w) - 7))
+    repeated = {i + j for i in range(len(w) - 7) if spots[tuple(w[i:i + 8])] > 1 for j in range(8)}
+    seen, dup = set(), 0
+    for line in text.split("\n"):
+        if re.search(r"[^\x20\x09-\x0D]", line):
+            dup += line in seen
+            seen.add(line)
+    return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), dup, len(repeated)
+
+
+def test_quality_counts_against_brute_force(spark, documents):
+    random.seed(9)
+    texts = ["", "a\nb\na\n\n\n \n ", "x " * 100, "a b c d e f g h " * 2, "\x1c \x85   é"]
+    texts += ["".join(random.choice(["a ", "b ", "c\n", "#", "| ", "\t", "dé "]) for _ in range(random.randint(1, 120))) for _ in range(60)]
+    got = quality.quality(documents(*enumerate(texts)), quality.fit_lines([])).collect()
+    for r in got:
+        want = _quality_by_hand(texts[r["doc_id"]])
+        assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) == want
+        assert r["base_failed"] == (want[0] < 20 or 100 * want[4] > 30 * want[0])
+        assert not (r["base_failed"] and r["kept"])
+
+
+def test_viterbi_is_the_best_of_all_paths():
+    rng = np.random.default_rng(10)
+    for _ in range(50):
+        model = quality.LineModel(rng.normal(size=len(quality.FEATURES)), rng.normal(size=(2, 2)))
+        bits = rng.integers(0, 1 << len(quality.FEATURES), 7).tolist()
+        scores = quality._matrix(np.array(bits)) @ model.weights
+
+        def value(path):
+            states = [(path >> i) & 1 for i in range(7)]
+            return sum(scores[i] for i, s in enumerate(states) if s) + sum(model.moves[a, b] for a, b in zip(states, states[1:]))
+
+        best = max(range(128), key=value)
+        assert model.decode(bits) == [(best >> i) & 1 for i in range(7)]
+
+
+def test_quality_keeps_good_documents(spark):
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    rows = [r for r in quality.op7_quality_rules(spark, SF).collect() if r["doc_id"] in labels and not r["base_failed"]]
+    good = [r["kept"] for r in rows if labels[r["doc_id"]] == 1]
+    bad = [r["kept"] for r in rows if labels[r["doc_id"]] == 0]
+    assert sum(good) >= 0.98 * len(good)
+    assert sum(bad) <= 0.5 * len(bad)
+
+
+# Secrets
+
+
+def test_secret_spans(spark, documents):
+    token = "q7Zk2Wm9Xr4Tb8Lc1Vd6Hs3Pj5Nf0Gy"
+    texts = [
+        'API_KEY = "abcdefgh1" and Password:short', f"AKIA{'A' * 12} AKIAB {'f0' * 16} {'f0' * 15}", "", None,
+        f"the private credential {token} follows", f"nothing near {token} here", f"key {'the_cat_sat_1_' * 3}", 'tokenſ="abcdefghij"',
+    ]
+    dictionary = secrets.fit_dictionary(documents(*enumerate(texts)))
+    got = {r["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in r["spans"]] for r in secrets.secret_spans(documents(*enumerate(texts)), dictionary).collect()}
+    assert got[0] == [("assign", 0, 20)]
+    assert got[1] == [("access", 0, 16), ("hex", 23, 55)]
+    assert got[2] == got[3] == got[5] == []
+    assert got[4] == [("novel", 23, 23 + len(token))]
+    assert got[6] == []
+    assert got[7] == []
+
+
+# URL filter
+
+
+def test_rules():
+    assert [r[1] + r[2] for r in urls._ordered(urls.RULES)] == ["www.example.com/en/", "example.com/en/", "net/fr/", "net/es/", "com/"]
+
+
+def test_trust_and_distrust_against_brute_force(spark):
+    random.seed(11)
+    hosts = [f"h{i}.{random.choice(['com', 'net', 'org'])}" for i in range(25)]
+    pages = []
+    for n in range(150):
+        src = random.choice(hosts[:12])
+        links = "".join(f'<a href="{random.choice(["http://", "//", "HTTPS://"])}{random.choice(hosts).upper()}/x">' for _ in range(3)) + '<a href="/y">'
+        pages.append((n, f"http://{src}/{random.choice(['es', 'en', 'fr'])}/{n}", links))
+    pages += [(900, None, None), (901, "no url", "<a href=''>"), (902, "http://lonely.org?x", None)]
+    rules = (("allow", "com", "/"), ("block", "net", "/"))
+    got = {r["page_id"]: r for r in urls.judged_urls(spark.createDataFrame(pages, "page_id long, url string, html string"), rules=rules).collect()}
+    edges = Counter()
+    for _, url, html in pages:
+        src = re.match(r"http://([^/]*)", url or "")
+        for link in re.findall(r'href="([^"]*)"', html or ""):
+            dst = re.match(r"(?i)(?:https?:)?//([^/]*)", link)
+            if src and dst and dst[1].lower() != src[1]:
+                edges[src[1], dst[1].lower()] += 1
+    pages_of = Counter(re.match(r"http://([^/?]*)", u)[1] for _, u, _ in pages if u and "://" in u)
+
+    def spread(seeds, moves):
+        total = Counter()
+        for (a, _), n in moves.items():
+            total[a] += n
+        rank = dict(seeds)
+        for _ in range(urls.ITERATIONS):
+            new = dict(seeds)
+            for (a, b), n in moves.items():
+                if a in rank:
+                    new[b] = new.get(b, 0) + urls.DAMPING * rank[a] * n / total[a]
+            rank = new
+        return rank
+
+    trust = spread({h: 0.15 for h in pages_of if h.endswith(".com")}, edges)
+    distrust = spread({h: 0.15 for h in pages_of if h.endswith(".net")}, Counter({(b, a): n for (a, b), n in edges.items()}))
+    for n, url, _ in pages:
+        host = got[n]["host"]
+        assert got[n]["trust"] == pytest.approx(trust.get(host, 0)) and got[n]["distrust"] == pytest.approx(distrust.get(host, 0))
+        t, d = trust.get(host, 0), distrust.get(host, 0)
+        want = "allow" if host.endswith(".com") else "block" if host.endswith(".net") else "block" if d >= urls.DISTRUST and d > t else "allow"
+        assert got[n]["verdict"] == want
+    assert {r["verdict"] for r in got.values() if r["rule"] is None} == {"allow", "block"}
+    assert (got[900]["host"], got[900]["path"], got[902]["path"]) == ("", "", "")
