@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakewright.llm.common import quoted, table
+from lakewright.session import written
 
 #: A line goes when it is on more than this share of the pages of its site ...
 RATIO = 0.1
@@ -92,7 +93,8 @@ def host_of(url: Column) -> Column:
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages").select("page_id", "url", page_text(F.col("html")).alias("text"))
+    # Written, so that the text is taken out of the html once for both uses.
+    pages = written(table(spark, sf_dir, "pages").select("page_id", "url", page_text(F.col("html")).alias("text")))
     found = without_boilerplate(pages, host_of(F.col("url")), F.col("text"))
     return found.select(F.col("row.page_id").alias("page_id"), F.col("site").alias("host"), "n_lines", "n_dropped", "text")
 
