@@ -58,6 +58,7 @@ def guarded_number(c: Column, data_type: T.DataType) -> Column:
 def date_layout_match(c: Column, layout: tuple[str, str, str, str]) -> Column:
     """True where the text starts with a valid date in ``layout``; text after it is ignored."""
     _, pattern, rewrite, fmt = layout
+    pattern = "(?s)" + pattern  # what follows the date may hold line ends
     start = F.when(c.rlike(pattern), F.regexp_replace(c, pattern, rewrite))
     return F.coalesce(
         c.rlike(MAY_BE_DATE) & F.try_to_timestamp(start, F.lit(fmt)).isNotNull(), F.lit(False)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lakewright.functions.names import key_name
 from lakewright.functions.text import yes_no
 from lakewright.operators.lineage import write_audit_event
-from lakewright.operators.upsert import require_unique, upserted
+from lakewright.operators.upsert import held_keys, require_unique, same_key, upserted
 from lakewright.sources.lake import Lake
 
 KEY = ["lake_table_name", "lake_variable_name", "source_type"]
@@ -60,7 +60,10 @@ def dictionary_changes(new: DataFrame, current: DataFrame) -> DataFrame:
     Variables are joined once, whole; fields become rows only after the join.
     """
     none_yet = current.isEmpty()
-    joined = _texts(new, "new").join(_texts(current, "old"), KEY, "full_outer")
+    before = _texts(current, "old").withColumnsRenamed({k: f"held_{k}" for k in KEY})
+    joined = _texts(new, "new").join(before, same_key(KEY), "full_outer").withColumns(
+        {k: F.coalesce(k, f"held_{k}") for k in KEY}
+    )
     entries = F.array(*[
         F.struct(
             F.lit(f).alias("field_changed"), F.col(f"old.{f}").alias("old_value"),
@@ -107,11 +110,12 @@ def next_metadata(
         "created_at": now, "updated_at": now,
     })
     merged = upserted(metadata, incoming, KEY, keep=("created_at",))
-    present = new.select(*KEY).withColumn("present", F.lit(True))
-    marked = merged.join(present, KEY, "left")
+    present = held_keys(new, KEY).withColumn("present", F.lit(True))
+    marked = merged.join(present, same_key(KEY), "left")
     gone = F.col("present").isNull() & F.col("is_active")
     if scope is not None:
         gone = gone & scope
+    gone = F.coalesce(gone, F.lit(False))
     return marked.withColumns({
         "version_number": F.when(gone, F.lit(version)).otherwise(F.col("version_number")),
         "updated_at": F.when(gone, now).otherwise(F.col("updated_at")),
@@ -239,13 +243,15 @@ def refreshed_type_decisions(dictionary: DataFrame, prior: DataFrame) -> DataFra
         .where("table_name IS NOT NULL AND variable IS NOT NULL")
         .groupBy("table_name", "variable").agg(F.min("suggested_type").alias("suggested_type"))
     )
-    old = _decision_keys(prior).groupBy("table_name", "variable").agg(
-        F.min(F.struct("final_type", "decision_note")).alias("old")
-    )
-
     def filled(c: Column) -> Column:
         return F.when(F.trim(c) != "", c)
 
+    # Of several rows of one variable a filled one counts before a blank one.
+    blank = [filled(F.col(c)).isNull().alias(f"no_{c}") for c in ("final_type", "decision_note")]
+    old = _decision_keys(prior).groupBy("table_name", "variable").agg(
+        F.min(F.struct(*blank, "final_type", "decision_note")).alias("old")
+    )
+
     return universe.join(old, ["table_name", "variable"], "left").select(
         "table_name", "variable", "suggested_type",
         filled(F.col("old.final_type")).alias("final_type"),

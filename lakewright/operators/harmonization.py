@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from lakewright.functions.datatypes import convert, spark_type, type_rank
 from lakewright.functions.text import trim_blanks
 from lakewright.operators.lineage import write_audit_event
-from lakewright.operators.upsert import require_unique, upserted
+from lakewright.operators.upsert import held_keys, require_unique, same_key, upserted
 from lakewright.sources.lake import Lake
 
 MAP_KEY = ["source_type", "source_table", "source_column", "target_table", "target_column"]
@@ -103,8 +103,8 @@ def sync_harmonization_map(
         current = lake.spark.createDataFrame([], MAP_SCHEMA)
     merged = merged_mappings(current, mappings)
     if deactivate_absent:
-        seen = mappings.select(*MAP_KEY).withColumn("seen", F.lit(True))
-        merged = merged.join(seen, MAP_KEY, "left").withColumn(
+        seen = held_keys(mappings, MAP_KEY).withColumn("seen", F.lit(True))
+        merged = merged.join(seen, same_key(MAP_KEY), "left").withColumn(
             "is_active", F.col("is_active") & F.coalesce("seen", F.lit(False))
         ).select(*merged.columns)
     lake.replace("reference", "harmonization_map", merged)
@@ -147,7 +147,7 @@ def harmonized(
     target column are an error, or with ``conflict="priority"`` coalesced by priority."""
     types = {f.name: f.dataType for f in target.fields} if target is not None else {}
     by_target: dict[str, list[dict]] = defaultdict(list)
-    for m in sorted(mappings, key=lambda m: (m.get("priority") or 100)):
+    for m in sorted(mappings, key=lambda m: 100 if m.get("priority") is None else m["priority"]):
         by_target[m["target_column"]].append(m)
     twice = [t for t, ms in by_target.items() if len(ms) > 1]
     if twice and conflict != "priority":

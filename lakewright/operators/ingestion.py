@@ -108,13 +108,18 @@ def chosen_type(final_type: Column, suggested_type: Column) -> Column:
 
 def type_choices(columns: DataFrame, decisions: DataFrame) -> DataFrame:
     """Decided type of each (table_name, variable) of ``columns``; of several decisions for
-    one variable the first in ``decision_order`` (or by type text) counts."""
+    one variable the first in ``decision_order`` (or by type text) counts; those that name no
+    type come last."""
     order = [F.col(c) for c in decisions.columns if c == "decision_order"]
+    no_final, no_suggested = (
+        blank_to_null(F.col(c)).isNull() for c in ("final_type", "suggested_type")
+    )
     keyed = decisions.select(
         key_name(F.col("table_name")).alias("table_key"),
         key_name(F.col("variable")).alias("variable_key"),
         F.struct(
-            *order, "final_type", "suggested_type"
+            (no_final & no_suggested).alias("no_type"), *order, no_final.alias("no_final"),
+            "final_type", no_suggested.alias("no_suggested"), "suggested_type",
         ).alias("decision"),
     ).groupBy("table_key", "variable_key").agg(F.min("decision").alias("decision"))
     return columns.withColumns({
@@ -228,8 +233,8 @@ def _write_files(lake: Lake, ingest_id: str, files: list[dict]) -> None:
 
 
 def plain_path(path: str) -> str:
-    """A path as it was given: local paths without their scheme, escapes undone."""
-    return re.sub(r"^file:/+", "/", unquote(path))
+    """A path as it was given: local paths without their scheme."""
+    return re.sub(r"^file:/+", "/", path)
 
 
 def _known_facts(facts: DataFrame) -> tuple[dict, dict]:
@@ -337,7 +342,8 @@ def ingest_batch(
             lake.read("raw", table).where(F.col("_ingest_id") == ingest_id)
             .groupBy("_source_file").count().collect()
         )
-        counts.update({plain_path(r["_source_file"]): r["count"] for r in per_file})
+        # The scan gives file names with escapes, as in a url.
+        counts.update({plain_path(unquote(r["_source_file"])): r["count"] for r in per_file})
     log = []
     for path, result in results.items():
         fact, good = facts[path], result["load_status"] == "success"

@@ -62,4 +62,14 @@ def upserted(
 
 def inserted_if_absent(current: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of ``incoming`` whose key ``current`` does not hold: what an append would add."""
-    return incoming.join(current.select(*keys), keys, "left_anti")
+    return incoming.join(held_keys(current, keys), same_key(keys), "left_anti")
+
+
+def held_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    """The keys of a table under names of their own, for a join by ``same_key``."""
+    return df.select(*[F.col(k).alias(f"held_{k}") for k in keys])
+
+
+def same_key(keys: list[str]) -> list[Column]:
+    """NULL keys equal each other, as in ``upserted``."""
+    return [F.col(k).eqNullSafe(F.col(f"held_{k}")) for k in keys]

@@ -18,7 +18,6 @@ FACTS_SCHEMA = (
     "path string, found boolean, file_size_bytes bigint, checksum string, "
     "header array<string>, problem string"
 )
-FIRST_LINES = 12
 # multiLine keeps line ends inside quotes, at the price of one task per file; files known to
 # have none can be read in splits by passing quoted_newlines=False.
 HEAD_BYTES = 1 << 20
@@ -51,7 +50,7 @@ def _open_input(path: str):
     """A stream over ``path`` whatever file system it names."""
     from pyarrow import fs
 
-    location = re.sub(r"^file:/+", "file:///", path)
+    location = re.sub(r"^s3[an]://", "s3://", re.sub(r"^file:/+", "file:///", path))
     if "://" in location:
         system, inner = fs.FileSystem.from_uri(location.replace(" ", "%20"))
     else:
@@ -74,7 +73,7 @@ def _facts_of(path: str) -> dict:
                     header=header_fields(head.decode("utf-8-sig", "replace")), problem=None)
     except FileNotFoundError:
         problem, found = "file does not exist", False
-    except OSError as error:
+    except Exception as error:  # whatever is wrong with one file is that file's problem
         problem, found = str(error), False
     return dict(path=path, found=found, file_size_bytes=None, checksum=None,
                 header=None, problem=problem)
@@ -149,7 +148,7 @@ def read_csv_strict(
     header = facts["header"]
     if set(expected) & {normalize_name(h) for h in header}:
         return read_text_csv(spark, [path], header).drop("_source_file")
-    lines = [r["value"] for r in spark.read.text(path).limit(FIRST_LINES).collect()]
+    lines = [r["value"] for r in spark.read.text(path).limit(max_skip + 1).collect()]
     widths = [len(header_fields(line)) if line.strip() else 0 for line in lines]
     start = next((i for i, w in enumerate(widths[: max_skip + 1]) if w == len(expected)), None)
     if start is None:

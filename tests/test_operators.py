@@ -11,7 +11,9 @@ from lakewright.functions.names import normalize_columns, normalize_name, normal
 from lakewright.operators import dictionary as dic
 from lakewright.operators import harmonization as har
 from lakewright.operators.deidentify import DeidRules, deidentify, deidentify_files
+from lakewright.operators.ingestion import type_choices
 from lakewright.operators.schema_check import schema_issues
+from lakewright.operators.upsert import inserted_if_absent
 from lakewright.sources import files as fl
 
 EXPECTED = ("lake_table_name string, lake_variable_name string, data_type string, "
@@ -215,3 +217,53 @@ def test_file_facts_on_many_files(spark, tmp_path):
     assert all(r["header"] == ["a\nb", "c"] for r in facts if r["found"])
     missing = [r for r in facts if not r["found"]]
     assert missing[0]["problem"] == "file does not exist" and missing[0]["checksum"] is None
+
+
+def test_null_keys_are_inserted_once(spark):
+    have = spark.createDataFrame([(None, "a")], "k string, v string")
+    more = spark.createDataFrame([(None, "b"), ("x", "c")], "k string, v string")
+    assert [tuple(r) for r in inserted_if_absent(have, more, ["k"]).collect()] == [("x", "c")]
+
+
+def test_blank_decisions_do_not_hide_filled_ones(spark):
+    rows = [("t", "v", None, None), ("t", "v", "DATE", "checked"), ("t", "v", " ", "")]
+    prior = spark.createDataFrame(rows, "table_name string, variable string, final_type string, decision_note string")
+    core = spark.createDataFrame([("t", "v", "text")], "lake_table_name string, lake_variable_name string, data_type string")
+    found = dic.refreshed_type_decisions(core, prior).first()
+    assert (found["final_type"], found["decision_note"]) == ("DATE", "checked")
+    asked = spark.createDataFrame([("t", "v")], "table_name string, variable string")
+    decisions = spark.createDataFrame(
+        [("t", "v", None, None), ("t", "v", "INTEGER", None)],
+        "table_name string, variable string, final_type string, suggested_type string",
+    )
+    assert type_choices(asked, decisions).first()["chosen_type"] == "INTEGER"
+
+
+def test_date_before_a_line_end(spark):
+    df = spark.createDataFrame([("2024-01-05 seen\nok",)], "v string")
+    assert df.select(tx.date_layout_match(F.col("v"), tx.DATE_LAYOUTS[0])).first()[0]
+
+
+def test_priority_zero_comes_first(spark):
+    staging = spark.createDataFrame([("a", "b")], "x string, y string")
+    maps = [
+        {"target_column": "t", "source_column": c, "transform_type": "direct", "transform_expression": None, "priority": p}
+        for c, p in (("x", 50), ("y", 0))
+    ]
+    assert har.harmonized(staging, maps, "S", "s", conflict="priority").first()["t"] == "b"
+
+
+def test_data_below_many_title_lines(spark, tmp_path):
+    path = tmp_path / "titled.csv"
+    path.write_text("".join(f"title {i}\n" for i in range(14)) + "1,2\n3,4\n")
+    found = fl.read_csv_strict(spark, str(path), ["a", "b"], max_skip=20)
+    assert sorted(map(tuple, found.collect())) == [("1", "2"), ("3", "4")]
+    assert fl.read_csv_strict(spark, str(path), ["a", "b"], max_skip=5) is None
+
+
+def test_one_unreadable_header_is_one_row(spark, tmp_path):
+    good, bad = tmp_path / "good%41.csv", tmp_path / "bad.csv"
+    good.write_text("a,b\n1,2\n")
+    bad.write_text('"' + "x" * 200_000)
+    found = {r["path"]: r for r in fl.file_facts(spark, [str(good), str(bad)]).collect()}
+    assert found[str(good)]["found"] and not found[str(bad)]["found"] and found[str(bad)]["problem"]
