@@ -1,8 +1,9 @@
 """SentencePiece encoding and decoding over a relational lattice.
 
-A text is cut into words at places that no piece spans. Each distinct word is encoded once: its
-substrings of bounded length are exploded and joined with the piece table, the matches are the
-edges of the word's lattice, grouped by word, and a fold over its positions picks one path.
+A text is cut into words wherever two characters meet that stand side by side in no piece: nothing
+can be merged across such a place. Each distinct word is encoded once: its substrings of bounded
+length are exploded and joined with the piece table, the matches are the edges of the word's lattice,
+grouped by word, and a fold over its positions picks one path.
 
 The model merges pieces by rank, so the path with the highest sum of scores is not what the library
 returns. A sequence of pieces is what merging gives exactly when each two neighbours stay apart if
@@ -17,7 +18,6 @@ to every task; each occurrence of any other word becomes a row that is joined wi
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -44,12 +44,12 @@ REMEMBERED = 500_000
 #: The piece table is broadcast; more pieces than this are refused.
 MOST_PIECES = 1_000_000
 
-_WORDS = re.compile(rf"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
+#: Longer words, runs of characters without any place to cut, are not exploded: their rows would
+#: grow with the square of their length. The fold looks up their edges itself.
+LONG_WORD = 256
 
-
-def words_of(text: str) -> list[str]:
-    """Words that no piece spans; joined they are the text with a space in front."""
-    return _WORDS.findall((SPACE + text).replace(" ", SPACE)) if text else []
+#: An edge is start * EDGE + length.
+EDGE = 64
 
 
 @dataclass
@@ -63,6 +63,29 @@ class Pieces:
     longest: int
     _apart: dict[tuple[str, str], bool] = field(default_factory=dict)
 
+    def __post_init__(self) -> None:
+        sides = {ab for piece in self.scores for ab in zip(piece, piece[1:])}
+        places = {c: i for i, c in enumerate(sorted({c for ab in sides for c in ab}), 1)}
+        self._place = np.zeros(0x110000, np.uint16)  # of each character; 0 where it is in no pair
+        for c, i in places.items():
+            self._place[ord(c)] = i
+        self._meet = np.zeros((len(places) + 1, len(places) + 1), bool)
+        for a, b in sides:
+            self._meet[places[a], places[b]] = True
+
+    def words_of(self, text: str) -> list[str]:
+        """Words that no piece spans; joined they are the text with a space in front."""
+        if not text:
+            return []
+        whole = (SPACE + text).replace(" ", SPACE)
+        place = self._place[np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), "<u4")]
+        cuts = (np.flatnonzero(~self._meet[place[:-1], place[1:]]) + 1).tolist()
+        return [whole[a:b] for a, b in zip([0, *cuts], [*cuts, len(whole)])]
+
+    def edges_of(self, word: str) -> list[tuple[int, int]]:
+        ends = ((i, range(i + 1, min(len(word), i + self.longest) + 1)) for i in range(len(word)))
+        return [(i, j) for i, js in ends for j in js if word[i:j] in self.ids]
+
     def merged(self, text: str) -> list[str]:
         """The pieces of a short text: the best pair is merged, the leftmost of equals, till none is left."""
         parts = list(text)
@@ -133,8 +156,8 @@ def load_pieces(path: str) -> Pieces:
     ids = {model.id_to_piece(i): i for i in plain}
     if len(ids) > MOST_PIECES:
         raise ValueError(f"more than {MOST_PIECES} pieces")
-    if any("\n" in p or SPACE in p.lstrip(SPACE) for p in ids):
-        raise ValueError("a piece of this model spans words")
+    if max(map(len, ids)) >= EDGE:
+        raise ValueError(f"a piece of this model has {EDGE} characters or more")
     byte_ids = [model.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
     scores = {p: model.get_score(i) for p, i in ids.items()}
     found = Pieces(path, ids, scores, byte_ids, max(map(len, ids)))
@@ -144,11 +167,13 @@ def load_pieces(path: str) -> Pieces:
     return found
 
 
-def word_counts(texts: DataFrame) -> DataFrame:
+def word_counts(texts: DataFrame, path: str) -> DataFrame:
     """``word``, ``n`` of the distinct words of (text), counted in tasks before the shuffle."""
     def run(batches):
         import pyarrow as pa
 
+        words_of = load_pieces(path).words_of
+
         def flushed(counts: Counter):
             return pa.RecordBatch.from_arrays(
                 [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"]
@@ -168,22 +193,24 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
 
 def lattice(words: DataFrame, pieces: Pieces) -> DataFrame:
-    """``word``, ``n`` and ``edges``, of which each is start * 64 + length.
+    """``word``, ``n`` and ``edges``, of which each is start * EDGE + length; none of long words.
 
     Words keep their partitioning: the explode and the join with the small piece table do not
     move them, so grouping the edges by word needs no further shuffle.
     """
     spark = words.sparkSession
     known = F.broadcast(spark.createDataFrame([(p,) for p in pieces.ids], "piece string"))
-    starts = words.select("word", "n", F.explode(F.sequence(F.lit(1), F.length("word"))).alias("start"))
-    window = F.substring(F.col("word"), F.col("start"), F.lit(pieces.longest))
+    # A long word is one row, with start 0.
+    positions = F.when(F.length("word") <= LONG_WORD, F.sequence(F.lit(1), F.length("word"))).otherwise(F.array(F.lit(0)))
+    starts = words.select("word", "n", F.explode(positions).alias("start"))
+    window = F.substring(F.col("word"), F.col("start"), F.when(F.col("start") > 0, pieces.longest).otherwise(1))
     ends = starts.select("word", "n", "start", window.alias("window")).select(
         "word", "n", "start", "window", F.explode(F.sequence(F.lit(1), F.length("window"))).alias("size")
     )
     parts = ends.select("word", "n", "start", "size", F.substring(F.col("window"), F.lit(1), F.col("size")).alias("piece"))
     # A left join keeps words that have no edge at all.
     single = F.col("size") == 1
-    edge = F.when(F.col("found").isNotNull(), (F.col("start") - 1) * 64 + F.col("size"))
+    edge = F.when(F.col("found").isNotNull() & (F.col("start") > 0), (F.col("start") - 1) * EDGE + F.col("size"))
     found = parts.join(known.withColumn("found", F.lit(1)), "piece", "left").filter(F.col("found").isNotNull() | single)
     return found.groupBy("word").agg(F.first("n").alias("n"), F.collect_list(edge).alias("edges"))
 
@@ -195,7 +222,8 @@ def encoded_words(words: DataFrame, pieces: Pieces) -> DataFrame:
     def run(columns: list[list]) -> Iterator[tuple]:
         own = load_pieces(path)
         for word, n, edges in zip(*columns):
-            yield word, n, own.ids_of(own.path_of(word, [(e // 64, e // 64 + e % 64) for e in edges]))
+            found = own.edges_of(word) if len(word) > LONG_WORD else [(e // EDGE, e // EDGE + e % EDGE) for e in edges]
+            yield word, n, own.ids_of(own.path_of(word, found))
 
     return mapped(lattice(words, pieces), run, "word string, n long, ids array<int>")
 
@@ -231,12 +259,12 @@ def encoded(
         "doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"), F.coalesce("text", F.lit("")).alias("text")
     )
     kind = rows.schema["doc_id"].dataType.simpleString()
-    words = written(encoded_words(word_counts(rows.select("text")), pieces))
+    words = written(encoded_words(word_counts(rows.select("text"), model_path), pieces))
     least, frequent = _frequent(words, frequent_words)
     shared = spark.sparkContext.broadcast(frequent)
 
     def known_runs(columns: list[list]) -> Iterator[tuple]:
-        get = shared.value.get
+        get, words_of = shared.value.get, load_pieces(model_path).words_of
         for i, key, text in zip(*columns):
             found = list(map(get, words_of(text)))
             if not found:
@@ -249,7 +277,7 @@ def encoded(
                 start = end + 1
 
     def other_words(columns: list[list]) -> Iterator[tuple]:
-        known = shared.value
+        known, words_of = shared.value, load_pieces(model_path).words_of
         for i, key, text in zip(*columns):
             for at, word in enumerate(words_of(text)):
                 if word not in known:
