@@ -15,9 +15,10 @@ def ingest_arrivals(
     dictionary: DataFrame, type_decisions: DataFrame | None = None, prefix: str = "ARRIVAL",
     max_files: int = 1000,
 ) -> StreamingQuery:
-    """Ingest the files not seen before and stop. Only paths flow through the stream; the
-    micro-batch number names the ingest, so a batch repeated after a failure replaces its own
-    rows and a finished one is left alone."""
+    """Ingest the files not seen before and stop. Only paths flow through the stream. The ingest
+    is named by the stream's own id, which its checkpoint keeps, and the micro-batch number: a
+    batch repeated after a failure replaces its own rows, one that succeeded is left alone, and
+    another stream of the same source never meets its names."""
     arrivals = (
         lake.spark.readStream.format("binaryFile")
         .option("pathGlobFilter", "*.csv")
@@ -28,7 +29,8 @@ def ingest_arrivals(
     )
 
     def load(batch: DataFrame, number: int) -> None:
-        ingest_id = f"{prefix}_{source_id}_{number:08d}"
+        stream = lake.spark.read.json(f"{checkpoint}/metadata").first()["id"]
+        ingest_id = f"{prefix}_{source_id}_{stream}_{number:08d}"
         paths = sorted(plain_path(r["path"]) for r in batch.collect())  # at most max_files
         if not paths:
             return
@@ -39,8 +41,13 @@ def ingest_arrivals(
             ).first()
         if known is None:
             open_batch(lake, ingest_id, source_id, paths)
-        elif known["status"] != "started":
-            return
+        else:
+            log = lake.read("governance", "ingest_file_log")
+            logged = log.where(F.col("ingest_id") == ingest_id).select("file_path").collect()
+            if sorted(r["file_path"] for r in logged) != paths:
+                raise ValueError(f"ingest {ingest_id} is logged with other files")
+            if known["status"] == "success":
+                return
         ingest_batch(lake, ingest_id, source_id, source_type, dictionary, type_decisions)
 
     return (

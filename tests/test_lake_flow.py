@@ -294,6 +294,13 @@ def test_arrivals(lake, incoming, tmp_path):
     assert lake.read("raw", "labs").count() == 4
     batches = lake.read("governance", "batch_log").select("ingest_id", "file_count").collect()
     assert sorted(r["file_count"] for r in batches) == [1, 3]
+    # A second stream of the same source, with a checkpoint of its own.
+    other = tmp_path / "other"
+    other.mkdir()
+    (other / "labs_2022.csv").write_text("Test Name,Value\nZn,3\n")
+    options["checkpoint"] = str(tmp_path / "cp2")
+    ingest_arrivals(lake, str(other), **options).awaitTermination()
+    assert lake.read("raw", "labs").count() == 5
 
 
 def test_empty_table_from_schema(lake):
