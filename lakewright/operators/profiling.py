@@ -120,7 +120,7 @@ def frequencies(cells: dict[str, tuple[T.DataType, DataFrame]], settings: dict)
     """How often each column holds each value, with what later steps ask of a distinct value.
 
     ``value`` is the text of the value; a long text is known by its SHA-256 ``digest``, with
-    the start of the text as value. ``kind`` is the missingness class, ``number`` the number
+    the start of the text as value and the rest derived from the whole text. ``kind`` is the missingness class, ``number`` the number
     the text spells, ``key`` the upper-cased text of a possible placeholder and ``layouts``
     the date layouts the text fits, one bit each.
     """
@@ -134,16 +134,34 @@ def _finite(number: Column) -> Column:
     return F.when(F.abs(number) < float("inf"), number)
 
 
+def _layout_bits(trimmed: Column) -> Column:
+    return F.when(
+        trimmed.rlike(tx.MAY_BE_DATE),
+        reduce(lambda a, b: a + b, [
+            tx.date_layout_match(trimmed, layout).cast("int") * (1 << i)
+            for i, layout in enumerate(tx.DATE_LAYOUTS)
+        ]),
+    ).otherwise(0)
+
+
 def _typed_frequencies(data_type: T.DataType, cells: DataFrame, settings: dict) -> DataFrame:
     v = F.col("value")
     count = F.count(F.lit(1)).alias("n")
+    numeric, strings = _sentinel_lists(settings)
+    is_long = F.col("digest").isNotNull()
     if isinstance(data_type, T.StringType):
-        counted = cells.select(
+        # What is asked of a long text is taken from the whole text, before it is cut.
+        spelled = F.upper(tx.trim_blanks(v))
+        counted = cells.withColumn("is_long", is_long_text(v)).select(
             "col_id",
-            F.when(is_long_text(v), F.substring(tx.trim_blanks(v), 1, HEAD_CHARS))
+            F.when(F.col("is_long"), F.substring(tx.trim_blanks(v), 1, HEAD_CHARS))
             .otherwise(v).alias("value"),
-            F.when(is_long_text(v), F.sha2(v, 256)).alias("digest"),
-        ).groupBy("col_id", "value", "digest").agg(count)
+            F.when(F.col("is_long"), F.sha2(v, 256)).alias("digest"),
+            F.when(F.col("is_long"), v.rlike(tx.WHITESPACE_ONLY)).alias("long_white"),
+            F.when(F.col("is_long") & spelled.isin(*numeric, *strings), spelled)
+            .alias("long_key"),
+            F.when(F.col("is_long"), _layout_bits(tx.trim_blanks(v))).alias("long_layouts"),
+        ).groupBy("col_id", "value", "digest", "long_white", "long_key", "long_layouts").agg(count)
         counted = counted.withColumn("trimmed", tx.trim_blanks(v))
     else:
         counted = cells.groupBy("col_id", "value").agg(count).withColumns({
@@ -152,38 +170,34 @@ def _typed_frequencies(data_type: T.DataType, cells: DataFrame, settings: dict)
             "digest": F.lit(None).cast("string"),
         }).withColumn("trimmed", F.col("value"))
     trimmed = F.col("trimmed")
-    numeric, strings = _sentinel_lists(settings)
     filled = F.when(v.isNull(), "na").otherwise("filled")
     if isinstance(data_type, T.NumericType):
         kind, layouts = filled, F.lit(0)
         number = _finite(F.col("native").cast("double"))
         repeated = (number == F.floor(number)) & trimmed.rlike(tx.REPEATED_DIGIT)
     elif isinstance(data_type, T.StringType):
+        white = F.when(is_long, F.col("long_white")).otherwise(v.rlike(tx.WHITESPACE_ONLY))
         kind = (
             F.when(v.isNull(), "na").when(v == "", "empty")
-            .when(v.rlike(tx.WHITESPACE_ONLY), "whitespace").otherwise("filled")
+            .when(white, "whitespace").otherwise("filled")
         )
-        number = _finite(F.when(trimmed.rlike(tx.NUMBER), trimmed.try_cast("double")))
+        # A number is never a long text.
+        number = _finite(F.when(~is_long & trimmed.rlike(tx.NUMBER), trimmed.try_cast("double")))
         repeated = trimmed.rlike(tx.REPEATED_DIGIT)
-        layouts = F.when(
-            trimmed.rlike(tx.MAY_BE_DATE),
-            reduce(lambda a, b: a + b, [
-                tx.date_layout_match(trimmed, layout).cast("int") * (1 << i)
-                for i, layout in enumerate(tx.DATE_LAYOUTS)
-            ]),
-        ).otherwise(0)
+        layouts = F.when(is_long, F.col("long_layouts")).otherwise(_layout_bits(trimmed))
     else:
         kind, number, repeated = filled, F.lit(None).cast("double"), F.lit(False)
         # Texts of dates and timestamps start with year-month-day, the first layout.
         layouts = tx.date_layout_match(trimmed, tx.DATE_LAYOUTS[0]).cast("int")
-    candidate = F.col("digest").isNull() & (
-        F.upper(trimmed).isin(*numeric, *strings) | repeated
-    )
+    candidate = F.upper(trimmed).isin(*numeric, *strings) | repeated
+    key = F.when(candidate & ~is_long, F.upper(trimmed))
+    if isinstance(data_type, T.StringType):
+        key = F.coalesce("long_key", key)
     return counted.select(
         "col_id", "value", "digest", "n",
         kind.alias("kind"),
         number.alias("number"),
-        F.when(candidate, F.upper(trimmed)).alias("key"),
+        key.alias("key"),
         layouts.alias("layouts"),
     )
 

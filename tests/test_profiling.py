@@ -115,6 +115,26 @@ def test_categorical_distribution_and_long_texts(spark):
     assert profile["unique_count"] == 3
 
 
+def test_long_texts_are_judged_whole(spark):
+    feeds, digits = "\f" * 64 + "words " * 30, "7" * 64 + " words" * 30
+    row = Profiler({"t": column(spark, "c", [feeds, digits, "\f" * 200])}).profile().first()
+    assert (row["whitespace_count"], row["valid_count"], row["inferred_type"]) == \
+        (1, 2, "categorical")
+    numbers = Profiler({"t": column(spark, "c", [digits + str(i) for i in range(20)])})
+    assert numbers.types().first()["inferred_type"] == "categorical"
+    placeholder = "not recorded at the time of the visit " * 5
+    settings = profiling_settings(
+        {"sentinel_detection": {"string_sentinels": [placeholder.strip()]}})
+    values = [placeholder, placeholder.upper(), placeholder + "x", "short"]
+    profiler = Profiler({"t": column(spark, "c", values)}, settings)
+    found = profiler.sentinels().collect()
+    assert [(r["sentinel_value"], r["sentinel_count"]) for r in found] == \
+        [(placeholder.strip(), 2)]
+    row = profiler.profile().first()
+    assert (row["sentinel_count"], row["valid_count"], row["unique_count"]) == (2, 2, 2)
+    assert {r["value"] for r in profiler.tops().collect()} == {placeholder + "x", "short"}
+
+
 @pytest.mark.parametrize("name, pct, kind, unique, total, expected", [
     ("ACCOUNTNO", 5.0, "identifier", 100, 200, {"identifier_missing"}),
     ("some_var", 25.0, "categorical", 10, 100, {"high_missingness"}),
