@@ -14,6 +14,7 @@ fold therefore runs on Arrow batches.
 
 Texts meet the words' pieces without being shuffled. The most frequent words, a bounded number, go
 to every task; each occurrence of any other word becomes a row that is joined with the word table.
+The segments of a text are then grouped, put in order and decoded again.
 """
 
 from __future__ import annotations
@@ -21,12 +22,14 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from lakewright.llm.common import mapped, picked, table
+from lakewright.llm.common import SLICE_ROWS, mapped, picked, table
 from lakewright.session import written
 
 SPACE = "▁"
@@ -73,6 +76,10 @@ class Pieces:
         for a, b in sides:
             self._meet[places[a], places[b]] = True
 
+    @cached_property
+    def bytes_of(self) -> dict[int, bytes]:
+        return {i: p.replace(SPACE, " ").encode() for p, i in self.ids.items()} | {i: bytes([b]) for b, i in enumerate(self.byte_ids)}
+
     def words_of(self, text: str) -> list[str]:
         """Words that no piece spans; joined they are the text with a space in front."""
         if not text:
@@ -290,24 +297,44 @@ def encoded(
 
 
 def assembled(segments: DataFrame) -> DataFrame:
-    """``doc_id``, ``text_key`` and all ``ids`` of each text; repeated rows give one."""
+    """``doc_id``, ``text_key``, all ``ids`` of each text in order, and ``copies``, how many rows of
+    the input had that id and text. Each of them has one segment that starts at word 0."""
     parts = F.array_sort(F.collect_set(F.struct("at", "ids")))
-    return segments.groupBy("doc_id", "text_key").agg(F.flatten(F.transform(parts, lambda p: p["ids"])).alias("ids"))
+    return segments.groupBy("doc_id", "text_key").agg(
+        F.flatten(F.transform(parts, lambda p: p["ids"])).alias("ids"), F.count_if(F.col("at") == 0).alias("copies")
+    )
 
 
 def decoded(texts: DataFrame, model_path: str) -> DataFrame:
-    """``doc_id``, ``text_key``, ``text`` from the ids of whole texts. Bytes that are no UTF-8 become
-    U+FFFD; the space in front that encoding adds is taken off again."""
-    rows = picked(texts, doc_id="doc_id", text_key="text_key", ids="ids")
-    kind = rows.schema["doc_id"].dataType.simpleString()
-
-    def run(columns: list[list]) -> Iterator[tuple]:
-        own = load_pieces(model_path)
-        bytes_of = {i: p.replace(SPACE, " ").encode() for p, i in own.ids.items()} | {i: bytes([b]) for b, i in enumerate(own.byte_ids)}
-        for i, key, ids in zip(*columns):
-            yield i, key, b"".join(map(bytes_of.__getitem__, ids)).decode("utf-8", "replace").removeprefix(" ")
+    """All columns of ``texts`` and ``text``, decoded from the ``ids`` of whole texts. Bytes that are no
+    UTF-8 become U+FFFD; the space in front that encoding adds is taken off again."""
+    def run(batches):
+        import pyarrow as pa
 
-    return mapped(rows, run, f"doc_id {kind}, text_key long, text string")
+        bytes_of = load_pieces(model_path).bytes_of
+        for batch in batches:
+            for first in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(first, SLICE_ROWS)
+                column = part.column("ids")
+                ends, values = column.offsets.to_pylist(), column.values.to_numpy(zero_copy_only=False)
+                found = [
+                    b"".join(map(bytes_of.__getitem__, values[a:b].tolist())).decode("utf-8", "replace").removeprefix(" ")
+                    for a, b in zip(ends, ends[1:])
+                ]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.string())], names=[*part.schema.names, "text"])
+
+    return texts.mapInArrow(run, schema=StructType([*texts.schema.fields, StructField("text", StringType())]))
+
+
+def round_trips(df: DataFrame, model_path: str, **options) -> DataFrame:
+    """One row for each row of ``df``: ``doc_id``, ``text_key``, ``copy`` (which numbers rows that share
+    both), ``ids`` of the whole text, ``n_pieces``, the ``text`` decoded from them and ``same_text``, whether
+    that is the text that was encoded, by its hash."""
+    found = decoded(assembled(encoded(df, model_path, **options)), model_path)
+    return found.select(
+        "doc_id", "text_key", F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"), "ids",
+        F.size("ids").cast("long").alias("n_pieces"), "text", (F.xxhash64("text") == F.col("text_key")).alias("same_text"),
+    )
 
 
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -315,10 +342,10 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of every document, in segments."""
+    """One row a document: its pieces and the text decoded from them."""
     import public_tokenizers
 
-    return encoded(docs, public_tokenizers.path("piece_bpe_32k.model")).withColumn("n_pieces", F.size("ids").cast("long"))
+    return round_trips(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
 QUERIES = {"op6_sentencepiece": (op6_sentencepiece, None)}

@@ -259,6 +259,23 @@ def test_pieces_equal_the_library_and_decode(spark, documents):
     assert {r["doc_id"]: r["text"] for r in pieces.decoded(whole, _pieces_path()).collect()} == dict(enumerate(texts))
 
 
+def test_one_row_a_document_with_the_decoded_text(spark, documents):
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=_pieces_path())
+    rows = [(1, "the words of a text the"), (1, "the words of a text the"), (1, "another"), (2, ""), (3, None), (4, "a \u2581 b"), (5, "\u6f22 the \u2460 end ")]
+    docs = documents(*rows)
+    for frequent in (pieces.FREQUENT_WORDS, 2, 0):
+        found = pieces.round_trips(docs, _pieces_path(), frequent_words=frequent).collect()
+        assert sorted((r["doc_id"], r["ids"]) for r in found) == sorted((i, model.encode(t or "")) for i, t in rows)
+        assert sorted(r["copy"] for r in found if r["doc_id"] == 1) == [1, 1, 2]
+        assert all(r["n_pieces"] == len(r["ids"]) for r in found)
+        want = sorted((i, (t or "").replace("\u2581", " "), i != 4) for i, t in rows)
+        assert sorted((r["doc_id"], r["text"], r["same_text"]) for r in found) == want
+    by_query = pieces.stage(spark, docs, "")
+    assert by_query.count() == len(rows) and "same_text" in by_query.columns
+
+
 def test_fold_equals_merging():
     own = pieces.load_pieces(_pieces_path())
     random.seed(8)
