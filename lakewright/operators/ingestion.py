@@ -296,6 +296,7 @@ def ingest_batch(
 
     groups: dict[tuple, list[str]] = defaultdict(list)
     results: dict[str, dict] = {}
+    notes: dict[str, str] = {}
     for path in logged:
         table = homes[path]["lake_table_name"]
         fact = facts[path]
@@ -326,8 +327,12 @@ def ingest_batch(
                     lake, tried, list(header), table, mappings[table], years, ingest_id,
                     csv_options,
                 )
+                wide = fl.too_wide_lines(spark, tried, len(header), **csv_options).collect()
+                lines = {plain_path(unquote(r["_source_file"])): r["lines"] for r in wide}
                 for p in tried:
                     results[p] = {"load_status": "success", "lake_table": table}
+                    if found := lines.get(plain_path(p)):
+                        notes[p] = f"{found} lines hold more fields than the header; these are not loaded"
             except Exception as error:
                 if len(tried) == 1:
                     results[tried[0]] = {
@@ -365,7 +370,10 @@ def ingest_batch(
     opened = (
         lake.read("governance", "batch_log").where(F.col("ingest_id") == ingest_id).first()
     )
-    problems = "; ".join(f"{f['path']}: {f['problem']}" for f in log if f.get("problem"))
+    problems = "; ".join([
+        *[f"{f['path']}: {f['problem']}" for f in log if f.get("problem")],
+        *[f"{path}: {note}" for path, note in notes.items()],
+    ])
     _write_batch(
         lake, ingest_id, source_id, closing["status"], closing["n_files"], closing["n_success"],
         closing["n_error"], opened["batch_started_at_utc"] if opened else None, problems or None,
@@ -375,6 +383,7 @@ def ingest_batch(
         "n_success": closing["n_success"], "n_error": closing["n_error"],
         "promotions": promotions,
         "errors": {f["path"]: f["problem"] for f in log if f.get("problem")},
+        "notes": notes,
     }
 
 

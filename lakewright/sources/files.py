@@ -20,7 +20,6 @@ FACTS_SCHEMA = (
 )
 # multiLine keeps line ends inside quotes, at the price of one task per file; files known to
 # have none can be read in splits by passing quoted_newlines=False.
-HEAD_BYTES = 1 << 20
 CHUNK_BYTES = 1 << 22
 CSV_OPTIONS = {"quote": '"', "escape": '"', "multiLine": True}
 
@@ -58,19 +57,36 @@ def _open_input(path: str):
     return system.open_input_stream(inner, compression=None)
 
 
-def _facts_of(path: str) -> dict:
-    import hashlib
+class _Hashed(io.RawIOBase):
+    """A stream that hashes and counts the bytes read through it."""
+
+    def __init__(self, stream):
+        import hashlib
+
+        self.stream, self.digest, self.size = stream, hashlib.md5(), 0
+
+    def readable(self) -> bool:
+        return True
 
+    def readinto(self, buffer) -> int:
+        chunk = self.stream.read(len(buffer))
+        buffer[: len(chunk)] = chunk
+        self.digest.update(chunk)
+        self.size += len(chunk)
+        return len(chunk)
+
+
+def _facts_of(path: str) -> dict:
     try:
-        digest, size, head = hashlib.md5(), 0, b""
         with _open_input(path) as stream:
-            while chunk := stream.read(CHUNK_BYTES):
-                digest.update(chunk)
-                size += len(chunk)
-                if len(head) < HEAD_BYTES:
-                    head += chunk[: HEAD_BYTES - len(head)]
-        return dict(path=path, found=True, file_size_bytes=size, checksum=digest.hexdigest(),
-                    header=header_fields(head.decode("utf-8-sig", "replace")), problem=None)
+            hashed = _Hashed(stream)
+            whole = io.BufferedReader(hashed, CHUNK_BYTES)
+            text = io.TextIOWrapper(whole, "utf-8-sig", "replace", newline="\n")
+            header = next(csv.reader(text), [])
+            while whole.read(CHUNK_BYTES):
+                pass
+        return dict(path=path, found=True, file_size_bytes=hashed.size,
+                    checksum=hashed.digest.hexdigest(), header=header, problem=None)
     except FileNotFoundError:
         problem, found = "file does not exist", False
     except Exception as error:  # whatever is wrong with one file is that file's problem
@@ -135,6 +151,30 @@ def read_text_csv(
     )
 
 
+def too_wide_lines(
+    spark: SparkSession, paths: list[str], width: int, delimiter: str = ",",
+    quoted_newlines: bool = True, **_,
+) -> DataFrame:
+    """``_source_file`` and ``lines``, how many of its records hold more fields than ``width``.
+    Such records load without the fields beyond it. Files without any give no row."""
+    schema = T.StructType([*_text_schema(width).fields, T.StructField("_line", T.StringType())])
+    lines = spark.read.options(
+        header=True, sep=delimiter, columnNameOfCorruptRecord="_line", nullValue="\u0000",
+        **{**CSV_OPTIONS, "multiLine": quoted_newlines},
+    ).schema(schema).csv(paths)
+    # A record of another width is given as it was written; quoted fields are taken out of it
+    # before its delimiters are counted.
+    mark = re.escape(delimiter)
+    bare = F.regexp_replace("_line", f'(?s)(^|{mark})"(?:[^"]|"")*+"', "$1")
+    return (
+        # Spark does not read the record without another column.
+        lines.where(F.col("_line").isNotNull() & (F.coalesce(F.length("c0"), F.lit(0)) >= 0))
+        .select(F.col("_metadata.file_path").alias("_source_file"), bare.alias("bare"))
+        .where(F.size(F.split("bare", mark)) > width)
+        .groupBy("_source_file").agg(F.count(F.lit(1)).alias("lines"))
+    )
+
+
 def read_csv_strict(
     spark: SparkSession, path: str, expected: list[str], max_skip: int = 10
 ) -> DataFrame | None:

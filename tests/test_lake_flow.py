@@ -105,6 +105,16 @@ def test_ingest_batch(lake, incoming):
         ing.open_batch(lake, "I1", "SRC", ["x.csv"])
 
 
+def test_too_wide_lines_are_logged(lake, incoming):
+    path = sorted(incoming.glob("*.csv"))[0]
+    width = len(path.read_text().split("\n")[0].split(","))
+    path.write_text(path.read_text().rstrip("\n") + "\n" + ",".join(["9"] * width) + ",,LOST\n")
+    result = ingest(lake, incoming)
+    assert list(result["notes"]) == [str(path)] and result["notes"][str(path)].startswith("1 lines")
+    log = lake.read("governance", "batch_log").first()
+    assert str(path) in log["error_message"] and log["status"] == "success"
+
+
 def test_strict_promotion_keeps_old_table(lake, incoming):
     good = decisions(lake.spark)
     (incoming / "patients.csv").write_text("Patient ID,Weight (kg),Born\n1,70.5,2001-02-03\n")

@@ -267,3 +267,18 @@ def test_one_unreadable_header_is_one_row(spark, tmp_path):
     bad.write_text('"' + "x" * 200_000)
     found = {r["path"]: r for r in fl.file_facts(spark, [str(good), str(bad)]).collect()}
     assert found[str(good)]["found"] and not found[str(bad)]["found"] and found[str(bad)]["problem"]
+
+
+def test_header_of_more_than_a_mebibyte(spark, tmp_path):
+    names = [f"column_{i:06d}" for i in range(100_000)]
+    body = "\ufeff" + ",".join(names) + "\n1,2\n"
+    (tmp_path / "wide.csv").write_text(body, encoding="utf-8")
+    fact = fl.file_facts(spark, [str(tmp_path / "wide.csv")]).first()
+    assert fact["header"] == names and fact["file_size_bytes"] == len(body.encode())
+
+
+def test_too_wide_lines_are_counted(spark, tmp_path):
+    for name, body in (("good%41.csv", '1,2\n3\n"a,b","c""d,\ne"\n,\n'), ("wide.csv", '1,2,LOST\n3,4\n1,2,,LOST\n5,"x,\ny",z\n7\n"a,b"\n')):
+        (tmp_path / name).write_text("p,q\n" + body)
+    found = fl.too_wide_lines(spark, [str(tmp_path / n) for n in ("good%41.csv", "wide.csv")], 2).collect()
+    assert [(r["_source_file"].rsplit("/", 1)[1], r["lines"]) for r in found] == [("wide.csv", 3)]
