@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from lakewright.llm import contamination, language, lines, manifest, neardup, pieces, quality, secrets, tokens, toxicity, urls
+from lakewright.llm import contamination, language, lines, manifest, neardup, pieces, quality, repair, repeats, secrets, tokens, toxicity, urls
 
 QUERIES = {}
-for _module in (urls, tokens, language, toxicity, lines, pieces, quality, neardup, secrets, contamination, manifest):
+for _module in (urls, tokens, language, toxicity, lines, pieces, quality, neardup, secrets, contamination, repair, repeats, manifest):
     QUERIES.update(_module.QUERIES)
