@@ -11,9 +11,10 @@ suffixes are dealt to buckets first and each task builds arrays of whole buckets
 1. Equal texts are one node, known by the row with the smallest id. All other copies go entirely.
 2. Every string of ``LEAST`` bytes belongs to the least hash among its ``GRAM``-byte grams. Equal strings have
    the same one, and neighbouring strings mostly share theirs, so a text is a row of short runs of strings.
-3. Runs whose gram stands in one place of the corpus repeat nothing. The others carry their bytes to
-   the bucket of their gram. Of equal runs in a task only the first goes; the rest are known to be copies.
-   Of a gram with ``HOT`` places or more the strings go one by one, each to a bucket of its own, so no
+3. Runs whose gram stands in one place of the corpus repeat nothing, and of runs with the same bytes (by
+   digest) all but the first are copies: found inside each task first, then over the corpus, so that a
+   frequent run is one short row a task. Where different runs share a gram they carry their bytes to its
+   bucket. Of a gram with ``HOT`` places or more the strings go one by one, each to a bucket of its own, so no
    bucket holds more than ``HOT`` runs or the copies of one string that different tasks found first.
 4. The buckets' arrays give the places with an earlier match; what they cover is cut from the texts.
 
@@ -65,20 +66,16 @@ def _power(base: int, n: int) -> np.ndarray:
     return known[:n]
 
 
-def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
-    """The hash of the ``gram`` bytes at every place."""
-    n = len(data)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(_BYTE[data] * _power(_BASE, n), out=sums[1:])
-    return mixed((sums[gram:] - sums[:-gram]) * _power(pow(_BASE, -1, 1 << 64), n)[: n - gram + 1])
-
-
-def runs_of(data: np.ndarray, least: int = LEAST, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, first place and length of the runs of places whose ``least``-byte strings have their least
-    gram (the first of equals) in common."""
-    hashes, starts, lengths = [], [], []
+def runs_of(data: np.ndarray, least: int = LEAST, gram: int = GRAM) -> tuple[np.ndarray, ...]:
+    """Of the runs of places whose ``least``-byte strings have their least gram (the first of equals) in
+    common: the gram's hash, a digest of all bytes of the run's strings, the first place, the length."""
+    found = []
     for begin in range(0, len(data) - least + 1, PIECE):
-        grams = gram_hashes(data[begin:begin + PIECE + least - 1], gram)
+        piece = data[begin:begin + PIECE + least - 1]
+        n = len(piece)
+        sums, inverse = np.zeros(n + 1, np.uint64), _power(pow(_BASE, -1, 1 << 64), n)
+        np.cumsum(_BYTE[piece] * _power(_BASE, n), out=sums[1:])
+        grams = mixed((sums[gram:] - sums[:-gram]) * inverse[: n - gram + 1])
         at, width = np.arange(len(grams)), 1
         while width < least - gram + 1:
             step = min(width, least - gram + 1 - width)
@@ -86,12 +83,10 @@ def runs_of(data: np.ndarray, least: int = LEAST, gram: int = GRAM) -> tuple[np.
             at = np.where(grams[a] <= grams[b], a, b)
             width += step
         first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-        hashes.append(grams[at[first]].view(np.int64))
-        starts.append(first + begin)
-        lengths.append(np.diff(np.r_[first, len(at)]))
-    if not hashes:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate(hashes), np.concatenate(starts), np.concatenate(lengths)
+        lengths = np.diff(np.r_[first, len(at)])
+        bytes_ = (sums[first + lengths + least - 1] - sums[first]) * inverse[first] + lengths.astype(np.uint64)
+        found.append((grams[at[first]].view(np.int64), mixed(bytes_).view(np.int64), first + begin, lengths))
+    return tuple(np.concatenate(c) for c in zip(*found)) if found else (np.zeros(0, np.int64),) * 4
 
 
 def _earlier(rank: np.ndarray, common: np.ndarray, least: int) -> np.ndarray:
@@ -135,19 +130,31 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
                 yield node, np.frombuffer(batch.column(1)[i].as_py(), np.uint8), *(c[i] for c in batch.columns[2:])
 
 
-_RUNS = pa.schema([("h", pa.int64()), ("node", pa.int64()), ("start", pa.int32()), ("length", pa.int16())])
+#: A run's place and length in one number.
+LENGTHS = 1 << 8
+
+_RUNS = pa.schema([("h", pa.int64()), ("d", pa.int64()), ("node", pa.int64()), ("at", pa.int64())])
 
 
 def _runs(least: int, gram: int):
+    """Gram hash ``h``, digest ``d``, node and place of every run. Copies of a run that the task has seen have no
+    digest, and no gram: they are dealt evenly."""
     def batch_of(found):
-        columns = (np.concatenate(c) for c in zip(*found))
-        return pa.RecordBatch.from_arrays([pa.array(c.astype(f.type.to_pandas_dtype())) for c, f in zip(columns, _RUNS)], schema=_RUNS)
+        columns = [np.concatenate(c) for c in zip(*found)]
+        arrays = [pa.array(c) for c in columns[:-1]]
+        arrays[1] = pa.array(columns[1], mask=columns[-1])
+        return pa.RecordBatch.from_arrays(arrays, schema=_RUNS)
 
     def run(batches):
-        found, held = [], 0
+        found, held, seen = [], 0, set()
         for node, data, *_ in _texts(batches):
-            h, start, length = runs_of(data, least, gram)
-            found.append((h, np.full(len(h), node, np.int64), start, length))
+            h, d, start, length = runs_of(data, least, gram)
+            nodes, at = np.full(len(h), node, np.int64), start * LENGTHS + length
+            if len(seen) >= REMEMBERED:
+                seen.clear()
+            known = np.array([x in seen or bool(seen.add(x)) for x in d.tolist()], bool)
+            h = np.where(known, mixed((nodes + at * 0x9E3779B1).view(np.uint64)).view(np.int64), h)
+            found.append((h, d, nodes, at, known))
             held += len(h)
             if held >= BATCH_ROWS:
                 yield batch_of(found)
@@ -158,28 +165,19 @@ def _runs(least: int, gram: int):
     return run
 
 
-_CONTEXTS = pa.schema([("b", pa.int64()), ("node", pa.int64()), ("start", pa.int32()), ("length", pa.int16()), ("bytes", pa.binary())])
+_CONTEXTS = pa.schema([("b", pa.int64()), ("node", pa.int64()), ("start", pa.int32()), ("length", pa.int32()), ("bytes", pa.binary())])
 
 
 def _contexts(least: int):
-    """Runs with their bytes; strings of hot grams one by one. A run that the task has seen is a copy: it
-    goes without bytes."""
+    """Runs to be judged with their bytes, strings of hot grams one by one; copies without bytes, neighbouring
+    ones as one. A string that the task has seen is a copy, too."""
     def run(batches):
         seen: set[bytes] = set()
         rows: list[tuple] = []
 
-        def add(b, node, start, length, bytes_):
-            mark = xxhash.xxh3_128_digest(bytes_)
-            known = mark in seen
-            if not known:
-                if len(seen) >= REMEMBERED:
-                    seen.clear()
-                seen.add(mark)
-            if known:  # dealt evenly: nothing is compared any more
-                b = xxhash.xxh3_64_intdigest(b"%d:%d" % (node, start)) - (1 << 63)
-            elif b is None:
-                b = int.from_bytes(mark[:8], "little", signed=True)
-            rows.append((b, node, start, length, None if known else bytes_))
+        def copy(node, start, length):
+            b = xxhash.xxh3_64_intdigest(b"%d:%d" % (node, start)) - (1 << 63)
+            rows.append((b, node, start, length, None))
 
         def batch_of():
             columns = list(zip(*rows))
@@ -188,16 +186,34 @@ def _contexts(least: int):
 
         for node, data, places in _texts(batches):
             text = data.tobytes()
-            starts, lengths, hashes, hot = (places.values.field(k).to_numpy(zero_copy_only=False) for k in range(4))
-            for i in np.argsort(starts, kind="stable").tolist():
-                start, length = int(starts[i]), int(lengths[i])
-                if not hot[i]:
-                    add(int(hashes[i]), node, start, length, text[start:start + length + least - 1])
+            ats, hashes, hot = (places.values.field(k).to_pylist() for k in range(3))
+            waiting: tuple[int, int] | None = None
+            for at, h, is_hot in sorted(zip(ats, hashes, hot), key=lambda p: p[0]):
+                start, length = divmod(at, LENGTHS)
+                if h is None:
+                    if waiting and sum(waiting) == start:
+                        waiting = (waiting[0], waiting[1] + length)
+                    else:
+                        if waiting:
+                            copy(node, *waiting)
+                        waiting = (start, length)
+                elif not is_hot:
+                    rows.append((h, node, start, length, text[start:start + length + least - 1]))
                 else:
-                    for at in range(start, start + length):
-                        add(None, node, at, 1, text[at:at + least])
+                    for one in range(start, start + length):
+                        string = text[one:one + least]
+                        mark = xxhash.xxh3_128_digest(string)
+                        if mark in seen:
+                            copy(node, one, 1)
+                            continue
+                        if len(seen) >= REMEMBERED:
+                            seen.clear()
+                        seen.add(mark)
+                        rows.append((int.from_bytes(mark[:8], "little", signed=True), node, one, 1, string))
                 if len(rows) >= BATCH_ROWS:
                     yield batch_of()
+            if waiting:
+                copy(node, *waiting)
         if rows:
             yield batch_of()
 
@@ -296,8 +312,8 @@ def without_repeats(
 ) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``n_bytes``, ``digest`` (SHA-256 of the text), ``spans`` (what goes, in bytes,
     end exclusive) and ``kept``, the bytes that stay, null where that is the whole text."""
-    if not 0 < gram <= least:
-        raise ValueError("gram must be between 1 and least")
+    if not 0 < gram <= least or least - gram + 1 >= LENGTHS:
+        raise ValueError("gram must be between 1 and least, and near enough to it")
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = picked(docs, doc_id=id_column, text=text_column).select(
         "doc_id", F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id_text"),
@@ -320,13 +336,17 @@ def without_repeats(
         joined = texts.join(by_node, keys).select("node", F.col("text").cast("binary").alias("text"), *more)
         return joined.sortWithinPartitions("node")
 
-    runs = with_text(nodes.drop("row")).mapInArrow(_runs(least, gram), "h long, node long, start int, length short")
-    places = runs.withColumn("places", F.count(F.lit(1)).over(Window.partitionBy("h"))).where("places > 1")
-    wanted = places.groupBy("node").agg(
-        F.collect_list(F.struct("start", "length", "h", (F.col("places") >= hot).alias("hot"))).alias("runs")
-    )
+    runs = with_text(nodes.drop("row")).mapInArrow(_runs(least, gram), "h long, d long, node long, at long")
+    gram_places = Window.partitionBy("h")
+    same = F.lag("d").over(gram_places.orderBy("d", "node", "at")) == F.col("d")
+    places = runs.select(
+        "*", (F.col("d").isNull() | F.coalesce(same, F.lit(False))).alias("copy"),
+        (F.min("d").over(gram_places) != F.max("d").over(gram_places)).alias("several"),
+        (F.count(F.lit(1)).over(gram_places) >= hot).alias("hot"),
+    ).where("copy OR several")
+    wanted = places.groupBy("node").agg(F.collect_list(F.struct("at", F.when(~F.col("copy"), F.col("h")).alias("h"), "hot")).alias("runs"))
     contexts = with_text(wanted.join(nodes, "node"), "runs").mapInArrow(
-        _contexts(least), "b long, node long, start int, length short, bytes binary"
+        _contexts(least), "b long, node long, start int, length int, bytes binary"
     )
     spans = contexts.repartition("b").sortWithinPartitions("b", "node", "start").mapInArrow(
         _judged(least), "node long, start int, end int"
