@@ -26,7 +26,10 @@ DIMENSIONS = 8192
 FIT_TEXTS = 400
 CENTROIDS = 4
 
-#: A text is rejected below this share of the lowest cosine among the fitted texts of its language.
+#: Of the gathered texts of a language one in so many is kept from the centroids and sets the floor.
+CALIBRATION = 4
+
+#: A text is rejected below this share of the lowest cosine among the calibration texts of its language.
 REJECTION_SHARE = 0.5
 
 _SPACES = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
@@ -100,8 +103,9 @@ def fit_languages(
     """Learns from all rows given that have a text with a letter and a language.
 
     Document frequencies cover all of them. Centroids are fitted on the rows with the lowest hashes
-    of their ids, about ``fit_texts`` a language: the driver holds that many vectors. Without any
-    learning row the model decides nothing.
+    of their ids, about ``fit_texts`` a language: the driver holds that many vectors. One in
+    ``CALIBRATION`` of them takes no part in the centroids: how near unseen texts of the language come to
+    them sets the floor for rejection. Without any learning row the model decides nothing.
     """
     spark = df.sparkSession
     rows = picked(df, doc_id=id_column, text=text_column, lang=language_column).filter(
@@ -144,8 +148,10 @@ def fit_languages(
     names, rows_, floors = [], [], []
     for name in sorted(gathered):
         vectors = np.array(gathered[name])
-        centres = _clusters(vectors, centroids)
-        floor = rejection_share * float((vectors @ centres.T).max(axis=1).min())
+        unseen = np.arange(len(vectors)) % CALIBRATION == CALIBRATION - 1
+        centres = _clusters(vectors[~unseen], centroids)
+        judged = vectors[unseen] if unseen.any() else vectors
+        floor = rejection_share * float((judged @ centres.T).max(axis=1).min())
         names += [name] * len(centres)
         rows_.append(centres)
         floors += [floor] * len(centres)

@@ -360,7 +360,9 @@ def test_secret_spans(spark, documents):
 
 
 def test_rules():
-    assert [r[1] + r[2] for r in urls._ordered(urls.RULES)] == ["www.example.com/en/", "example.com/en/", "net/fr/", "net/es/", "com/"]
+    ordered = [r[1] + r[2] for r in urls._ordered(urls.RULES)]
+    # Rules of equal length cannot both fit one url's path, so their order is free.
+    assert [ordered[:2], sorted(ordered[2:4]), ordered[4:]] == [["www.example.com/en/", "example.com/en/"], ["net/es/", "net/fr/"], ["com/"]]
 
 
 def test_trust_and_distrust_against_brute_force(spark):
