@@ -242,8 +242,10 @@ def harmonize_table(
     lake: Lake, target_table: str, ingest_id: str, source_type: str | None = None,
     schema: T.StructType | None = None, conflict: str = "error",
 ) -> dict:
-    """Rebuild one batch's rows of a domain table. Every source table is one write that
-    counts its rows on the way; one failing leaves the others and is logged."""
+    """Rebuild one batch's rows of a domain table. Every source table is one slice of it and
+    one write that counts its rows on the way. A source that fails is logged; the others go on,
+    and the rows an earlier run made of it stay. Rows of sources that are no longer mapped go.
+    With ``source_type`` only the slices of that type are touched."""
     spark = lake.spark
     mapping = lake.read("reference", "harmonization_map")
     groups: dict[tuple, list[dict]] = defaultdict(list)
@@ -251,6 +253,10 @@ def harmonize_table(
         groups[m["source_type"], m["source_table"]].append(m.asDict())
     out = {"target_table": target_table, "rows_inserted": 0, "sources_processed": 0,
            "sources_skipped": 0, "sources_failed": 0}
+    for old in lake.slices("validated", target_table):
+        mine = old["ingest_id"] == ingest_id and source_type in (None, old["source_type"])
+        if groups and mine and (old["source_type"], old["source_table"]) not in groups:
+            lake.drop_slice("validated", target_table, old)
     if not groups:
         return out
     if schema is None:
@@ -262,8 +268,6 @@ def harmonize_table(
             schema = validated_schemas(
                 lake.read("reference", "metadata"), staging_column_types(spark, staged)
             ).get(target_table, T.StructType(GOVERNANCE_FIELDS))
-    if lake.exists("validated", target_table):
-        lake.drop_slice("validated", target_table, {"ingest_id": ingest_id})
     entries = []
     for (kind, table), mappings in sorted(groups.items()):
         entry = {"source_type": kind, "source_table": table, "source_rows": 0, "rows": 0,
@@ -285,20 +289,21 @@ def harmonize_table(
                         F.monotonically_increasing_id().cast("string"),
                     ),
                     "created_at": F.current_timestamp(),
-                    "ingest_id": F.lit(ingest_id),
                 })
                 fitted = rows.select(*[
                     F.col(f.name) if f.name in rows.columns
                     else F.lit(None).cast(f.dataType).alias(f.name)
                     for f in schema.fields
                 ], *[c for c in rows.columns if c not in schema.names])
-                lake.append("validated", target_table, fitted, ("ingest_id",))
+                lake.replace_slice("validated", target_table, fitted, {
+                    "ingest_id": ingest_id, "source_type": kind, "source_table": table,
+                })
                 n = seen.get["n"]
                 entry.update(status="success", rows=n, source_rows=n)
                 out["rows_inserted"] += n
                 out["sources_processed"] += 1
             except Exception as error:
-                entry.update(status="failed", error=str(error)[:2000])
+                entry.update(status="failed", error=str(error), source_rows=staging.count())
                 out["sources_failed"] += 1
         entry["completed"] = datetime.now(timezone.utc)
         entries.append(entry)

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections import defaultdict
 from datetime import datetime, timezone
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -139,37 +140,81 @@ def promoted(df: DataFrame, types: dict[str, str]) -> DataFrame:
     ])
 
 
-def promote_to_staging(lake: Lake, table: str, decisions: DataFrame) -> dict:
-    """Rebuild the staging table of a raw table with decided types. The old staging table
-    stays when any value does not fit."""
-    table = table.strip().lower()
-    out = {"status": "error", "lake_table": table, "n_rows": None, "n_columns": None,
-           "n_typed": None, "error_message": None}
-    if not lake.exists("raw", table):
-        return {**out, "error_message": f"raw.{table} does not exist."}
-    raw = lake.read("raw", table)
-    columns = [c for c in raw.columns if c not in LINEAGE]
+TYPES_FACT = "lakewright.decided_types"
+
+
+def _decided_types(lake: Lake, table: str, columns: list[str], decisions: DataFrame) -> dict[str, str]:
+    """Types other than TEXT decided for columns of a table."""
     asked = lake.spark.createDataFrame(
         [(table, c) for c in columns], "table_name string, variable string"
     )
-    names = decisions.columns
-    if "lake_table_name" in names:
+    if "lake_table_name" in decisions.columns:
         decisions = decisions.withColumnsRenamed(
             {"lake_table_name": "table_name", "lake_variable_name": "variable"}
         )
     chosen = {r["variable"]: r["chosen_type"] for r in type_choices(asked, decisions).collect()}
-    typed = {c: t for c, t in chosen.items() if t.upper() != "TEXT"}
+    return {c: t for c, t in chosen.items() if t.upper() != "TEXT"}
+
+
+def _types_still_fit(lake: Lake, table: str, typed: dict[str, str]) -> bool:
+    """Whether the staging table was made with these types; columns it lacks may have any."""
+    known = lake.noted("staging", table, TYPES_FACT) if lake.exists("staging", table) else None
+    if known is None:
+        return False
+    staged = set(lake.read("staging", table).columns) - set(LINEAGE)
+    return {c: t for c, t in typed.items() if c in staged} == json.loads(known)
+
+
+def promote_to_staging(
+    lake: Lake, table: str, decisions: DataFrame, ingest_id: str | None = None
+) -> dict:
+    """Bring a raw table to staging with decided types, batch by batch.
+
+    Batches that staging lacks, and the one named, are read from their slice of the raw table
+    alone, and each becomes a slice of the staging table. Only where the decided type of a
+    column has changed since, the table is rebuilt as a whole. Values that do not fit fail the
+    promotion; what staging held before stays. ``n_rows`` counts the rows promoted now,
+    ``mode`` tells slices from a whole table."""
+    table = table.strip().lower()
+    out = {"status": "error", "lake_table": table, "n_rows": None, "n_columns": None,
+           "n_typed": None, "mode": None, "error_message": None}
+    if not lake.exists("raw", table):
+        return {**out, "error_message": f"raw.{table} does not exist."}
+    raw = lake.read("raw", table)
+    columns = [c for c in raw.columns if c not in LINEAGE]
+    typed = _decided_types(lake, table, columns, decisions)
     out = {**out, "n_columns": len(columns), "n_typed": len(typed)}
+    noted = {TYPES_FACT: json.dumps(typed)}
+    seen = Observation()
+    count = F.count(F.lit(1)).alias("n")
     try:
-        lake.replace("staging", table, promoted(raw, typed), ("_ingest_id",))
+        if not _types_still_fit(lake, table, typed):
+            out["mode"] = "table"
+            rows = promoted(raw, typed).observe(seen, count)
+            lake.replace("staging", table, rows, ("_ingest_id",), noted)
+            return {**out, "status": "promoted", "n_rows": seen.get["n"]}
+        out["mode"] = "slices"
+        here = [s["_ingest_id"] for s in lake.slices("raw", table)]
+        staged = {s["_ingest_id"] for s in lake.slices("staging", table)}
+        total = 0
+        for batch in here:
+            if batch in staged and batch != ingest_id:
+                continue
+            seen = Observation()
+            rows = promoted(raw.where(F.col("_ingest_id") == batch), typed).observe(seen, count)
+            lake.replace_slice("staging", table, rows.drop("_ingest_id"), {"_ingest_id": batch})
+            total += seen.get["n"]
+        for batch in staged - set(here):
+            lake.drop_slice("staging", table, {"_ingest_id": batch})
+        lake.note("staging", table, noted)
     except Exception as error:
-        return {**out, "error_message": str(error)[:2000]}
-    n_rows = lake.read("staging", table).count()
-    return {**out, "status": "promoted", "n_rows": n_rows}
+        return {**out, "error_message": str(error)}
+    return {**out, "status": "promoted", "n_rows": total}
 
 
 def backfill_staging(lake: Lake, decisions: DataFrame, mode: str = "missing_only") -> list[dict]:
-    """Promote all raw tables, or those without a staging table."""
+    """Promote all raw tables, or those without a staging table. Tables whose decided types
+    are as before only take in the batches that staging lacks."""
     if mode not in ("missing_only", "all"):
         raise ValueError(f"invalid mode {mode!r}: use 'missing_only' or 'all'")
     present = set(lake.tables("staging")) if mode == "missing_only" else set()
@@ -272,7 +317,8 @@ def ingest_batch(
     """Load the pending files of a batch into raw tables and close the batch.
 
     Files that share a lake table and a header are read by one job. A group that fails is
-    tried again file by file, so that a bad file is an error of its own and the others load.
+    halved, and its halves are tried, so that a bad file is an error of its own and the others
+    load: one bad file among ``n`` costs about ``2 log n`` jobs.
     """
     spark = lake.spark
     pending = (
@@ -320,7 +366,7 @@ def ingest_batch(
     for (table, header), paths in groups.items():
         years = {p: homes[p]["lab_year"] for p in paths}
         attempts = [paths]
-        while attempts:
+        while attempts:  # a group that fails is halved until the bad files stand alone
             tried = attempts.pop()
             try:
                 _load_group(
@@ -336,10 +382,11 @@ def ingest_batch(
             except Exception as error:
                 if len(tried) == 1:
                     results[tried[0]] = {
-                        "load_status": "error", "lake_table": table, "problem": str(error)[:2000],
+                        "load_status": "error", "lake_table": table, "problem": str(error),
                     }
                 else:
-                    attempts.extend([p] for p in tried)
+                    middle = len(tried) // 2
+                    attempts.extend((tried[middle:], tried[:middle]))
 
     counts: dict[str, int] = {}
     for table in {r["lake_table"] for r in results.values() if r["load_status"] == "success"}:
@@ -363,7 +410,7 @@ def ingest_batch(
     promotions = []
     loaded = sorted({f["lake_table"] for f in log if f["load_status"] == "success"})
     if type_decisions is not None:
-        promotions = [promote_to_staging(lake, t, type_decisions) for t in loaded]
+        promotions = [promote_to_staging(lake, t, type_decisions, ingest_id) for t in loaded]
 
     this_batch = lake.read("governance", "ingest_file_log").where(F.col("ingest_id") == ingest_id)
     closing = batch_status(this_batch).first()

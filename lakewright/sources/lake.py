@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,9 @@ from pyspark.sql import functions as F
 # The zones of the lake.
 ZONES = ("reference", "raw", "staging", "validated", "governance")
 
+# Name under which a table stands while another takes its place.
+ASIDE = "aside_"
+
 
 class Lake:
     """Named tables in zones. ``prefix`` separates several lakes in one catalog."""
@@ -45,35 +49,100 @@ class Lake:
             return
         self._fitted(zone, table, df).write.mode("append").insertInto(self.name(zone, table))
 
-    def replace(self, zone: str, table: str, df: DataFrame, keys: tuple[str, ...] = ()) -> None:
-        """Build the table in a place of its own and swap the catalog entry: a failing job
-        leaves the old table, ``df`` may read the table it replaces, and no data moves."""
+    def replace(
+        self, zone: str, table: str, df: DataFrame, keys: tuple[str, ...] = (),
+        facts: dict[str, str] | None = None,
+    ) -> None:
+        """Build the table in a place of its own and swap it in: a failing job leaves the old
+        table, ``df`` may read the table it replaces, and no data moves. With the columns
+        unchanged the swap is one change of the table's location; else two renames, between
+        which the old table stands under another name (see ``recover``)."""
         beside = f"swap_{table}_{uuid.uuid4().hex[:8]}"
         path = f"{self._folder(zone)}/{table}__{uuid.uuid4().hex}"
         try:
             self._create(zone, beside, df, keys, path)
+            if facts:
+                self.note(zone, beside, facts)
         except Exception:
             self.drop(zone, beside)
             self._remove(path)
             raise
-        old = self._own_path(zone, table)
-        self.drop(zone, table)
-        self.spark.sql(
-            f"ALTER TABLE {self.name(zone, beside)} RENAME TO {self.name(zone, table)}"
-        )
-        if old:
-            self._remove(old)
+        if not self.exists(zone, table):
+            self._rename(zone, beside, table)
+            return
+        old = self._location(zone, table)
+        same = self.read(zone, table).schema == self.read(zone, beside).schema
+        if same and not keys and not self._keys(zone, table):
+            new = self._location(zone, beside)
+            self.spark.sql(f"ALTER TABLE {self.name(zone, table)} SET LOCATION '{_quoted(new)}'")
+            if facts:
+                self.note(zone, table, facts)
+            self.drop(zone, beside)
+        else:
+            aside = f"{ASIDE}{table}_{uuid.uuid4().hex[:8]}"
+            slices = [self._location(zone, table, v) for v in self.slices(zone, table)]
+            self._rename(zone, table, aside)
+            try:
+                self._rename(zone, beside, table)
+            except Exception:
+                self._rename(zone, aside, table)
+                raise
+            old = self._location(zone, aside)
+            self.drop(zone, aside)
+            for place in slices:
+                self._remove(place)
+        self._remove(old)
+
+    def recover(self, zone: str) -> list[str]:
+        """After a crash: tables set aside by a swap that did not end get their name back;
+        the remains of swaps that did are dropped. Not to be run beside a swap."""
+        back = []
+        for name in self.tables(zone):
+            if name.startswith("swap_"):
+                self.drop(zone, name)
+            elif name.startswith(ASIDE):
+                table = name[len(ASIDE):].rsplit("_", 1)[0]
+                if self.exists(zone, table):
+                    self.drop(zone, name)
+                else:
+                    self._rename(zone, name, table)
+                    back.append(table)
+        return back
+
+    def note(self, zone: str, table: str, facts: dict[str, str]) -> None:
+        """Keep short facts with the table's catalog entry."""
+        listed = ", ".join(f"'{_quoted(k)}' = '{_quoted(v)}'" for k, v in facts.items())
+        self.spark.sql(f"ALTER TABLE {self.name(zone, table)} SET TBLPROPERTIES ({listed})")
+
+    def noted(self, zone: str, table: str, fact: str) -> str | None:
+        rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.name(zone, table)}").collect()
+        return {r["key"]: r["value"] for r in rows}.get(fact)
+
+    def _rename(self, zone: str, old: str, new: str) -> None:
+        self.spark.sql(f"ALTER TABLE {self.name(zone, old)} RENAME TO {self.name(zone, new)}")
 
     def _folder(self, zone: str) -> str:
         return self.spark.catalog.getDatabase(f"{self.prefix}{zone}").locationUri.rstrip("/")
 
-    def _own_path(self, zone: str, table: str) -> str | None:
-        """Where a table made by ``replace`` keeps its data; dropping it leaves that behind."""
-        if not self.exists(zone, table):
-            return None
-        about = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(zone, table)}")
-        facts = {r["col_name"]: r["data_type"] for r in about.collect()}
-        return facts.get("Location") if facts.get("Type") == "EXTERNAL" else None
+    def _location(self, zone: str, table: str, values: dict[str, str] | None = None) -> str:
+        """Where a table or one of its slices keeps its data."""
+        spec = f" PARTITION ({_spec(values)})" if values else ""
+        about = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(zone, table)}{spec}")
+        return [r["data_type"] for r in about.collect() if r["col_name"] == "Location"][-1]
+
+    def _keys(self, zone: str, table: str) -> list[str]:
+        return [c.name for c in self.spark.catalog.listColumns(self.name(zone, table)) if c.isPartition]
+
+    def slices(self, zone: str, table: str) -> list[dict[str, str]]:
+        """The key values of the slices of a table; data is not read."""
+        if not self.exists(zone, table) or not self._keys(zone, table):
+            return []
+        listed = self.spark.sql(f"SHOW PARTITIONS {self.name(zone, table)}").collect()
+        # Names are written as in paths.
+        return [
+            {k: unquote(v) for k, v in (part.split("=", 1) for part in r[0].split("/"))}
+            for r in listed
+        ]
 
     def _remove(self, path: str) -> None:
         hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -84,21 +153,44 @@ class Lake:
         self, zone: str, table: str, df: DataFrame, values: dict[str, str]
     ) -> None:
         """Replace the rows whose key columns equal ``values`` by ``df``; other rows are not
-        read. The key columns partition the table, which ``append`` or this call made."""
+        read. The rows are written to a place of their own first; then one change in the
+        catalog points the slice to it. A failing job leaves the earlier rows, and ``df`` may
+        read them. A ``df`` without rows leaves an empty slice. ``values`` are all the keys that
+        partition the table, which ``append`` or this call made."""
         keys = tuple(values)
-        df = df.withColumns({k: F.lit(v) for k, v in values.items()})
         if not self.exists(zone, table):
-            self._create(zone, table, df, keys)
-            return
-        self.drop_slice(zone, table, values)
-        self.append(zone, table, df, keys)
+            typed = df.withColumns({k: F.lit(v) for k, v in values.items()})
+            self._create(zone, table, self.spark.createDataFrame([], typed.schema), keys)
+        rows = self._fitted(zone, table, df, keys)
+        place = f"{self._folder(zone)}/{table}__slices/{uuid.uuid4().hex}"
+        try:
+            rows.write.parquet(place)
+        except Exception:
+            self._remove(place)
+            raise
+        target, spec = self.name(zone, table), _spec(values)
+        if self.has_slice(zone, table, values):
+            old = self._location(zone, table, values)
+            self.spark.sql(
+                f"ALTER TABLE {target} PARTITION ({spec}) SET LOCATION '{_quoted(place)}'"
+            )
+            self._remove(old)
+        else:
+            self.spark.sql(f"ALTER TABLE {target} ADD PARTITION ({spec}) LOCATION '{_quoted(place)}'")
+
+    def has_slice(self, zone: str, table: str, values: dict[str, str]) -> bool:
+        if not self.exists(zone, table):
+            return False
+        found = self.spark.sql(f"SHOW PARTITIONS {self.name(zone, table)} PARTITION ({_spec(values)})")
+        return not found.isEmpty()
 
     def drop_slice(self, zone: str, table: str, values: dict[str, str]) -> None:
-        if self.exists(zone, table):
-            spec = ", ".join(f"`{k}` = '{_quoted(v)}'" for k, v in values.items())
+        if self.has_slice(zone, table, values):
+            place = self._location(zone, table, values)
             self.spark.sql(
-                f"ALTER TABLE {self.name(zone, table)} DROP IF EXISTS PARTITION ({spec})"
+                f"ALTER TABLE {self.name(zone, table)} DROP IF EXISTS PARTITION ({_spec(values)})"
             )
+            self._remove(place)
 
     def _create(
         self, zone: str, table: str, df: DataFrame, keys: tuple[str, ...],
@@ -112,7 +204,11 @@ class Lake:
             writer = writer.option("path", path)
         writer.saveAsTable(self.name(zone, table))
 
-    def _fitted(self, zone: str, table: str, df: DataFrame) -> DataFrame:
+    def _fitted(
+        self, zone: str, table: str, df: DataFrame, leave: tuple[str, ...] = ()
+    ) -> DataFrame:
+        """``df`` with the columns of the table, but for those in ``leave``; columns the table
+        lacks are added to it."""
         known = self.read(zone, table).schema
         names = {f.name.lower() for f in known.fields}
         extra = [f for f in df.schema.fields if f.name.lower() not in names]
@@ -125,9 +221,13 @@ class Lake:
             F.col(f"`{have[f.name.lower()]}`").cast(f.dataType).alias(f.name)
             if f.name.lower() in have
             else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in known.fields
+            for f in known.fields if f.name not in leave
         ])
 
 
+def _spec(values: dict[str, str]) -> str:
+    return ", ".join(f"`{k}` = '{_quoted(v)}'" for k, v in values.items())
+
+
 def _quoted(value: str) -> str:
     return value.replace("\\", "\\\\").replace("'", "\\'")
