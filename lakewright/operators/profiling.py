@@ -22,7 +22,8 @@ from lakewright.operators.quantiles import exact_quantiles
 from lakewright.operators.settings import profiling_settings
 from lakewright.session import written
 
-# A text of more bytes than this is counted by digest; its first characters stay visible.
+# A text of more bytes than this is counted by digest; its first characters stay with it. Both
+# only size the frequency table: results are those of whole texts.
 LONG_TEXT_BYTES = 128
 HEAD_CHARS = 64
 # Up to this many distinct numbers a column's quantiles are read from one in-memory map.
@@ -150,18 +151,26 @@ def _typed_frequencies(data_type: T.DataType, cells: DataFrame, settings: dict)
     numeric, strings = _sentinel_lists(settings)
     is_long = F.col("digest").isNotNull()
     if isinstance(data_type, T.StringType):
-        # What is asked of a long text is taken from the whole text, before it is cut.
-        spelled = F.upper(tx.trim_blanks(v))
+        # What is asked of a long text is taken from the whole text, before it is cut. It is the
+        # same for all texts of a digest, so it is no part of the key.
+        facts = {
+            "long_white": v.rlike(tx.WHITESPACE_ONLY), "long_layouts": _layout_bits(tx.trim_blanks(v)),
+        }
+        # Upper case shortens no text to less than a third of its bytes.
+        long_keys = [k for k in (*numeric, *strings) if 3 * len(k.encode()) > LONG_TEXT_BYTES]
+        if long_keys:
+            spelled = F.upper(tx.trim_blanks(v))
+            facts["long_key"] = F.when(spelled.isin(*long_keys), spelled)
         counted = cells.withColumn("is_long", is_long_text(v)).select(
             "col_id",
-            F.when(F.col("is_long"), F.substring(tx.trim_blanks(v), 1, HEAD_CHARS))
-            .otherwise(v).alias("value"),
+            F.when(F.col("is_long"), F.substring(v, 1, HEAD_CHARS)).otherwise(v).alias("value"),
             F.when(F.col("is_long"), F.sha2(v, 256)).alias("digest"),
-            F.when(F.col("is_long"), v.rlike(tx.WHITESPACE_ONLY)).alias("long_white"),
-            F.when(F.col("is_long") & spelled.isin(*numeric, *strings), spelled)
-            .alias("long_key"),
-            F.when(F.col("is_long"), _layout_bits(tx.trim_blanks(v))).alias("long_layouts"),
-        ).groupBy("col_id", "value", "digest", "long_white", "long_key", "long_layouts").agg(count)
+            *[F.when(F.col("is_long"), c).alias(name) for name, c in facts.items()],
+        ).groupBy("col_id", "value", "digest").agg(
+            count, *[F.max(name).alias(name) for name in facts]
+        )
+        if not long_keys:
+            counted = counted.withColumn("long_key", F.lit(None).cast("string"))
         counted = counted.withColumn("trimmed", tx.trim_blanks(v))
     else:
         counted = cells.groupBy("col_id", "value").agg(count).withColumns({
@@ -240,7 +249,8 @@ def value_groups(freq: DataFrame, catalog: DataFrame, settings: dict) -> DataFra
         F.broadcast(catalog.select("col_id", "is_identifier", "is_text")), "col_id"
     ).select(
         "col_id", "is_identifier", "key", "n", "kind", "number", "layouts",
-        F.when(kind == "filled", trimmed != "").otherwise(False).alias("has_text"),
+        F.when(kind == "filled", F.col("digest").isNotNull() | (trimmed != "")).otherwise(False)
+        .alias("has_text"),
         F.when(F.col("is_text") & has_number, trimmed).alias("number_text"),
     )
     groups = prepared.groupBy("col_id", "is_identifier", "key").agg(
@@ -507,17 +517,27 @@ def numeric_statistics(
     )
 
 
-def top_values(freq: DataFrame, groups: DataFrame, settings: dict) -> DataFrame:
-    """The most frequent valid values of each column: most frequent first, ties in value
-    order (long texts by their start, then by digest). Ranking keeps only the first rows of
-    each column before it shuffles."""
+def top_values(
+    freq: DataFrame, groups: DataFrame, settings: dict,
+    cells: dict[str, tuple[T.DataType, DataFrame]],
+) -> DataFrame:
+    """The most frequent valid values of each column: most frequent first, ties in binary order
+    of the whole values. Counts and the first characters settle most ranks; only long texts
+    that may still be among the first are read again, from the text cells. Both rankings keep
+    only the first rows of each column before they shuffle."""
     limit = settings["display"]["top_n_categories"]
     digits = settings["display"]["decimal_places"]
-    order = Window.partitionBy("col_id").orderBy(F.desc("n"), "value", F.asc_nulls_first("digest"))
-    ranked = (
+    column = Window.partitionBy("col_id")
+    head = F.substring("value", 1, HEAD_CHARS)
+    possible = (
         _valid_values(freq, groups)
         .select("col_id", "value", "digest", "n")
-        .withColumn("value_rank", F.row_number().over(order))
+        .withColumn("value_rank", F.rank().over(column.orderBy(F.desc("n"), head)))
+        .where(F.col("value_rank") <= limit)
+    )
+    ranked = (
+        with_whole_texts(possible, cells)
+        .withColumn("value_rank", F.row_number().over(column.orderBy(F.desc("n"), "value")))
         .where(F.col("value_rank") <= limit)
     )
     valid = column_profiles(groups).select("col_id", "inferred_type", "valid_count")
@@ -538,7 +558,7 @@ def with_whole_texts(
     whole = (
         cells["string"][1].where(is_long_text(c))
         .select("col_id", F.sha2(c, 256).alias("digest"), c.alias("whole"))
-        .join(F.broadcast(wanted), ["col_id", "digest"])
+        .join(wanted, ["col_id", "digest"])
         .groupBy("col_id", "digest")
         .agg(F.any_value("whole").alias("whole"))
     )
@@ -570,7 +590,10 @@ class Profiler:
         ingest_id: str | None = None,
         schema_name: str = "raw",
         small_distinct: int = SMALL_DISTINCT,
+        freq: DataFrame | None = None,
     ):
+        """``freq`` are frequencies of the cells that are known already; the tables' cells are then
+        only read for whole texts."""
         first = next(iter(tables.values()))
         self.spark = first.sparkSession
         self.settings = profiling_settings(settings)
@@ -578,7 +601,7 @@ class Profiler:
         self.columns = column_catalog(tables, self.settings)
         self.catalog = _catalog_frame(self.spark, self.columns)
         self.cells = cells_by_type(tables, self.columns)
-        self.freq = frequencies(self.cells, self.settings)
+        self.freq = frequencies(self.cells, self.settings) if freq is None else freq
         self.stamp = {"ingest_id": F.lit(ingest_id), "schema_name": F.lit(schema_name)}
         self.groups = value_groups(self.freq, self.catalog, self.settings)
         self._stored = False
@@ -687,14 +710,13 @@ class Profiler:
 
     def tops(self) -> DataFrame:
         self.store()
-        ranked = with_whole_texts(top_values(self.freq, self.groups, self.settings), self.cells)
-        return self._named(ranked)
+        return self._named(top_values(self.freq, self.groups, self.settings, self.cells))
 
     def distributions(self) -> DataFrame:
         self.store()
         groups = self.groups
         stats = numeric_statistics(self.freq, groups, self.settings, self.small_distinct)
-        tops = with_whole_texts(top_values(self.freq, groups, self.settings), self.cells)
+        tops = top_values(self.freq, groups, self.settings, self.cells)
         entry = F.struct(
             F.col("value_rank").alias("r"),
             F.struct("value", F.col("n").alias("count"), "pct").alias("e"),

@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lakewright.operators.lineage import write_audit_event
-from lakewright.operators.profiling import Profiler, overall_score
+from lakewright.operators.profile_states import (
+    LINEAGE, profile_of_states, refresh_states, stored_states,
+)
+from lakewright.operators.profiling import overall_score
 from lakewright.sources.lake import Lake
 
 RESULTS = {
@@ -35,7 +38,9 @@ def batch_tables(lake: Lake, ingest_id: str, zone: str) -> list[str]:
 def profile_batch(
     lake: Lake, ingest_id: str, zone: str = "raw", settings: dict | str | None = None
 ) -> dict:
-    """Profile the batch's tables in one pass and replace the batch's earlier results."""
+    """Profile the batch's tables, with all the rows they hold now, and replace the batch's
+    earlier results. Only the batch's own rows are read, in one pass over its tables; those of
+    earlier batches are known by their stored states."""
     if zone not in ("raw", "staging", "validated"):
         raise ValueError(f"cannot profile zone {zone!r}")
     if lake.read("governance", "batch_log").where(F.col("ingest_id") == ingest_id).isEmpty():
@@ -43,9 +48,12 @@ def profile_batch(
     names = batch_tables(lake, ingest_id, zone)
     if not names:
         raise ValueError(f"no tables of ingest '{ingest_id}' in zone '{zone}'")
-    lineage = ("_ingest_id", "_source_file")
+    refresh_states(lake, zone, names, ingest_id, settings)
+    lineage = () if zone == "validated" else LINEAGE
     tables = {n: lake.read(zone, n).drop(*lineage) for n in names}
-    profiler = Profiler(tables, settings, ingest_id=ingest_id, schema_name=zone).store()
+    profiler = profile_of_states(
+        stored_states(lake, zone, names), tables, settings, ingest_id=ingest_id, schema_name=zone
+    ).store()
     slice_of = {"ingest_id": ingest_id, "schema_name": zone}
     for table, result in RESULTS.items():
         rows = getattr(profiler, result)().drop(*slice_of).coalesce(1)

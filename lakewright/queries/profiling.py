@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakewright.operators.profiling import (
-    HEAD_CHARS, LONG_TEXT_BYTES, Profiler, column_issues, overall_score, quality_score,
+    Profiler, column_issues, overall_score, quality_score,
 )
 from lakewright.operators.quantiles import exact_quantiles
 from lakewright.operators.settings import DEFAULTS, profiling_settings
@@ -111,7 +111,7 @@ WITH cells AS ({cells}),
 freq AS (
   SELECT table_name, variable_name, ordinal, x, count(*) AS n FROM cells GROUP BY ALL),
 classed AS (
-  SELECT *, trim(x, ' ' || chr(9) || chr(10) || chr(13)) AS tr, strlen(tr) <= {LONG_TEXT_BYTES} AS is_short,
+  SELECT *, trim(x, ' ' || chr(9) || chr(10) || chr(13)) AS tr,
          CASE WHEN x IS NULL THEN 'na' WHEN x = '' THEN 'empty'
               WHEN regexp_full_match(x, '\s+') THEN 'white' ELSE 'filled' END AS kind,
          CASE WHEN regexp_full_match(tr, '{_NUM}') THEN TRY_CAST(tr AS DOUBLE) END AS num,
@@ -188,10 +188,7 @@ ranked AS (
   SELECT v.table_name, v.variable_name, v.inferred_type, v.x AS value,
          CAST(n AS BIGINT) AS n, round_even(n / u.valid_count * 100, 2) AS pct,
          row_number() OVER (PARTITION BY v.table_name, v.variable_name
-           ORDER BY n DESC, CASE WHEN is_short OR num IS NOT NULL THEN x
-                                 ELSE substr(tr, 1, {HEAD_CHARS}) END,
-                    CASE WHEN is_short OR num IS NOT NULL THEN NULL
-                         ELSE sha256(x) END NULLS FIRST) AS value_rank
+           ORDER BY n DESC, x) AS value_rank
   FROM valid v JOIN uniques u USING (table_name, variable_name)),
 numeric_stats AS (
   SELECT table_name, variable_name, round_even(min(num), 2) AS stat_min,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["profiling", "ingestion", "dictionary", "harmonization", "review"]
+MODULES = ["profiling", "ingestion", "dictionary", "harmonization", "review", "lake"]
 
 
 def all_queries() -> dict:

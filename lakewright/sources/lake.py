@@ -127,8 +127,10 @@ class Lake:
     def _location(self, zone: str, table: str, values: dict[str, str] | None = None) -> str:
         """Where a table or one of its slices keeps its data."""
         spec = f" PARTITION ({_spec(values)})" if values else ""
-        about = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(zone, table)}{spec}")
-        return [r["data_type"] for r in about.collect() if r["col_name"] == "Location"][-1]
+        about = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(zone, table)}{spec}").collect()
+        # Columns come before the details; a slice's details before those of its table.
+        details = next(i for i, r in enumerate(about) if r["col_name"].startswith("# Detailed"))
+        return next(r["data_type"] for r in about[details:] if r["col_name"] == "Location")
 
     def _keys(self, zone: str, table: str) -> list[str]:
         return [c.name for c in self.spark.catalog.listColumns(self.name(zone, table)) if c.isPartition]
@@ -144,10 +146,13 @@ class Lake:
             for r in listed
         ]
 
-    def _remove(self, path: str) -> None:
+    def _filesystem(self, path: str):
         hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        hadoop.getFileSystem(conf).delete(hadoop, True)
+        return hadoop.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), hadoop
+
+    def _remove(self, path: str) -> None:
+        system, hadoop = self._filesystem(path)
+        system.delete(hadoop, True)
 
     def replace_slice(
         self, zone: str, table: str, df: DataFrame, values: dict[str, str]
@@ -158,16 +163,40 @@ class Lake:
         read them. A ``df`` without rows leaves an empty slice. ``values`` are all the keys that
         partition the table, which ``append`` or this call made."""
         keys = tuple(values)
+        self._prepare(zone, table, df.withColumns({k: F.lit(v) for k, v in values.items()}), keys)
+        place = self._write_beside(zone, table, self._fitted(zone, table, df, keys))
+        self._point(zone, table, values, place)
+
+    def replace_slices(
+        self, zone: str, table: str, df: DataFrame, values: dict[str, str], key: str,
+        listed: list[str],
+    ) -> None:
+        """``replace_slice`` for each of the ``listed`` values of the further column ``key``, with one
+        write for all. Of those without rows in ``df`` empty slices are left."""
+        keys = (*values, key)
+        typed = df.withColumns({k: F.lit(v) for k, v in values.items()})
+        self._prepare(zone, table, typed, keys)
+        rows = self._fitted(zone, table, df, tuple(values))
+        place = self._write_beside(zone, table, rows, key)
+        for value in listed:
+            own = f"{place}/{key}={value}"
+            self._filesystem(own)[0].mkdirs(self._filesystem(own)[1])
+            self._point(zone, table, {**values, key: value}, own)
+
+    def _prepare(self, zone: str, table: str, df: DataFrame, keys: tuple[str, ...]) -> None:
         if not self.exists(zone, table):
-            typed = df.withColumns({k: F.lit(v) for k, v in values.items()})
-            self._create(zone, table, self.spark.createDataFrame([], typed.schema), keys)
-        rows = self._fitted(zone, table, df, keys)
+            self._create(zone, table, self.spark.createDataFrame([], df.schema), keys)
+
+    def _write_beside(self, zone: str, table: str, df: DataFrame, *keys: str) -> str:
         place = f"{self._folder(zone)}/{table}__slices/{uuid.uuid4().hex}"
         try:
-            rows.write.parquet(place)
+            df.write.partitionBy(*keys).parquet(place)
         except Exception:
             self._remove(place)
             raise
+        return place
+
+    def _point(self, zone: str, table: str, values: dict[str, str], place: str) -> None:
         target, spec = self.name(zone, table), _spec(values)
         if self.has_slice(zone, table, values):
             old = self._location(zone, table, values)

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from lakewright.operators import harmonization as har
 from lakewright.operators import ingestion as ing
+from lakewright.operators.profile_states import profile_of_states, refresh_states, stored_states
+from lakewright.plans.profile_batch import profile_batch
 
 TYPES = "table_name string, variable string, suggested_type string, final_type string"
 
@@ -34,6 +36,17 @@ def test_slice_replacement(lake, spark):
     assert lake.slices("governance", "t") == [{"k": "a b/1", "j": "x'y"}]
 
 
+def test_slices_leave_each_other(lake, spark):
+    """Slices made by appending lie in the table's folder, also beside a column named Location."""
+    df = spark.range(9).select("id", F.lit("x").alias("Location"), (F.col("id") % 3).cast("string").alias("k"))
+    lake.append("governance", "t", df, ("k",))
+    lake.replace_slice("governance", "t", df.where("k = '1'").limit(1).drop("k"), {"k": "1"})
+    lake.drop_slice("governance", "t", {"k": "0"})
+    assert counts(lake.read("governance", "t"), "k") == {("1",): 1, ("2",): 3}
+    lake.replace_slices("governance", "t", df.drop("k").withColumn("k", F.lit("5")), {}, "k", ["2", "5"])
+    assert counts(lake.read("governance", "t"), "k") == {("1",): 1, ("5",): 9}
+
+
 def test_table_swap_and_recovery(lake, spark):
     df = spark.range(10).toDF("id")
     lake.replace("reference", "r", df)
@@ -142,3 +155,49 @@ def test_failing_groups_are_halved(lake, spark, tmp_path, monkeypatch):
     assert (result["n_success"], result["n_error"]) == (15, 1) and len(tries) == 9
     assert lake.read("raw", "labs").count() == 15
     assert len(next(iter(result["errors"].values()))) > 3000
+
+
+def test_profiles_by_batch(lake, spark):
+    """The second batch's profile covers both, and reads its own slice of the raw table alone."""
+    long = "x" * 300
+    def load(batch, *rows):
+        df = spark.createDataFrame(rows, "code string, note string")
+        lake.replace_slice("raw", "visits", df, {"_ingest_id": batch})
+        log = spark.createDataFrame([("visits", "success")], "lake_table_name string, load_status string")
+        lake.replace_slice("governance", "ingest_file_log", log, {"ingest_id": batch})
+        lake.replace_slice("governance", "batch_log", spark.createDataFrame([("success",)], "status string"), {"ingest_id": batch})
+
+    load("I1", ("1", long + "a"), ("2", None), ("N/A", long + "a"))
+    first = profile_batch(lake, "I1")
+    assert (first["tables_profiled"], first["sentinels_detected"]) == (1, 1)
+    # Were the first batch read again, its missing file would show.
+    place = lake._location("raw", "visits", {"_ingest_id": "I1"})
+    kept = place + "-kept"
+    files = lake._filesystem(place)
+    files[0].rename(files[1], lake._filesystem(kept)[1])
+    files[0].mkdirs(files[1])
+    load("I2", ("3", ""), ("4", "short"), ("2", long + "b"))
+    assert refresh_states(lake, "raw", ["visits"], "I2") == ["I2"]
+    states = stored_states(lake, "raw", ["visits"])
+    profile = {r["variable_name"]: r for r in profile_of_states(states, {"visits": lake.read("raw", "visits").drop("_ingest_id")}).profile().collect()}
+    note = profile["note"]
+    assert (note["total_count"], note["na_count"], note["empty_count"], note["unique_count"]) == (6, 1, 1, 3)
+    assert (profile["code"]["unique_count"], profile["code"]["sentinel_count"]) == (4, 1)
+    files[0].delete(files[1], True)
+    files[0].rename(lake._filesystem(kept)[1], files[1])
+    assert profile_batch(lake, "I2")["variables_profiled"] == 2
+    modes = {r["variable_name"]: r["mode_value"] for r in lake.read("governance", "data_profile_distribution").where("ingest_id = 'I2'").collect()}
+    assert modes == {"code": "2", "note": long + "a"}
+    # A later column is NULL in earlier batches; other placeholders make earlier states stale.
+    wider = spark.createDataFrame([("7", "n", "new")], "code string, note string, extra string")
+    lake.replace_slice("raw", "visits", wider, {"_ingest_id": "I3"})
+    assert refresh_states(lake, "raw", ["visits"], "I3") == ["I3"]
+    tables = {"visits": lake.read("raw", "visits").drop("_ingest_id")}
+    extra = [r for r in profile_of_states(stored_states(lake, "raw", ["visits"]), tables).profile().collect() if r["variable_name"] == "extra"][0]
+    assert (extra["total_count"], extra["na_count"]) == (7, 6)
+    settings = {"sentinel_detection": {"string_sentinels": ["short"]}}
+    assert refresh_states(lake, "raw", ["visits"], "I3", settings) == ["I1", "I2", "I3"]
+    # The type of a column changes, as after a promotion.
+    numbers = lake.read("raw", "visits").withColumn("code", F.expr("try_cast(code AS INT)"))
+    lake.replace("raw", "visits", numbers, ("_ingest_id",))
+    assert refresh_states(lake, "raw", ["visits"], "I3", settings) == ["I1", "I2", "I3"]
