@@ -1,11 +1,15 @@
-"""Row-level quality rules and the reshaping of hourly crosstabs."""
+"""Row-level quality rules, alone and over a lake, and the reshaping of hourly crosstabs."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.errors import AnalysisException, PySparkException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakewright.functions.text import as_text, to_number
+from lakewright.sources.lake import Lake
 
 # The rules a library starts with.
 SEED_RULES = [
@@ -20,6 +24,11 @@ RULE_SCHEMA = (
     "rule_id string, rule_name string, rule_description string, rule_category string, "
     "rule_severity string, rule_expression string"
 )
+LIBRARY_SCHEMA = f"{RULE_SCHEMA}, target_table string, is_active boolean"
+RESULT_COLUMNS = [
+    "rule_id", "rule_category", "rule_severity", "table_name", "status", "checked_count",
+    "pass_count", "fail_count", "undecided_count", "error_message",
+]
 
 
 def rule_results(df: DataFrame, rules: list[dict]) -> DataFrame:
@@ -107,3 +116,97 @@ def hourly_long(df: DataFrame, ids: list[str], pattern: str = r"^(.+)_(\d+)$") -
         for c in wide
     ])
     return df.select(*ids, F.inline(cells)).where(F.col("units").isNotNull())
+
+
+def seed_rules(spark: SparkSession) -> DataFrame:
+    """The rules a library starts with; they hold for every table that has their columns."""
+    return spark.createDataFrame([(*r, None, True) for r in SEED_RULES], LIBRARY_SCHEMA)
+
+
+def _resolves(df: DataFrame, rule: dict) -> str | None:
+    """What is wrong with a rule's expression for this table, found without a job."""
+    try:
+        holds = df.select(F.expr(rule["rule_expression"]).alias("holds"))
+        kind = holds.schema["holds"].dataType.typeName()
+    except AnalysisException as error:
+        return str(error)
+    except PySparkException as error:  # the expression cannot be read at all
+        return str(error)
+    return None if kind == "boolean" else f"the expression gives {kind}, not boolean"
+
+
+def _tried(df: DataFrame, rules: list[dict]) -> tuple[list[dict], list[tuple[dict, str]]]:
+    """Results of rules in one pass. Where it fails the rules are halved, so that one that cannot
+    be computed on these rows stands alone."""
+    if not rules:
+        return [], []
+    try:
+        return [r.asDict() for r in rule_results(df, rules).collect()], []
+    except PySparkException as error:
+        if len(rules) == 1:
+            return [], [(rules[0], str(error))]
+    middle = len(rules) // 2
+    (good, bad), (more, worse) = _tried(df, rules[:middle]), _tried(df, rules[middle:])
+    return good + more, bad + worse
+
+
+def run_rules(
+    lake: Lake, ingest_id: str, zone: str = "staging", tables: list[str] | None = None,
+    keys: dict[str, list[str]] | None = None,
+) -> DataFrame:
+    """Apply the active rules of ``governance.rule_library`` to a batch's rows.
+
+    Each table is read once for the counts of all its rules and once for the rows that break
+    them. A rule without ``target_table`` holds for the tables that have its columns; a rule that
+    names a table and does not fit it, or cannot be computed, is an error of its own. Counts go to
+    ``governance.rule_result``, the keys of broken rows (as JSON; without ``keys`` the whole row) to
+    ``governance.rule_violation``; a rerun replaces the batch's. Returns the counts.
+    """
+    spark = lake.spark
+    batch_key = "ingest_id" if zone == "validated" else "_ingest_id"
+    library = [r.asDict() for r in lake.read("governance", "rule_library").where("is_active").collect()]
+    library.sort(key=lambda r: r["rule_id"])
+    held = tables if tables is not None else [
+        t for t in lake.tables(zone) if any(s[batch_key] == ingest_id for s in lake.slices(zone, t))
+    ]
+    rows: list[tuple] = []
+    broken: list[DataFrame] = []
+    for table in held:
+        df = lake.read(zone, table).where(F.col(batch_key) == ingest_id)
+        wrong, fitting = [], []
+        for rule in library:
+            if rule["target_table"] not in (None, table):
+                continue
+            problem = _resolves(df, rule)
+            if problem is None:
+                fitting.append(rule)
+            elif rule["target_table"] is not None:
+                wrong.append((rule, problem))
+        good, bad = _tried(df, fitting)
+        for r in good:
+            rows.append((
+                r["rule_id"], r["rule_category"], r["rule_severity"], table, "done", r["checked_count"],
+                r["pass_count"], r["fail_count"], r["undecided_count"], None,
+            ))
+        for rule, problem in wrong + bad:
+            rows.append((
+                rule["rule_id"], rule["rule_category"], rule["rule_severity"], table, "error",
+                None, None, None, None, problem,
+            ))
+        failed = {r["rule_id"] for r in good if r["fail_count"]}
+        if failed:
+            own = (keys or {}).get(table) or [c for c in df.columns if c != batch_key]
+            keyed = df.withColumn("row_key", F.to_json(F.struct(*[F.col(f"`{c}`") for c in own])))
+            rules = [r for r in fitting if r["rule_id"] in failed]
+            broken.append(rule_violations(keyed, rules, ["row_key"]).withColumn("table_name", F.lit(table)))
+    schema = (
+        "rule_id string, rule_category string, rule_severity string, table_name string, "
+        "status string, checked_count bigint, pass_count bigint, fail_count bigint, "
+        "undecided_count bigint, error_message string"
+    )
+    slice_of = {"ingest_id": ingest_id, "schema_name": zone}
+    none = spark.createDataFrame([], "row_key string, rule_id string, rule_severity string, table_name string")
+    lake.replace_slice("governance", "rule_violation", reduce(DataFrame.unionByName, broken, none), slice_of)
+    lake.replace_slice("governance", "rule_result", spark.createDataFrame(rows, schema).coalesce(1), slice_of)
+    mine = (F.col("ingest_id") == ingest_id) & (F.col("schema_name") == zone)
+    return lake.read("governance", "rule_result").where(mine).select(*RESULT_COLUMNS)

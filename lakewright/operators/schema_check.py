@@ -112,7 +112,8 @@ def validate_schema(
     halt_on_error: bool = True,
 ) -> dict:
     """Check the raw tables of a batch against the active dictionary and log the issues. With
-    critical issues the run stops after the issues are written, unless told to go on."""
+    critical issues the run stops after the issues are written, unless told to go on. Tables
+    that the dictionary does not name are not checked; they are listed as ``tables_skipped``."""
     spark = lake.spark
     if not ingest_id or not ingest_id.strip():
         raise ValueError("ingest_id must be a non-empty string")
@@ -167,7 +168,8 @@ def validate_schema(
     return {
         "success": counts["critical"] == 0, "issues_count": sum(counts.values()),
         "critical_count": counts["critical"], "warning_count": counts["warning"],
-        "info_count": counts["info"], "tables_validated": len(names), "issues": issues,
+        "info_count": counts["info"], "tables_validated": len(checked),
+        "tables_skipped": sorted(set(names) - set(checked)), "issues": issues,
     }
 
 

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from lakewright.functions.text import as_text
 from lakewright.operators import harmonization as har
 from lakewright.operators import ingestion as ing
+from lakewright.operators import rules as rl
+from lakewright.operators.deidentify import DeidRules, deidentify
 from lakewright.operators.profile_states import profile_of_states, refresh_states, stored_states
 from lakewright.operators.profiling import Profiler
 from lakewright.queries import profiling as pq
@@ -202,7 +204,75 @@ _INGESTED_SQL = """
 SELECT CAST(o_orderkey AS VARCHAR) AS order_key, o_orderstatus AS status, 'a, "' || o_orderpriority || '"' || chr(10) || 'b' AS priority,
   'I1' AS batch, count(*) OVER () AS logged_rows, CAST(4 AS BIGINT) AS logged_files FROM orders"""
 
+RULES = [
+    ("QTY", "range", "error", "l_quantity > 5", "lineitem"),
+    ("SHIP", "order", "warning", "CASE WHEN l_returnflag <> 'A' THEN l_linenumber < 4 END", "lineitem"),
+    ("STATUS", "list", "warning", "o_orderstatus IN ('F', 'O')", None),
+    ("LOST", "range", "error", "no_such_column > 1", "orders"),
+    ("BROKEN", "range", "error", "o_orderkey >", "orders"),
+    ("NUMBER", "range", "error", "o_orderkey + 1", "orders"),
+    ("CAST", "range", "error", "int(o_orderpriority) > 1", "orders"),
+    ("OFF", "range", "error", "o_orderkey > 1", "customer"),
+]
+
+
+def _rules(spark: SparkSession, sf_dir: str, violations: bool) -> DataFrame:
+    """Rules of a library over a batch, broken ones among good ones."""
+    lake = new_lake(spark)
+    for table in ("lineitem", "orders"):
+        lake.replace_slice("staging", table, load(spark, sf_dir, table), {"_ingest_id": "I1"})
+        lake.replace_slice("staging", table, load(spark, sf_dir, table), {"_ingest_id": "I2"})
+    lake.replace("governance", "rule_library", spark.createDataFrame(
+        [(i, i, None, c, s, e, t, True) for i, c, s, e, t in RULES], rl.LIBRARY_SCHEMA))
+    found = rl.run_rules(lake, "I2", keys={"lineitem": ["l_orderkey", "l_linenumber"], "orders": ["o_orderkey"]})
+    if violations:
+        rows = lake.read("governance", "rule_violation")
+        return rows.groupBy("table_name", "rule_id", "rule_severity", "row_key").agg(F.count(F.lit(1)).alias("n"))
+    return found.drop("error_message")
+
+
+_RULES_SQL = """
+SELECT 'QTY' AS rule_id, 'range' AS rule_category, 'error' AS rule_severity, 'lineitem' AS table_name, 'done' AS status,
+  count(*) AS checked_count, count(*) FILTER (l_quantity > 5) AS pass_count, count(*) FILTER (NOT l_quantity > 5) AS fail_count,
+  count(*) FILTER (l_quantity IS NULL) AS undecided_count FROM lineitem
+UNION ALL SELECT 'SHIP', 'order', 'warning', 'lineitem', 'done', count(*), count(*) FILTER (l_returnflag <> 'A' AND l_linenumber < 4),
+  count(*) FILTER (l_returnflag <> 'A' AND l_linenumber >= 4), count(*) FILTER (l_returnflag = 'A') FROM lineitem
+UNION ALL SELECT 'STATUS', 'list', 'warning', 'orders', 'done', count(*), count(*) FILTER (o_orderstatus IN ('F', 'O')),
+  count(*) FILTER (o_orderstatus NOT IN ('F', 'O')), count(*) FILTER (o_orderstatus IS NULL) FROM orders
+UNION ALL SELECT id, 'range', 'error', 'orders', 'error', NULL, NULL, NULL, NULL
+FROM (VALUES ('LOST'), ('BROKEN'), ('NUMBER'), ('CAST')) AS v(id)"""
+_BROKEN_SQL = """
+SELECT table_name, rule_id, rule_severity, row_key, count(*) AS n FROM (
+SELECT 'lineitem' AS table_name, 'QTY' AS rule_id, 'error' AS rule_severity,
+  '{"l_orderkey":' || l_orderkey || ',"l_linenumber":' || l_linenumber || '}' AS row_key FROM lineitem WHERE NOT l_quantity > 5
+UNION ALL SELECT 'lineitem', 'SHIP', 'warning', '{"l_orderkey":' || l_orderkey || ',"l_linenumber":' || l_linenumber || '}'
+FROM lineitem WHERE l_returnflag <> 'A' AND l_linenumber >= 4
+UNION ALL SELECT 'orders', 'STATUS', 'warning', '{"o_orderkey":' || o_orderkey || '}' FROM orders WHERE o_orderstatus NOT IN ('F', 'O')
+) GROUP BY ALL"""
+
+# Identifiers beyond what doubles hold, with leading zeros, and birth dates in every layout.
+PEOPLE = """
+SELECT c_custkey AS k, CAST(9007199254740993 + c_custkey AS STRING) AS mrn, '00' || CAST(c_custkey AS STRING) AS accountnumber,
+  CASE c_custkey % 8 WHEN 0 THEN '1980-2-3' WHEN 1 THEN '1980/02/03 10:00' WHEN 2 THEN '2/3/1980' WHEN 3 THEN '02-03-1980'
+       WHEN 4 THEN '3-FEB-1980' WHEN 5 THEN '19800203' WHEN 6 THEN 'spring' ELSE NULL END AS dob
+FROM {customer}
+"""
+
+
+def _exact_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = DeidRules(salt="s", id_offsets={"MRN": 111111, "Account Number": 222222}, id_columns=["MRN", "Account Number"],
+                      stable_keys=[], shift_days=(40, 40), exact_ids=True)
+    return deidentify(derive(spark, sf_dir, PEOPLE), rules)
+
+
+_EXACT_IDS_SQL = """
+SELECT c_custkey AS k, CAST(9007199254740993 + c_custkey + 111111 AS VARCHAR) AS mrn, CAST(c_custkey + 222222 AS VARCHAR) AS accountnumber,
+  CASE WHEN c_custkey % 8 < 6 THEN DATE '1980-03-14' END AS dob FROM customer"""
+
 QUERIES = {
+    "lake_rule_results": (lambda s, d: _rules(s, d, False), _RULES_SQL),
+    "lake_rule_violations": (lambda s, d: _rules(s, d, True), _BROKEN_SQL),
+    "deid_exact_ids": (_exact_ids, _EXACT_IDS_SQL),
     "slice_replacement": (_slices, _SLICES_SQL),
     "promoted_batches": (_promotions, _PROMOTIONS_SQL),
     "ingested_files": (_ingested, _INGESTED_SQL),

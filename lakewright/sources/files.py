@@ -212,15 +212,16 @@ def read_csv_strict(
     return data.select(*names)
 
 
-def scan(spark: SparkSession, path: str) -> DataFrame:
-    """csv, tsv, txt (comma, else tab) or parquet, chosen by extension."""
+def scan(spark: SparkSession, path: str, as_text: bool = False) -> DataFrame:
+    """csv, tsv, txt (comma, else tab) or parquet, chosen by extension. ``as_text`` leaves the
+    fields of delimited files as they are written and saves the pass that infers types."""
     kind = path.rstrip("/").rsplit(".", 1)[-1].lower()
     if kind == "parquet":
         return spark.read.parquet(path)
     separators = {"csv": ",", "tsv": "\t", "txt": ","}
     if kind not in separators:
         raise ValueError(f"unsupported file type: {path}")
-    options = dict(header=True, inferSchema=True, nullValue="NA", **CSV_OPTIONS)
+    options = dict(header=True, inferSchema=not as_text, nullValue="\u0000" if as_text else "NA", **CSV_OPTIONS)
     df = spark.read.options(sep=separators[kind], **options).csv(path)
     if kind == "txt" and len(df.columns) == 1 and "\t" in df.columns[0]:
         df = spark.read.options(sep="\t", **options).csv(path)
@@ -278,13 +279,13 @@ def rewrite_files(
         target = f"{out_root.rstrip('/')}/{stem}__{suffix}.{item['kind']}"
         try:
             counted = Observation()
-            changed = change(scan(spark, item["path"]))
+            changed = change(scan(spark, item["path"], as_text=True))
             write_like(
                 changed.observe(counted, F.count(F.lit(1)).alias("n")), target, item["kind"]
             )
             rows.append((item["path"], target, "wrote", counted.get["n"], ""))
         except Exception as error:
-            rows.append((item["path"], "", "skipped", 0, f"ERROR: {str(error)[:500]}"))
+            rows.append((item["path"], "", "skipped", 0, f"ERROR: {error}"))
     return spark.createDataFrame(rows, MANIFEST_SCHEMA)
 
 
