@@ -474,11 +474,11 @@ def empty_table(spark: SparkSession, expected: DataFrame, lake_table: str) -> Da
 
 
 def create_raw_table(lake: Lake, expected: DataFrame, lake_table: str) -> dict:
-    """An empty raw table of the described columns, with lineage, that batches can be loaded into."""
+    """An empty raw table of the described columns. The first batch loaded into it brings the
+    lineage columns and makes it a table of slices."""
     table = lake_table.lower()
     df = empty_table(lake.spark, expected, table)
     status = "exists" if lake.exists("raw", table) else "created"
     if status == "created":
-        rows = df.withColumns({c: F.lit(None).cast("string") for c in LINEAGE})
-        lake.replace("raw", table, rows, ("_ingest_id",))
+        lake.replace("raw", table, df)
     return {"status": status, "lake_table_name": table, "n_columns": len(df.columns)}

@@ -43,10 +43,14 @@ class Lake:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name(zone, table)}")
 
     def append(self, zone: str, table: str, df: DataFrame, keys: tuple[str, ...] = ()) -> None:
-        """Add rows; new columns are added to the table, absent ones are NULL."""
+        """Add rows; new columns are added to the table, absent ones are NULL. A table without
+        slices or rows, made from its description, takes on the keys of the first rows."""
         if not self.exists(zone, table):
             self._create(zone, table, df, keys)
             return
+        if keys and not self._keys(zone, table) and self.read(zone, table).isEmpty():
+            self.replace(zone, table, self._fitted(zone, table, df), keys)
+            return
         self._fitted(zone, table, df).write.mode("append").insertInto(self.name(zone, table))
 
     def replace(

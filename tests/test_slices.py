@@ -201,3 +201,16 @@ def test_profiles_by_batch(lake, spark):
     numbers = lake.read("raw", "visits").withColumn("code", F.expr("try_cast(code AS INT)"))
     lake.replace("raw", "visits", numbers, ("_ingest_id",))
     assert refresh_states(lake, "raw", ["visits"], "I3", settings) == ["I1", "I2", "I3"]
+
+
+def test_created_raw_table_takes_batches(lake, spark):
+    expected = spark.createDataFrame(
+        [("People", "id", "text"), ("People", "weight", "text"), ("People", "later", "text")],
+        "lake_table_name string, lake_variable_name string, type_descriptor string")
+    assert ing.create_raw_table(lake, expected, "people")["status"] == "created"
+    raw(lake, "I1", ("1", "70.5", "f"))
+    raw(lake, "I2", ("2", "80", "g"))
+    assert counts(lake.read("raw", "people"), "_ingest_id", "later") == {("I1", None): 1, ("I2", None): 1}
+    types = spark.createDataFrame([("people", "weight", "NUMERIC(6,2)", None)], TYPES)
+    assert ing.promote_to_staging(lake, "people", types)["n_rows"] == 2
+    assert [s["_ingest_id"] for s in lake.slices("staging", "people")] == ["I1", "I2"]
