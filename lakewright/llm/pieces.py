@@ -6,26 +6,23 @@ length are exploded and joined with the piece table, the matches are the edges o
 grouped by word, and a fold over its positions picks one path.
 
 The model merges pieces by rank, so the path with the highest sum of scores is not what the library
-returns. A sequence of pieces is what merging gives exactly when each two neighbours stay apart if
-merged alone, and for each prefix of a word there is one such sequence. So the fold keeps, for each
-position, the one piece that ends there on a path whose neighbours all stay apart. The rank rule
-needs the pieces on both sides of each step, which a higher-order aggregate cannot look up; the
-fold therefore runs on Arrow batches.
-
-Texts meet the words' pieces without being shuffled. The most frequent words, a bounded number, go
-to every task; each occurrence of any other word becomes a row that is joined with the word table.
-The segments of a text are then grouped, put in order and decoded again.
+returns. The fold, a higher-order ``aggregate``, merges by rank over the lattice instead: whatever
+merging can form is one of the word's edges, so the edges with their ranks are all it needs.
+
+Texts meet the words' pieces in packed form. The most frequent words, a bounded number, go to every
+task; a text becomes their packed ids with gaps, and each occurrence of any other word a row that is
+joined with the word table. Gaps are then filled, text by text, and the ids decoded again.
 """
 
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from functools import cached_property
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -35,11 +32,11 @@ from lakewright.session import written
 SPACE = "▁"
 
 #: Words of at most so many bytes that are sent to every task, the most frequent ones.
-FREQUENT_WORDS = 400_000
+FREQUENT_WORDS = 150_000
 FREQUENT_BYTES = 64
 
 #: Distinct words that a task counts before it passes the counts on.
-COUNTED = 300_000
+COUNTED = 200_000
 
 #: Pairs whose merging a worker remembers before it starts anew.
 REMEMBERED = 500_000
@@ -48,11 +45,12 @@ REMEMBERED = 500_000
 MOST_PIECES = 1_000_000
 
 #: Longer words, runs of characters without any place to cut, are not exploded: their rows would
-#: grow with the square of their length. The fold looks up their edges itself.
-LONG_WORD = 256
+#: grow with the square of their length, and the fold's state is one bit a character. The task that
+#: meets one takes it through ``Pieces.path_of``, in proportion to its length.
+LONG_WORD = 60
 
-#: An edge is start * EDGE + length.
-EDGE = 64
+#: Stands for a word whose ids come from the word table.
+GAP = np.array([-1], "<i4").tobytes()
 
 
 @dataclass
@@ -163,8 +161,6 @@ def load_pieces(path: str) -> Pieces:
     ids = {model.id_to_piece(i): i for i in plain}
     if len(ids) > MOST_PIECES:
         raise ValueError(f"more than {MOST_PIECES} pieces")
-    if max(map(len, ids)) >= EDGE:
-        raise ValueError(f"a piece of this model has {EDGE} characters or more")
     byte_ids = [model.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
     scores = {p: model.get_score(i) for p, i in ids.items()}
     found = Pieces(path, ids, scores, byte_ids, max(map(len, ids)))
@@ -175,7 +171,7 @@ def load_pieces(path: str) -> Pieces:
 
 
 def word_counts(texts: DataFrame, path: str) -> DataFrame:
-    """``word``, ``n`` of the distinct words of (text), counted in tasks before the shuffle."""
+    """``word``, ``n`` of the distinct words of (text) but long ones, counted in tasks before the shuffle."""
     def run(batches):
         import pyarrow as pa
 
@@ -189,7 +185,7 @@ def word_counts(texts: DataFrame, path: str) -> DataFrame:
         counts: Counter = Counter()
         for batch in batches:
             for text in batch.column(0):
-                counts.update(words_of(text.as_py() or ""))
+                counts.update(word for word in words_of(text.as_py() or "") if len(word) <= LONG_WORD)
                 if len(counts) > COUNTED:
                     yield flushed(counts)
                     counts.clear()
@@ -200,39 +196,78 @@ def word_counts(texts: DataFrame, path: str) -> DataFrame:
 
 
 def lattice(words: DataFrame, pieces: Pieces) -> DataFrame:
-    """``word``, ``n`` and ``edges``, of which each is start * EDGE + length; none of long words.
+    """``word``, ``n`` and ``edges`` (``rank``, ``start``, ``size``, ``id``), best ranks first.
+    A character that is no piece has an edge without an id. Words have up to ``LONG_WORD`` characters.
 
     Words keep their partitioning: the explode and the join with the small piece table do not
     move them, so grouping the edges by word needs no further shuffle.
     """
     spark = words.sparkSession
-    known = F.broadcast(spark.createDataFrame([(p,) for p in pieces.ids], "piece string"))
-    # A long word is one row, with start 0.
-    positions = F.when(F.length("word") <= LONG_WORD, F.sequence(F.lit(1), F.length("word"))).otherwise(F.array(F.lit(0)))
-    starts = words.select("word", "n", F.explode(positions).alias("start"))
-    window = F.substring(F.col("word"), F.col("start"), F.when(F.col("start") > 0, pieces.longest).otherwise(1))
+    ranks = {p: r for r, p in enumerate(sorted(pieces.ids, key=lambda p: -pieces.scores[p]))}
+    known = F.broadcast(spark.createDataFrame([(p, ranks[p], i) for p, i in pieces.ids.items()], "piece string, rank int, id int"))
+    starts = words.select("word", "n", F.explode(F.sequence(F.lit(1), F.length("word"))).alias("start"))
+    window = F.substring(F.col("word"), F.col("start"), F.lit(pieces.longest))
     ends = starts.select("word", "n", "start", window.alias("window")).select(
         "word", "n", "start", "window", F.explode(F.sequence(F.lit(1), F.length("window"))).alias("size")
     )
     parts = ends.select("word", "n", "start", "size", F.substring(F.col("window"), F.lit(1), F.col("size")).alias("piece"))
-    # A left join keeps words that have no edge at all.
-    single = F.col("size") == 1
-    edge = F.when(F.col("found").isNotNull() & (F.col("start") > 0), (F.col("start") - 1) * EDGE + F.col("size"))
-    found = parts.join(known.withColumn("found", F.lit(1)), "piece", "left").filter(F.col("found").isNotNull() | single)
-    return found.groupBy("word").agg(F.first("n").alias("n"), F.collect_list(edge).alias("edges"))
+    # A left join keeps characters, and so words, that have no edge at all.
+    found = parts.join(known, "piece", "left").filter(F.col("id").isNotNull() | (F.col("size") == 1))
+    edge = F.struct("rank", (F.col("start") - 1).alias("start"), "size", "id")
+    return found.groupBy("word").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(edge)).alias("edges"))
 
 
-def encoded_words(words: DataFrame, pieces: Pieces) -> DataFrame:
-    """``word``, ``n``, ``ids`` of every distinct word."""
-    path = pieces.path
+def _bit(at: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), at)
 
-    def run(columns: list[list]) -> Iterator[tuple]:
-        own = load_pieces(path)
-        for word, n, edges in zip(*columns):
-            found = own.edges_of(word) if len(word) > LONG_WORD else [(e // EDGE, e // EDGE + e % EDGE) for e in edges]
-            yield word, n, own.ids_of(own.path_of(word, found))
 
-    return mapped(lattice(words, pieces), run, "word string, n long, ids array<int>")
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def folded_ids(word: Column, edges: Column, pieces: Pieces) -> Column:
+    """The ids of a word from its edges, by a fold over its positions.
+
+    The state is the set of places between characters where pieces still meet, a bit each. A step merges
+    the best-ranked edge, the leftmost of equals, that spans two neighbouring pieces; what merging can
+    form is always an edge of the lattice, so a step needs no other table.
+    """
+    masked = F.transform(edges, lambda e: F.struct(
+        _bit(e["start"]).bitwiseOR(_bit(e["start"] + e["size"])).alias("ends"),
+        (_bit(e["start"] + e["size"]) - _bit(e["start"] + 1)).alias("inner"),
+        e["start"].alias("start"), e["id"].alias("id"),
+    ))
+
+    def merged_places(long_edges: Column) -> Column:
+        def merged(state: Column, _: Column) -> Column:
+            best = F.get(F.filter(
+                long_edges, lambda e: (state.bitwiseAND(e["ends"]) == e["ends"]) & (F.bit_count(state.bitwiseAND(e["inner"])) == 1)
+            ), F.lit(0))
+            return F.coalesce(state.bitwiseAND(F.bitwise_not(best["inner"])), state)
+
+        steps = F.when(F.length(word) > 1, F.sequence(F.lit(2), F.length(word))).otherwise(F.array().cast("array<int>"))
+        return F.aggregate(steps, _bit(F.length(word) + 1) - 1, merged)
+
+    def path_of(all_edges: Column) -> Column:
+        places = _bound(F.filter(all_edges, lambda e: e["inner"] != 0), merged_places)
+        return _bound(places, lambda state: F.filter(
+            all_edges, lambda e: (state.bitwiseAND(e["ends"]) == e["ends"]) & (state.bitwiseAND(e["inner"]) == 0)))
+
+    path = F.sort_array(F.transform(_bound(masked, path_of), lambda e: F.struct(e["start"].alias("start"), e["id"].alias("id"))))
+    byte_ids = F.array(*map(F.lit, pieces.byte_ids))
+
+    def bytes_at(start: Column) -> Column:
+        digits = F.hex(F.encode(F.substring(word, start + 1, F.lit(1)), "utf-8"))
+        return F.transform(F.sequence(F.lit(0), (F.length(digits) / 2 - 1).cast("int")), lambda i: F.get(
+            byte_ids, F.conv(F.substring(digits, (2 * i + 1).cast("int"), F.lit(2)), 16, 10).cast("int")))
+
+    return F.flatten(F.transform(path, lambda e: F.when(e["id"].isNull(), bytes_at(e["start"])).otherwise(F.array(e["id"]))))
+
+
+def encoded_words(words: DataFrame, pieces: Pieces) -> DataFrame:
+    """``word``, ``n``, ``ids`` of every distinct word."""
+    return lattice(words, pieces).select("word", "n", folded_ids(F.col("word"), F.col("edges"), pieces).alias("ids"))
 
 
 def _frequent(words: DataFrame, limit: int) -> tuple[int, dict[str, bytes]]:
@@ -254,11 +289,12 @@ def _frequent(words: DataFrame, limit: int) -> tuple[int, dict[str, bytes]]:
 def encoded(
     df: DataFrame, model_path: str, id_column: str = "doc_id", text_column: str = "text", frequent_words: int = FREQUENT_WORDS
 ) -> DataFrame:
-    """``doc_id``, ``text_key``, ``at``, ``ids``: the pieces of every text, in segments.
+    """``doc_id``, ``text_key``, ``copies``, ``packed`` and ``rare``: every distinct text of an id, encoded.
 
-    A text's pieces are those of its segments in the order of ``at``, the number of the segment's
-    first word; ``assembled`` joins them where one array a text is wanted. A null or empty text has
-    one segment without ids. ``text_key`` tells texts apart that share an id. No rows give no rows.
+    ``packed`` holds the ids of the frequent words, with a gap at each other word; ``rare`` has the places
+    of the gaps with their ids. ``decoded`` puts both together. ``copies`` is how many rows of the input had
+    that id and text; ``text_key`` tells texts apart that share an id. Null and empty texts have no
+    ids. No rows give no rows.
     """
     spark = df.sparkSession
     pieces = load_pieces(model_path)
@@ -270,67 +306,71 @@ def encoded(
     least, frequent = _frequent(words, frequent_words)
     shared = spark.sparkContext.broadcast(frequent)
 
-    def known_runs(columns: list[list]) -> Iterator[tuple]:
-        get, words_of = shared.value.get, load_pieces(model_path).words_of
+    def known_words(columns: list[list]) -> Iterator[tuple]:
+        import zstandard
+
+        get, own, compress = shared.value.get, load_pieces(model_path), zstandard.ZstdCompressor(level=3).compress
         for i, key, text in zip(*columns):
-            found = list(map(get, words_of(text)))
-            if not found:
-                yield i, key, 0, []
-            start = 0
-            gaps = [at for at, x in enumerate(found) if x is None] if None in found else []
-            for end in [*gaps, len(found)]:
-                if end > start:
-                    yield i, key, start, np.frombuffer(b"".join(found[start:end]), "<i4")
-                start = end + 1
+            found = own.words_of(text)
+            parts = [get(word, GAP) for word in found]
+            if len(text) > LONG_WORD:
+                for at, word in enumerate(found):
+                    if len(word) > LONG_WORD:
+                        parts[at] = np.array(own.ids_of(own.path_of(word, own.edges_of(word))), "<i4").tobytes()
+            yield i, key, compress(b"".join(parts))
 
     def other_words(columns: list[list]) -> Iterator[tuple]:
         known, words_of = shared.value, load_pieces(model_path).words_of
         for i, key, text in zip(*columns):
-            for at, word in enumerate(words_of(text)):
-                if word not in known:
-                    yield i, key, at, word
+            for at, word in enumerate(w for w in words_of(text) if w not in known and len(w) <= LONG_WORD):
+                yield i, key, at, word
 
-    runs = mapped(rows, known_runs, f"doc_id {kind}, text_key long, at int, ids array<int>")
+    texts = mapped(rows, known_words, f"doc_id {kind}, text_key long, packed binary").groupBy("doc_id", "text_key").agg(
+        F.first("packed").alias("packed"), F.count("*").alias("copies")
+    )
     others = mapped(rows, other_words, f"doc_id {kind}, text_key long, at int, word string")
     rare = words.filter((F.col("n") < least) | (F.octet_length("word") > FREQUENT_BYTES)).select("word", "ids")
-    return runs.unionByName(others.join(rare, "word").select("doc_id", "text_key", "at", "ids"))
+    # Rows that share id and text have the same gaps: once each.
+    gaps = others.join(rare, "word").groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("at", "ids")).alias("rare"))
+    same = texts["doc_id"].eqNullSafe(gaps["doc_id"]) & (texts["text_key"] == gaps["text_key"])
+    return texts.join(gaps, same, "left").select(texts["doc_id"], texts["text_key"], "copies", "packed", "rare")
 
 
-def assembled(segments: DataFrame) -> DataFrame:
-    """``doc_id``, ``text_key``, all ``ids`` of each text in order, and ``copies``, how many rows of
-    the input had that id and text. Each of them has one segment that starts at word 0."""
-    parts = F.array_sort(F.collect_set(F.struct("at", "ids")))
-    return segments.groupBy("doc_id", "text_key").agg(
-        F.flatten(F.transform(parts, lambda p: p["ids"])).alias("ids"), F.count_if(F.col("at") == 0).alias("copies")
-    )
+def _filled(packed: bytes, rare: list | None) -> np.ndarray:
+    """All ids of a text, in order."""
+    import zstandard
+
+    ids = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), "<i4")
+    if not rare:
+        return ids
+    places = np.flatnonzero(ids < 0)
+    found = sorted((r["at"], r["ids"]) for r in rare)
+    parts, start = [], 0
+    for place, (_, own) in zip(places.tolist(), found, strict=True):
+        parts += [ids[start:place], np.array(own, "<i4")]
+        start = place + 1
+    return np.concatenate([*parts, ids[start:]])
 
 
 def decoded(texts: DataFrame, model_path: str) -> DataFrame:
-    """All columns of ``texts`` and ``text``, decoded from the ``ids`` of whole texts. Bytes that are no
-    UTF-8 become U+FFFD; the space in front that encoding adds is taken off again."""
-    def run(batches):
-        import pyarrow as pa
+    """``doc_id``, ``text_key``, ``copies``, all ``ids`` of each text and ``text``, decoded from them. Bytes
+    that are no UTF-8 become U+FFFD; the space in front that encoding adds is taken off again."""
+    kind = texts.schema["doc_id"].dataType.simpleString()
 
+    def run(columns: list[list]) -> Iterator[tuple]:
         bytes_of = load_pieces(model_path).bytes_of
-        for batch in batches:
-            for first in range(0, batch.num_rows, SLICE_ROWS):
-                part = batch.slice(first, SLICE_ROWS)
-                column = part.column("ids")
-                ends, values = column.offsets.to_pylist(), column.values.to_numpy(zero_copy_only=False)
-                found = [
-                    b"".join(map(bytes_of.__getitem__, values[a:b].tolist())).decode("utf-8", "replace").removeprefix(" ")
-                    for a, b in zip(ends, ends[1:])
-                ]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.string())], names=[*part.schema.names, "text"])
+        for i, key, copies, packed, rare in zip(*columns):
+            ids = _filled(packed, rare)
+            yield i, key, copies, ids, b"".join(map(bytes_of.__getitem__, ids.tolist())).decode("utf-8", "replace").removeprefix(" ")
 
-    return texts.mapInArrow(run, schema=StructType([*texts.schema.fields, StructField("text", StringType())]))
+    return mapped(texts, run, f"doc_id {kind}, text_key long, copies long, ids array<int>, text string")
 
 
 def round_trips(df: DataFrame, model_path: str, **options) -> DataFrame:
     """One row for each row of ``df``: ``doc_id``, ``text_key``, ``copy`` (which numbers rows that share
     both), ``ids`` of the whole text, ``n_pieces``, the ``text`` decoded from them and ``same_text``, whether
     that is the text that was encoded, by its hash."""
-    found = decoded(assembled(encoded(df, model_path, **options)), model_path)
+    found = decoded(encoded(df, model_path, **options), model_path)
     return found.select(
         "doc_id", "text_key", F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"), "ids",
         F.size("ids").cast("long").alias("n_pieces"), "text", (F.xxhash64("text") == F.col("text_key")).alias("same_text"),

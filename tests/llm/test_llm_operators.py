@@ -254,9 +254,9 @@ def test_pieces_equal_the_library_and_decode(spark, documents):
     texts += ["", " ", "   ", "\n\n", "\ta\t", "z" * 3000, " lead", "trail ", "漢字①" * 50]
     docs = documents(*enumerate(texts))
     for frequent in (pieces.FREQUENT_WORDS, 5, 0):
-        whole = pieces.assembled(pieces.encoded(docs, _pieces_path(), frequent_words=frequent))
-        assert {r["doc_id"]: r["ids"] for r in whole.collect()} == {i: model.encode(t) for i, t in enumerate(texts)}
-    assert {r["doc_id"]: r["text"] for r in pieces.decoded(whole, _pieces_path()).collect()} == dict(enumerate(texts))
+        whole = pieces.decoded(pieces.encoded(docs, _pieces_path(), frequent_words=frequent), _pieces_path()).collect()
+        assert {r["doc_id"]: r["ids"] for r in whole} == {i: model.encode(t) for i, t in enumerate(texts)}
+        assert {r["doc_id"]: r["text"] for r in whole} == dict(enumerate(texts))
 
 
 def test_one_row_a_document_with_the_decoded_text(spark, documents):
@@ -285,6 +285,16 @@ def test_fold_equals_merging():
         assert own.path_of(word, edges) == own.merged(word)
 
 
+def test_higher_order_fold_equals_merging(spark):
+    own = pieces.load_pieces(_pieces_path())
+    random.seed(9)
+    letters = ["abcdethinosr▁éü01.,①", "ab", "the▁", "漢①é"]
+    words = {"".join(random.choice(kind) for _ in range(random.randint(1, pieces.LONG_WORD))) for kind in letters for _ in range(300)}
+    words |= {"a" * pieces.LONG_WORD, "▁", "①", "\u0001", "😀"}
+    found = pieces.encoded_words(spark.createDataFrame([(w, 1) for w in words], "word string, n long"), own).collect()
+    assert {r["word"]: r["ids"] for r in found} == {w: own.ids_of(own.merged(w)) for w in words}
+
+
 # Quality
 
 
