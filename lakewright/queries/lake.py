@@ -4,6 +4,7 @@ and profiles by batch, with their checks. Each run has databases and a folder of
 from __future__ import annotations
 
 import uuid
+from datetime import date
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,7 @@ from lakewright.functions.text import as_text
 from lakewright.operators import harmonization as har
 from lakewright.operators import ingestion as ing
 from lakewright.operators import rules as rl
+from lakewright.operators import schema_versions as sv
 from lakewright.operators.deidentify import DeidRules, deidentify
 from lakewright.operators.profile_states import profile_of_states, refresh_states, stored_states
 from lakewright.operators.profiling import Profiler
@@ -269,7 +271,51 @@ _EXACT_IDS_SQL = """
 SELECT c_custkey AS k, CAST(9007199254740993 + c_custkey + 111111 AS VARCHAR) AS mrn, CAST(c_custkey + 222222 AS VARCHAR) AS accountnumber,
   CASE WHEN c_custkey % 8 < 6 THEN DATE '1980-03-14' END AS dob FROM customer"""
 
+# Three publications of the brands' tables: one unchanged in the second, one missing there, one changed each time.
+VERSIONS = """
+SELECT 'lake' AS table_schema, lower(p_brand) AS lake_table_name, p_partkey AS part, {version} AS schema_version,
+  CASE WHEN {version} = '1' OR ({version} = '2' AND p_brand = 'Brand#1') THEN 'a'
+       WHEN {version} = '3' AND p_brand = 'Brand#4' THEN 'c' ELSE 'b' END AS table_schema_hash
+FROM part WHERE NOT ({version} = '2' AND p_brand = 'Brand#2')
+"""
+_DAYS = {"1": (date(1993, 1, 1), None), "2": (date(1994, 7, 1), date(1995, 6, 30)), "3": (date(1996, 1, 1), None)}
+
+
+def _schema_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lake = new_lake(spark)
+    for version in ("2", "1", "3", "2"):  # in any order; a repeated one takes its own place
+        expected = spark.sql(VERSIONS.replace("FROM part", "FROM {part}").replace("{version}", f"'{version}'"), part=load(spark, sf_dir, "part"))
+        sv.publish_schema(lake, expected, *_DAYS[version])
+    return sv.schema_history(sv.published_schemas(lake))
+
+
+def _schemas_in_force(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = load(spark, sf_dir, "orders").select(
+        "o_orderkey", F.col("o_orderdate").cast("date").alias("day"), F.concat(F.lit("brand#"), F.col("o_custkey") % 6).alias("lake_table_name"))
+    return sv.schemas_in_force(rows, _schema_history(spark, sf_dir), "day")
+
+
+_PUBLISHED = " UNION ALL ".join(
+    f"SELECT *, DATE '{start}' AS f, {'DATE ' + repr(str(end)) if end else 'CAST(NULL AS DATE)'} AS t FROM ("
+    + VERSIONS.replace("{version}", f"'{version}'") + ")" for version, (start, end) in _DAYS.items())
+_HISTORY_SQL = f"""
+WITH p AS (SELECT table_schema, lake_table_name, table_schema_hash, schema_version, f, t FROM ({_PUBLISHED}) GROUP BY ALL),
+d AS (SELECT f, lead(f) OVER (ORDER BY f) AS next FROM (SELECT DISTINCT f FROM p)),
+e AS (SELECT p.*, CASE WHEN t IS NULL THEN next - 1 WHEN next IS NULL THEN t ELSE least(t, next - 1) END AS until FROM p JOIN d USING (f)),
+s AS (SELECT *, CASE WHEN lag(table_schema_hash) OVER w = table_schema_hash AND lag(until) OVER w = f - 1 THEN 0 ELSE 1 END AS starts
+      FROM e WINDOW w AS (PARTITION BY lake_table_name ORDER BY f)),
+g AS (SELECT *, sum(starts) OVER (PARTITION BY lake_table_name ORDER BY f) AS stretch FROM s)
+SELECT table_schema, lake_table_name, arg_min(schema_version, f) AS schema_version, table_schema_hash, min(f) AS effective_from,
+  arg_max_null(until, f) AS effective_to FROM g GROUP BY table_schema, lake_table_name, stretch, table_schema_hash"""
+_IN_FORCE_SQL = f"""
+WITH h AS ({_HISTORY_SQL}),
+o AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day, 'brand#' || (o_custkey % 6) AS lake_table_name FROM orders)
+SELECT o.*, h.schema_version, h.table_schema_hash FROM o LEFT JOIN h
+ON o.lake_table_name = h.lake_table_name AND day >= effective_from AND (effective_to IS NULL OR day <= effective_to)"""
+
 QUERIES = {
+    "schema_history": (_schema_history, _HISTORY_SQL),
+    "schemas_in_force": (_schemas_in_force, _IN_FORCE_SQL),
     "lake_rule_results": (lambda s, d: _rules(s, d, False), _RULES_SQL),
     "lake_rule_violations": (lambda s, d: _rules(s, d, True), _BROKEN_SQL),
     "deid_exact_ids": (_exact_ids, _EXACT_IDS_SQL),

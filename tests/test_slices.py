@@ -214,3 +214,34 @@ def test_created_raw_table_takes_batches(lake, spark):
     types = spark.createDataFrame([("people", "weight", "NUMERIC(6,2)", None)], TYPES)
     assert ing.promote_to_staging(lake, "people", types)["n_rows"] == 2
     assert [s["_ingest_id"] for s in lake.slices("staging", "people")] == ["I1", "I2"]
+
+
+def test_schema_validity(lake, spark):
+    from datetime import date
+
+    from lakewright.operators import schema_versions as sv
+
+    def publish(day, tables, until=None):
+        rows = [("lake", name, "x", f"v{day}", kind) for name, kind in tables.items()]
+        sv.publish_schema(lake, spark.createDataFrame(
+            rows, "table_schema string, lake_table_name string, lake_variable_name string, schema_version string, table_schema_hash string"), day, until)
+
+    one, two, three = date(2025, 1, 1), date(2025, 3, 1), date(2025, 5, 1)
+    publish(two, {"same": "z"})
+    publish(one, {"same": "a", "gone": "a", "changed": "a", "back": "a"})
+    publish(two, {"same": "a", "changed": "b", "late": "a"})  # in place of the first of that day
+    publish(three, {"same": "a", "changed": "b", "back": "a", "late": "a"}, date(2025, 12, 31))
+    history = sv.schema_history(sv.published_schemas(lake))
+    found = {(r["lake_table_name"], r["effective_from"], r["effective_to"], r["schema_version"]) for r in history.collect()}
+    end = date(2025, 12, 31)
+    assert found == {
+        ("same", one, end, f"v{one}"), ("gone", one, date(2025, 2, 28), f"v{one}"), ("changed", one, date(2025, 2, 28), f"v{one}"),
+        ("changed", two, end, f"v{two}"), ("back", one, date(2025, 2, 28), f"v{one}"), ("back", three, end, f"v{three}"),
+        ("late", two, end, f"v{two}"),
+    }
+    asked = [("gone", date(2025, 2, 28)), ("gone", two), ("changed", two), ("back", date(2025, 4, 1)), ("same", date(2026, 1, 1)), (None, two), ("same", None)]
+    rows = spark.createDataFrame(asked, "lake_table_name string, day date")
+    held = {(r["lake_table_name"], r["day"]): r["schema_version"] for r in sv.schemas_in_force(rows, history, "day").collect()}
+    assert held == dict(zip(asked, [f"v{one}", None, f"v{two}", None, None, None, None]))
+    with pytest.raises(ValueError):
+        publish(three, {"same": "a"}, two)
