@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakewright.llm.common import quoted, table
+from lakewright.llm.common import UPPER, ascii_lower, quoted, table
 from lakewright.session import written
 
 #: A line goes when it is on more than this share of the pages of its site ...
@@ -88,8 +88,8 @@ def without_boilerplate(
 
 
 def host_of(url: Column) -> Column:
-    """Null where there is none."""
-    return F.nullif(F.regexp_extract(url, r"://([^/?#]*)", 1), F.lit(""))
+    """A-Z lower-cased; null where there is none."""
+    return F.nullif(ascii_lower(F.regexp_extract(url, r"://([^/?#]*)", 1)), F.lit(""))
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,7 +109,7 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 _SQL = f"""
 WITH p AS (
-  SELECT page_id, nullif(regexp_extract(url, '://([^/?#]*)', 1), '') AS host,
+  SELECT page_id, nullif(translate(regexp_extract(url, '://([^/?#]*)', 1), '{UPPER}', '{UPPER.lower()}'), '') AS host,
          trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '{_NOT_TEXT}', '', 'g'),
            '{_LINE_TAGS}', chr(10), 'g'), '{_TAGS}', '', 'g'), '{_BREAKS}', chr(10), 'g'), chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS text
   FROM pages),

@@ -295,6 +295,13 @@ def test_higher_order_fold_equals_merging(spark):
     assert {r["word"]: r["ids"] for r in found} == {w: own.ids_of(own.merged(w)) for w in words}
 
 
+def test_hosts_of_either_case_are_one_site(spark):
+    rows = [(f"http://{'Shop' if n % 2 else 'shop'}.Example/{n}", f"menu\npage {n}") for n in range(8)] + [("none", "menu"), (None, "menu")]
+    df = spark.createDataFrame(rows, "url string, text string")
+    found = lines.without_boilerplate(df, lines.host_of(F.col("url")), F.col("text")).collect()
+    assert {(r["site"], r["text"]) for r in found} == {("shop.example", f"page {n}") for n in range(8)} | {(None, "menu")}
+
+
 # Quality
 
 
