@@ -8,8 +8,12 @@ bucket; the likelihood of the registers, given the sizes of both sets, estimates
 and pairs near the limit or above are compared shingle by shingle.
 
 No bucket is expanded into all its pairs. Exact copies are one node. Of each bucket all members are
-compared with one of them first. Members that this leaves outside its component are then compared
-with the rest of the bucket in rounds, and only across components: within one, nothing is to be won.
+compared with its pivot first, the node that meets most others over all buckets. Members that this
+leaves outside the pivot's component are then compared with the rest of the bucket in rounds, and
+only across components: within one, nothing is to be won. By then each member is known by what it
+shares with the pivot and by a fingerprint of the shingles it has beyond it. Two members share at
+most the smaller of their shares of the pivot and what the fingerprints leave open; a pair that this
+keeps below the limit is never made. Rejected variants of a text so meet only what they may link with.
 """
 
 from __future__ import annotations
@@ -40,6 +44,9 @@ SCALE = 20.0
 #: deviation is below 0.04.
 MARGIN = 0.2
 
+#: Longs of the fingerprint of the shingles that a member has beyond its pivot.
+BEYOND_LONGS = 8
+
 #: In round n the members of ranks below this to the power of n are compared with their bucket.
 ROUND_GROWTH = 16
 
@@ -120,25 +127,72 @@ def _likely(pairs: DataFrame, nodes: DataFrame, kind: str) -> DataFrame:
     return mapped(both, run, f"a {kind}, b {kind}")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, kind: str) -> DataFrame:
-    """Pairs whose shingle sets are similar enough, compared as texts."""
-    both = (
+def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    return (
         pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("t_b")), "b")
         .join(texts.select(F.col("node").alias("a"), F.col("text").alias("t_a")), "a").select("a", "b", "t_a", "t_b")
     )
 
+
+def _linked(shared: int, n_a: int, n_b: int) -> bool:
+    return 100 * shared >= SIMILARITY * (n_a + n_b - shared)
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, kind: str) -> DataFrame:
+    """Pairs whose shingle sets are similar enough, compared as texts."""
     def run(columns: list[list]) -> list[tuple]:
         out, last, set_a = [], None, set()
         for a, b, t_a, t_b in zip(*columns):
             if last is None or t_a != last:  # rows come sorted by a
                 last, set_a = t_a, shingle_texts(words_of(t_a))
             set_b = shingle_texts(words_of(t_b))
-            shared = len(set_a & set_b)
-            if 100 * shared >= SIMILARITY * (len(set_a) + len(set_b) - shared):
+            if _linked(len(set_a & set_b), len(set_a), len(set_b)):
                 out.append((a, b))
         return out
 
-    return mapped(both, run, f"a {kind}, b {kind}").distinct()
+    return mapped(_with_texts(pairs, texts), run, f"a {kind}, b {kind}").distinct()
+
+
+def _fingerprint(beyond: set[bytes]) -> list[int]:
+    import xxhash
+
+    bits = 0
+    for shingle in beyond:
+        bits |= 1 << xxhash.xxh3_64_intdigest(shingle) % (64 * BEYOND_LONGS)
+    return np.frombuffer(bits.to_bytes(8 * BEYOND_LONGS, "little"), np.int64).tolist()
+
+
+def _against_pivot(pairs: DataFrame, texts: DataFrame, kind: str) -> DataFrame:
+    """Each pair of a pivot (a) and a member (b): ``linked``, and ``fact`` with the member's size,
+    its shingles in the pivot's set and the fingerprint of its others. Ids with several texts have
+    no fact."""
+    def run(columns: list[list]) -> list[tuple]:
+        out, last, set_a = [], None, set()
+        for a, b, t_a, t_b in zip(*columns):
+            if last is None or t_a != last:  # rows come sorted by a
+                last, set_a = t_a, shingle_texts(words_of(t_a))
+            set_b = shingle_texts(words_of(t_b))
+            shared = len(set_a & set_b)
+            out.append((a, b, _linked(shared, len(set_a), len(set_b)), len(set_b), shared, _fingerprint(set_b - set_a)))
+        return out
+
+    rows = mapped(
+        _with_texts(pairs, texts), run, f"a {kind}, b {kind}, linked boolean, n long, shared long, beyond array<bigint>"
+    )
+    return rows.groupBy("a", "b").agg(
+        F.max("linked").alias("linked"), F.when(F.count("*") == 1, F.first(F.struct("n", "shared", "beyond"))).alias("fact")
+    )
+
+
+def _may_link(x: Column, y: Column) -> Column:
+    """Whether two members of one bucket may be similar enough, by their facts; true without one."""
+    def missing(p: Column, q: Column) -> Column:
+        lone = [F.bit_count(p["beyond"][i].bitwiseAND(F.bitwise_not(q["beyond"][i]))) for i in range(BEYOND_LONGS)]
+        return sum(lone[1:], lone[0])
+
+    beyond = F.least(x["n"] - x["shared"] - missing(x, y), y["n"] - y["shared"] - missing(y, x))
+    most = F.least(F.least(x["shared"], y["shared"]) + beyond, x["n"], y["n"])
+    return F.coalesce(100 * most >= SIMILARITY * (x["n"] + y["n"] - most), F.lit(True))
 
 
 def component_labels(links: DataFrame) -> DataFrame:
@@ -179,45 +233,49 @@ def near_duplicates(df: DataFrame, id_column: str = "doc_id", text_column: str =
         .select("node", "n_shingles", "registers").distinct()
     )
     placed = nodes.select("node", F.explode(_band_keys(F.col("registers"))).alias("bucket"))
-    buckets = placed.groupBy("bucket").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).filter("pivot <> last")
-    members = written(placed.join(buckets.select("bucket", "pivot"), "bucket"))
+    sizes = placed.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
+    met = written(placed.join(sizes, "bucket"))
+    crowds = met.groupBy("node").agg(F.sum("size").alias("crowd"))
+    pivots = met.join(crowds, "node").groupBy("bucket").agg(F.max(F.struct("crowd", "node"))["node"].alias("pivot"))
+    members = written(met.select("bucket", "node").join(pivots, "bucket"))
     candidates = members.select("node").distinct()
     near = written(nodes.join(candidates, "node", "left_semi"))
     texts = written(
         picked(df, node=id_column, text=text_column).join(candidates, "node", "left_semi")
     )
+    of_pivot = members.filter("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
+    compared = written(_against_pivot(of_pivot, texts, kind))
+    tried = compared.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    links = compared.filter("linked").select("a", "b")
+    facts = compared.select(F.col("a").alias("pivot"), F.col("b").alias("node"), "fact")
+    members = written(members.join(facts, ["pivot", "node"], "left"))
+    labels = component_labels(links)
 
-    def links_of(pairs: DataFrame) -> DataFrame:
-        return written(_verified(_likely(pairs, near, kind), texts, kind))
+    def labelled() -> DataFrame:
+        of_node = labels.select(F.col("node").alias("n"), "label")
+        return members.join(of_node, members["node"] == F.col("n"), "left").drop("n").withColumn("label", F.coalesce("label", "node"))
 
-    links = links_of(members.filter("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct())
-    labels = component_labels(links)
+    # Members outside the component of their bucket's pivot take turns, by these ranks.
+    first = labels.select(F.col("node").alias("pivot"), F.col("label").alias("first"))
+    apart = labelled().join(first, "pivot", "left").filter(F.col("label") != F.coalesce("first", "pivot"))
+    ranks = written(apart.select("bucket", "node", F.row_number().over(Window.partitionBy("bucket").orderBy("node")).alias("rank")))
+    deepest = ranks.agg(F.max("rank")).first()[0] or 0
     done = 0
-    while True:
-        # Members outside the component of their bucket's first node.
-        label_of = labels.select(F.col("node").alias("n"), "label")
-        labelled = (
-            members.join(label_of, members["node"] == F.col("n"), "left").drop("n").withColumn("label", F.coalesce("label", "node"))
+    while done < deepest:
+        upto = max(ROUND_GROWTH, done * ROUND_GROWTH)
+        rows = written(labelled().filter("node <> pivot").drop("pivot").join(ranks, ["bucket", "node"], "left"))
+        turn = rows.filter((F.col("rank") > done) & (F.col("rank") <= upto)).select(
+            "bucket", F.col("node").alias("a"), F.col("label").alias("label_a"), F.col("rank").alias("rank_a"), F.col("fact").alias("fact_a")
         )
-        first = labels.select(F.col("node").alias("pivot"), F.col("label").alias("first"))
-        apart = labelled.join(first, "pivot", "left").filter(F.col("label") != F.coalesce("first", "pivot"))
-        ranked = written(
-            apart.select("bucket", "node", "label", F.row_number().over(Window.partitionBy("bucket").orderBy("node")).alias("rank"))
+        # A lower rank has had its turn with all of the bucket.
+        across = turn.join(rows, "bucket").filter(
+            (F.col("label") != F.col("label_a")) & (F.col("rank").isNull() | (F.col("rank") > F.col("rank_a"))) & _may_link(F.col("fact_a"), F.col("fact"))
         )
-        if done == 0:
-            # Ranks of later rounds are those of the first: who has been compared stays below.
-            ranks = written(ranked.select("bucket", "node", "rank"))
-            deepest = ranks.agg(F.max("rank")).first()[0] or 0
-        if done >= deepest:
-            break
-        upto = max(ROUND_GROWTH, done * ROUND_GROWTH)
-        turn = (
-            ranks.filter((F.col("rank") > done) & (F.col("rank") <= upto)).join(ranked.select("bucket", "node", "label"), ["bucket", "node"])
-            .select("bucket", F.col("node").alias("a"), F.col("label").alias("label_a"))
+        pairs = written(
+            across.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
         )
-        across = turn.join(labelled, "bucket").filter((F.col("label") != F.col("label_a")) & (F.col("node") != F.col("pivot")))
-        pairs = across.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
-        new = links_of(pairs)
+        tried = tried.union(pairs)
+        new = written(_verified(_likely(pairs, near, kind), texts, kind))
         done = upto
         if not new.isEmpty():
             links = links.union(new)
