@@ -45,7 +45,7 @@ SCALE = 20.0
 MARGIN = 0.2
 
 #: Longs of the fingerprint of the shingles that a member has beyond its pivot.
-BEYOND_LONGS = 8
+BEYOND_LONGS = 32
 
 #: In round n the members of ranks below this to the power of n are compared with their bucket.
 ROUND_GROWTH = 16
@@ -215,6 +215,19 @@ def component_labels(links: DataFrame) -> DataFrame:
             return labels
 
 
+def _joined_labels(labels: DataFrame, new: DataFrame) -> DataFrame:
+    """``labels`` after more links: only the components that these touch are walked again."""
+    ends = new.select(F.col("a").alias("node")).union(new.select(F.col("b").alias("node"))).distinct()
+    known = written(labels.union(ends.join(labels, "node", "left_anti").select("node", F.col("node").alias("label"))))
+
+    def side(name: str) -> DataFrame:
+        return known.select(F.col("node").alias(name), F.col("label").alias(f"of_{name}"))
+
+    between = new.join(side("a"), "a").join(side("b"), "b").filter("of_a <> of_b").select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))
+    moved = component_labels(between.distinct()).select(F.col("node").alias("label"), F.col("label").alias("least"))
+    return written(known.join(moved, "label", "left").select("node", F.coalesce("least", "label").alias("label")))
+
+
 def near_duplicates(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id``, ``kept`` of every row.
 
@@ -278,8 +291,7 @@ def near_duplicates(df: DataFrame, id_column: str = "doc_id", text_column: str =
         new = written(_verified(_likely(pairs, near, kind), texts, kind))
         done = upto
         if not new.isEmpty():
-            links = links.union(new)
-            labels = component_labels(links)
+            labels = _joined_labels(labels, new)
     of_set = sets.join(labels, "node", "left").select("digest", F.coalesce("label", "node").alias("component_id"))
     out = found.join(of_set, "digest", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))

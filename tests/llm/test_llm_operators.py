@@ -162,6 +162,34 @@ def _components_by_hand(docs):
     return {i: root(i) for i in ids}, {i: len(s) for i, s in sets.items()}
 
 
+def test_near_duplicates_of_rejected_variants(spark, documents):
+    """A group whose members are partly below the limit, some of those linked with each other only."""
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(900)}" for _ in range(150)]
+
+    def changed(words, times):
+        out = list(words)
+        for _ in range(times):
+            out[rng.randrange(len(out))] = f"x{rng.randrange(900)}"
+        return out
+
+    rows = [changed(base, rng.choice((1, 2, 3, 5, 6, 8, 9))) for _ in range(110)]
+    rows += [changed(rows[rng.randrange(110)], rng.choice((1, 3))) for _ in range(50)]
+    rng.shuffle(rows)
+    sets = [shingles.shingle_texts([w.encode() for w in words]) for words in rows]
+    least = list(range(len(rows)))
+    links = [
+        (i, j) for i in range(len(rows)) for j in range(i)
+        if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])
+    ]
+    for _ in rows:
+        for i, j in links:
+            least[i] = least[j] = min(least[i], least[j])
+    assert 5 < len(set(least)) < 100
+    docs = documents(*((i, " ".join(words)) for i, words in enumerate(rows)))
+    assert {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(docs).collect()} == dict(enumerate(least))
+
+
 def test_near_duplicates_against_all_pairs(spark, documents):
     random.seed(4)
     docs, n = {}, 0
