@@ -211,3 +211,31 @@ def test_settings():
     merged = profiling_settings({"missingness_thresholds": {"high": 30}})
     assert merged["missingness_thresholds"] == {"critical": 0, "high": 30, "moderate": 10}
     assert profiling_settings("/no/such/file.yml") == DEFAULTS
+
+
+def test_few_values_are_counted_trimmed_without_holding_all_texts(spark):
+    numbers = [str(i) for i in range(100, 149)] + ["5555"] * 5
+    # Padded variants and padded words are the same trimmed texts; bare ones are over the limit alone.
+    assert "5555" in sentinels(spark, [*numbers, *[f" {v} " for v in numbers], *["\t" + v for v in numbers]])
+    assert "5555" in sentinels(spark, [*numbers[1:], "abc", " abc", "abc\t"])
+    assert "5555" not in sentinels(spark, [*numbers, " 7000"])
+    padded = [f" {v}" for v in (*range(1000, 1060), *[5555] * 9)]  # none is bare, 61 texts
+    assert "5555" not in sentinels(spark, padded)
+    profiler = Profiler({"t": column(spark, "c", [*map(str, range(3000)), *["77"] * 99])}).store()
+    assert profiler.groups.where("texts IS NOT NULL").count() == 0  # too many: none counted
+
+
+def test_counts_are_merged_in_small_partitions(spark, monkeypatch):
+    from lakewright import session
+
+    seen, keys = [], ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    before = [spark.conf.get(k) for k in keys]
+    real = session.written
+
+    def noted(df):
+        seen.append(int(df.sparkSession.conf.get(keys[0])))
+        return real(df)
+
+    monkeypatch.setattr("lakewright.operators.profiling.written", noted)
+    Profiler({"t": column(spark, "c", ["1", "2"])}).profile()
+    assert seen[0] >= session.FINE_PARTITIONS and [spark.conf.get(k) for k in keys] == before
