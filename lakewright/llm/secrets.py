@@ -2,14 +2,14 @@
 
 A candidate is a run of token characters near a word like *key* or *password*. Its novelty is what
 it adds to the compressed size of its surroundings: the size of surroundings plus candidate less
-the size of the surroundings, under a zstandard dictionary trained on identifiers and surroundings
-of the corpus. Names and words are cheap then, random strings cost about their entropy.
+the size of the surroundings, under a zstandard dictionary of the phrases that stand near such words
+in all documents of the corpus. Names and words are cheap then, random strings cost about their entropy.
 """
 
 from __future__ import annotations
 
-import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,9 +40,12 @@ SURROUNDINGS = 160
 #: Compressed bytes a code point from which a candidate counts as incompressible.
 NOVELTY = 0.7
 
-#: The dictionary is trained on surroundings of about this many documents.
-FIT_DOCUMENTS = 2000
+#: The dictionary holds phrases of this many words up to this size; a phrase costs about MATCH_BYTES
+#: where it is found in the dictionary.
+PHRASE_WORDS = 3
 DICTIONARY_BYTES = 16_384
+MATCH_BYTES = 4
+_WORD = re.compile(r"\S{1,16}")
 
 _PLAIN_ASSIGN = ("passw", "secret", "token", "api")
 
@@ -78,7 +81,7 @@ class Novelty:
     def __init__(self, dictionary: bytes):
         import zstandard
 
-        data = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
+        data = zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT) if dictionary else None
         self._compressor = zstandard.ZstdCompressor(level=3, dict_data=data, write_content_size=False, write_dict_id=False)
 
     def _size(self, text: str) -> int:
@@ -89,38 +92,47 @@ class Novelty:
         return self._size(before + after + text[start:end]) - self._size(before + after)
 
 
-def fit_dictionary(
-    df: DataFrame, id_column: str = "doc_id", text_column: str = "text", fit_documents: int = FIT_DOCUMENTS
-) -> bytes:
-    """A zstandard dictionary of identifiers and of the surroundings of sensitive words.
+def _near_phrases(text: str) -> set[str]:
+    """Runs of words in the surroundings of all sensitive words of a text, candidates left out."""
+    spans: list[list[int]] = []
+    for m in _CONTEXT.finditer(text):
+        start, end = max(0, m.start() - SURROUNDINGS), m.end() + SURROUNDINGS
+        if spans and start <= spans[-1][1]:
+            spans[-1][1] = end
+        else:
+            spans.append([start, end])
+    out = set()
+    for start, end in spans:
+        words = _WORD.findall(_CANDIDATE.sub(" ", text[start:end]))  # what may be secret is not learned
+        out.update(" ".join(words[i:i + PHRASE_WORDS]) for i in range(max(1, len(words) - PHRASE_WORDS + 1)))
+    return out
+
+
+def fit_dictionary(df: DataFrame, text_column: str = "text") -> bytes:
+    """A zstandard dictionary of the phrases near sensitive words, counted over all documents.
 
-    Trained on the driver from the documents that hold a sensitive word with the lowest hashes of
-    their ids, about ``fit_documents`` of them, some lines each. Too few of them: an empty dictionary.
+    Phrases are counted once a document and ranked by the bytes they save in all documents; the first
+    ones that fill the dictionary go to the driver, the best at its end. No phrase that two documents
+    share: an empty dictionary.
     """
-    rows = picked(df, doc_id=id_column, text=text_column).filter(F.lower("text").rlike("|".join(_HINTS)))
-    n = rows.count()
-    share = min(1.0, fit_documents / n) if n else 0.0
-    chosen = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.lit(int((1 << 30) * share)))
-
-    def surroundings(columns: list[list]) -> list[tuple[str]]:
-        out = []
-        for text in columns[0]:
-            found = []
-            for m in _CONTEXT.finditer(text):
-                near = text[max(0, m.start() - SURROUNDINGS):m.end() + SURROUNDINGS]
-                found.append(_CANDIDATE.sub(" ", near))  # what may be secret is not learned
-                if len(found) == 4:
-                    break
-            out += [(x,) for x in found]
-        return out
-
-    samples = sorted(r[0].encode("utf-8", "replace") for r in mapped(chosen.select("text"), surroundings, "near string").collect())
-    import zstandard
-
-    try:
-        return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes() if len(samples) >= 16 else b""
-    except zstandard.ZstdError:  # too little text to train on
-        return b""
+    rows = picked(df, text=text_column).filter(F.lower("text").rlike("|".join(_HINTS)))
+
+    def phrases(columns: list[list]) -> list[tuple[str, int]]:
+        return list(Counter(p for text in columns[0] for p in _near_phrases(text)).items())
+
+    saved = F.col("n") * (F.octet_length("phrase") - MATCH_BYTES)
+    best = (
+        mapped(rows, phrases, "phrase string, n long").groupBy("phrase").agg(F.sum("n").alias("n"))
+        .filter((F.col("n") > 1) & (F.octet_length("phrase") > MATCH_BYTES))
+        .orderBy(saved.desc(), "phrase").limit(DICTIONARY_BYTES // MATCH_BYTES)
+    )
+    chosen, size = [], 0
+    for row in best.select("phrase").collect():
+        data = row[0].encode("utf-8", "replace")
+        if size + len(data) < DICTIONARY_BYTES:
+            chosen.append(data)
+            size += len(data) + 1
+    return b"\n".join(reversed(chosen))
 
 
 def spans_of(text: str, novelty: Novelty, threshold: float) -> tuple[list, list]:

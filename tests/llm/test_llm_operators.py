@@ -401,6 +401,16 @@ def test_secret_spans(spark, documents):
     assert got[7] == []
 
 
+def test_secret_dictionary_is_counted_over_all_documents(spark, documents):
+    late = " ".join(["key"] * 6) + " filler word" * 40 + " the password of the green harbour gate"
+    texts = [f"number {i} has a key of oak" for i in range(2600)] + [late, late]
+    fitted = secrets.fit_dictionary(documents(*enumerate(texts)))
+    assert b"key of oak" in fitted and b"green harbour gate" in fitted and len(fitted) <= secrets.DICTIONARY_BYTES
+    assert fitted == secrets.fit_dictionary(documents(*((i + 10**6, t) for i, t in enumerate(texts))))  # ids choose nothing
+    once = secrets.fit_dictionary(documents((1, "a key under the mat"), (2, None), (3, "")))
+    assert once == b""
+
+
 # URL filter
 
 
