@@ -10,18 +10,21 @@ returns. The fold, a higher-order ``aggregate``, merges by rank over the lattice
 merging can form is one of the word's edges, so the edges with their ranks are all it needs.
 
 Texts meet the words' pieces in packed form. The most frequent words, a bounded number, go to every
-task; a text becomes their packed ids with gaps, and each occurrence of any other word a row that is
-joined with the word table. Gaps are then filled, text by text, and the ids decoded again.
+task as Arrow arrays; a text becomes their packed ids with gaps, and each occurrence of any other word a
+row that is joined with the word table. Gaps are then filled, text by text, and the ids decoded again.
+Inside tasks, texts are cut and words counted and looked up by Arrow, some MB of text at a time.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from functools import cached_property
+from itertools import islice
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,11 +34,17 @@ from lakewright.session import written
 SPACE = "▁"
 
 #: Words of at most so many bytes that are sent to every task, the most frequent ones.
-FREQUENT_WORDS = 150_000
+FREQUENT_WORDS = 500_000
 FREQUENT_BYTES = 64
 
-#: Distinct words that a task counts before it passes the counts on.
-COUNTED = 200_000
+#: Rows of word counts that a task gathers before it merges them and passes them on.
+COUNTED = 400_000
+
+#: Bytes of text that a task cuts at a time; a longer text is cut alone.
+CUT_BYTES = 1 << 20
+
+#: Words are looked up for so many parts at once, as each lookup indexes the frequent words anew.
+LOOKED_UP = 16
 
 #: Pairs whose merging a worker remembers before it starts anew.
 REMEMBERED = 500_000
@@ -48,8 +57,8 @@ MOST_PIECES = 1_000_000
 #: meets one takes it through ``Pieces.path_of``, in proportion to its length.
 LONG_WORD = 60
 
-#: Stands for a word whose ids come from the word table.
-GAP = np.array([-1], "<i4").tobytes()
+#: Where rank, start and size begin in an edge's long; the id is below them.
+RANK_BIT, START_BIT, SIZE_BIT = 36, 30, 24
 
 
 @dataclass
@@ -77,14 +86,31 @@ class Pieces:
     def bytes_of(self) -> dict[int, bytes]:
         return {i: p.replace(SPACE, " ").encode() for p, i in self.ids.items()} | {i: bytes([b]) for b, i in enumerate(self.byte_ids)}
 
-    def words_of(self, text: str) -> list[str]:
-        """Words that no piece spans; joined they are the text with a space in front."""
-        if not text:
-            return []
-        whole = (SPACE + text).replace(" ", SPACE)
-        place = self._place[np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), "<u4")]
-        cuts = (np.flatnonzero(~self._meet[place[:-1], place[1:]]) + 1).tolist()
-        return [whole[a:b] for a, b in zip([0, *cuts], [*cuts, len(whole)])]
+    @cached_property
+    def packed_kind(self) -> np.dtype:
+        """The least type that holds all ids; its highest value is a gap, for a word whose ids come from the word table."""
+        return np.dtype("<u2" if max([*self.ids.values(), *self.byte_ids]) < 0xFFFF else "<u4")
+
+    def words_of(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """The words of texts, which no piece spans, each one's characters, and where each text's words
+        begin, with their number last. The words of a text, joined, are the text with a space in front."""
+        whole = pc.if_else(pc.equal(texts, ""), "", pc.replace_substring(pc.binary_join_element_wise(SPACE, texts, ""), " ", SPACE))
+        ends = np.frombuffer(whole.buffers()[1], np.int32)[whole.offset:whole.offset + len(whole) + 1]
+        data = whole.buffers()[2].slice(ends[0], ends[-1] - ends[0]) if len(whole) and ends[-1] > ends[0] else pa.py_buffer(b"")
+        code = np.frombuffer(data.to_pybytes().decode().encode("utf-32-le"), "<u4")
+        at = np.zeros(len(code) + 1, np.int32)  # the byte at which each character begins
+        width = np.ones(len(code), np.uint8)
+        for more in (0x80, 0x800, 0x10000):
+            width += code >= more
+        np.cumsum(width, dtype=np.int32, out=at[1:])
+        first = np.searchsorted(at, ends - ends[0])
+        place = self._place[code]
+        bound = np.zeros(len(code) + 1, bool)
+        bound[1:-1] = ~self._meet[place[:-1], place[1:]]
+        bound[first] = True
+        bounds = np.flatnonzero(bound)
+        words = pa.StringArray.from_buffers(len(bounds) - 1, pa.py_buffer(at[bounds]), data)
+        return words, np.diff(bounds), np.searchsorted(bounds, first)
 
     def edges_of(self, word: str) -> list[tuple[int, int]]:
         ends = ((i, range(i + 1, min(len(word), i + self.longest) + 1)) for i in range(len(word)))
@@ -158,7 +184,7 @@ def load_pieces(path: str) -> Pieces:
         if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i))
     ]
     ids = {model.id_to_piece(i): i for i in plain}
-    if len(ids) > MOST_PIECES:
+    if len(ids) > MOST_PIECES or max(ids.values()) >> SIZE_BIT:
         raise ValueError(f"more than {MOST_PIECES} pieces")
     byte_ids = [model.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
     scores = {p: model.get_score(i) for p, i in ids.items()}
@@ -169,34 +195,46 @@ def load_pieces(path: str) -> Pieces:
     return found
 
 
+def _cut(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of about ``CUT_BYTES`` of text each; at least a row each."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < batch.num_rows:
+        before = sizes[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(sizes, before + CUT_BYTES, "right")))
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 def word_counts(texts: DataFrame, path: str) -> DataFrame:
     """``word``, ``n`` of the distinct words of (text) but long ones, counted in tasks before the shuffle."""
     def run(batches):
-        import pyarrow as pa
-
-        words_of = load_pieces(path).words_of
+        own, held, rows = load_pieces(path), [], 0
 
-        def flushed(counts: Counter):
-            return pa.RecordBatch.from_arrays(
-                [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"]
-            )
+        def merged() -> pa.RecordBatch:
+            found = pa.concat_tables(held).group_by("word", use_threads=False).aggregate([("n", "sum")]).combine_chunks()
+            return pa.RecordBatch.from_arrays([found["word"].combine_chunks(), found["n_sum"].combine_chunks()], names=["word", "n"])
 
-        counts: Counter = Counter()
         for batch in batches:
-            for text in batch.column(0):
-                counts.update(word for word in words_of(text.as_py() or "") if len(word) <= LONG_WORD)
-                if len(counts) > COUNTED:
-                    yield flushed(counts)
-                    counts.clear()
-        if counts:
-            yield flushed(counts)
+            for part in _cut(batch, 0):
+                words, sizes, _ = own.words_of(pc.fill_null(part.column(0), ""))
+                if (sizes > LONG_WORD).any():
+                    words = words.filter(pa.array(sizes <= LONG_WORD))
+                word, n = words.value_counts().flatten()
+                held.append(pa.table({"word": word, "n": n}))
+                rows += len(word)
+                if rows > COUNTED:
+                    yield merged()
+                    held, rows = [], 0
+        if rows:
+            yield merged()
 
     return texts.mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def lattice(words: DataFrame, pieces: Pieces) -> DataFrame:
-    """``word``, ``n`` and ``edges`` (``rank``, ``start``, ``size``, ``id``), best ranks first.
-    A character that is no piece has an edge without an id. Words have up to ``LONG_WORD`` characters.
+    """``word``, ``n`` and ``edges``, a long each, best ranks first: rank, start, size and id of a piece, from the
+    high bits down. A character that is no piece has the edge -1 - start. Words have up to ``LONG_WORD`` characters.
 
     Words keep their partitioning: the explode and the join with the small piece table do not
     move them, so grouping the edges by word needs no further shuffle.
@@ -212,8 +250,12 @@ def lattice(words: DataFrame, pieces: Pieces) -> DataFrame:
     parts = ends.select("word", "n", "start", "size", F.substring(F.col("window"), F.lit(1), F.col("size")).alias("piece"))
     # A left join keeps characters, and so words, that have no edge at all.
     found = parts.join(known, "piece", "left").filter(F.col("id").isNotNull() | (F.col("size") == 1))
-    edge = F.struct("rank", (F.col("start") - 1).alias("start"), "size", "id")
-    return found.groupBy("word").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(edge)).alias("edges"))
+    start = (F.col("start") - 1).cast("long")
+    edge = F.coalesce(
+        F.shiftleft(F.col("rank").cast("long"), RANK_BIT) + F.shiftleft(start, START_BIT) + F.shiftleft(F.col("size").cast("long"), SIZE_BIT) + F.col("id"),
+        -1 - start,
+    )
+    return found.groupBy("word", "n").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
 
 
 def _bit(at: Column) -> Column:
@@ -232,9 +274,16 @@ def folded_ids(word: Column, edges: Column, pieces: Pieces) -> Column:
     the best-ranked edge, the leftmost of equals, that spans two neighbouring pieces; what merging can
     form is always an edge of the lattice, so a step needs no other table.
     """
-    masked = F.transform(edges, lambda e: F.struct(
-        _bit(e["start"]).bitwiseOR(_bit(e["start"] + e["size"])).alias("ends"),
-        (_bit(e["start"] + e["size"]) - _bit(e["start"] + 1)).alias("inner"),
+    def field(e: Column, at: int, bits: int) -> Column:
+        return F.shiftright(e, at).bitwiseAND((1 << bits) - 1).cast("int")
+
+    def placed(e: Column) -> Column:
+        start = F.when(e < 0, (-1 - e).cast("int")).otherwise(field(e, START_BIT, 6))
+        return F.struct(
+            start.alias("start"), (start + F.when(e < 0, 1).otherwise(field(e, SIZE_BIT, 6))).alias("end"), F.when(e >= 0, field(e, 0, SIZE_BIT)).alias("id"))
+
+    masked = F.transform(F.transform(edges, placed), lambda e: F.struct(
+        _bit(e["start"]).bitwiseOR(_bit(e["end"])).alias("ends"), (_bit(e["end"]) - _bit(e["start"] + 1)).alias("inner"),
         e["start"].alias("start"), e["id"].alias("id"),
     ))
 
@@ -269,8 +318,9 @@ def encoded_words(words: DataFrame, pieces: Pieces) -> DataFrame:
     return lattice(words, pieces).select("word", "n", folded_ids(F.col("word"), F.col("edges"), pieces).alias("ids"))
 
 
-def _frequent(words: DataFrame, limit: int) -> tuple[int, dict[str, bytes]]:
-    """The count from which words are sent to every task, and those words with their packed ids."""
+def _frequent(words: DataFrame, limit: int, kind: np.dtype) -> tuple[int, pa.Array, np.ndarray, np.ndarray]:
+    """The count from which words are sent to every task, those words, all their ids, and where each
+    word's ids begin, with their number."""
     short = words.filter(F.octet_length("word") <= FREQUENT_BYTES)
     step = F.floor(F.log2("n") * 8).cast("int")
     held, least = 0, None
@@ -280,9 +330,63 @@ def _frequent(words: DataFrame, limit: int) -> tuple[int, dict[str, bytes]]:
             break
         least = r["n"]
     if least is None:
-        return 1 << 62, {}
-    rows = short.filter(F.col("n") >= least).select("word", "ids").toLocalIterator()
-    return least, {r["word"]: np.array(r["ids"], "<i4").tobytes() for r in rows}
+        return 1 << 62, pa.array([], pa.string()), np.zeros(0, kind), np.zeros(1, np.int32)
+    found = short.filter(F.col("n") >= least).select("word", "ids").toArrow()
+    begin = np.concatenate([[0], np.cumsum(pc.list_value_length(found["ids"]).to_numpy())]).astype(np.int32)
+    ids = pc.list_flatten(found["ids"]).to_numpy().astype(kind)
+    return least, pa.concat_arrays(found["word"].cast(pa.string()).chunks), ids, begin
+
+
+@dataclass
+class _Known:
+    """The words of some texts, once each, with what a task knows of them."""
+
+    of_text: np.ndarray  # where each text's words begin, and their number
+    entry: np.ndarray  # of each word, the place in ``words``
+    words: pa.Array
+    found: np.ndarray  # of each entry, its place among the frequent words, or -1
+    is_long: np.ndarray  # of each entry
+
+    @property
+    def is_rare(self) -> np.ndarray:
+        return (self.found < 0) & ~self.is_long
+
+
+def _known(own: Pieces, batch: pa.RecordBatch, text: int, frequent: pa.Array) -> Iterator[tuple[pa.RecordBatch, _Known]]:
+    """A batch in parts, with their words."""
+    parts = _cut(batch, text)
+    while some := list(islice(parts, LOOKED_UP)):
+        coded = []
+        for part in some:
+            words, sizes, of_text = own.words_of(part.column(text))
+            code = words.dictionary_encode()
+            coded.append((of_text, code.indices.to_numpy(), code.dictionary, sizes > LONG_WORD))
+        found = pc.fill_null(pc.index_in(pa.chunked_array([c[2] for c in coded]), value_set=frequent), -1).to_numpy()
+        at = 0
+        for part, (of_text, entry, words, too_long) in zip(some, coded):
+            is_long = np.zeros(len(words), bool)
+            is_long[entry[too_long]] = True
+            yield part, _Known(of_text, entry, words, found[at:at + len(words)], is_long)
+            at += len(words)
+
+
+def _ids_with_gaps(own: Pieces, known: _Known, flat: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all words, a gap for each rare one, and where each text's ids begin, with their number."""
+    kind = own.packed_kind
+    long = {int(e): own.ids_of(own.path_of(w, own.edges_of(w))) for e in np.flatnonzero(known.is_long) for w in [known.words[int(e)].as_py()]}
+    # The table of ids: those of the frequent words, one gap, those of the long words met here.
+    table = np.concatenate([flat, [np.iinfo(kind).max], *(np.array(ids) for ids in long.values())]).astype(kind)
+    start, size = np.full(len(known.words), len(flat)), np.ones(len(known.words), np.int64)
+    short = known.found >= 0
+    start[short], size[short] = begin[known.found[short]], begin[known.found[short] + 1] - begin[known.found[short]]
+    at = len(flat) + 1
+    for e, ids in long.items():
+        start[e], size[e] = at, len(ids)
+        at += len(ids)
+    sizes = size[known.entry]
+    total = np.concatenate([[0], np.cumsum(sizes)])
+    ids = table[np.repeat(start[known.entry] - total[:-1], sizes) + np.arange(total[-1])]
+    return ids, total[known.of_text]
 
 
 def encoded(
@@ -302,53 +406,61 @@ def encoded(
     )
     kind = rows.schema["doc_id"].dataType.simpleString()
     words = written(encoded_words(word_counts(rows.select("text"), model_path), pieces))
-    least, frequent = _frequent(words, frequent_words)
+    least, *frequent = _frequent(words, frequent_words, pieces.packed_kind)
     shared = spark.sparkContext.broadcast(frequent)
 
-    def known_words(columns: list[list]) -> Iterator[tuple]:
+    def known_words(batches):
         import zstandard
 
-        get, own, compress = shared.value.get, load_pieces(model_path), zstandard.ZstdCompressor(level=3).compress
-        for i, key, text in zip(*columns):
-            found = own.words_of(text)
-            parts = [get(word, GAP) for word in found]
-            if len(text) > LONG_WORD:
-                for at, word in enumerate(found):
-                    if len(word) > LONG_WORD:
-                        parts[at] = np.array(own.ids_of(own.path_of(word, own.edges_of(word))), "<i4").tobytes()
-            yield i, key, compress(b"".join(parts))
-
-    def other_words(columns: list[list]) -> Iterator[tuple]:
-        known, words_of = shared.value, load_pieces(model_path).words_of
-        for i, key, text in zip(*columns):
-            for at, word in enumerate(w for w in words_of(text) if w not in known and len(w) <= LONG_WORD):
-                yield i, key, at, word
-
-    texts = mapped(rows, known_words, f"doc_id {kind}, text_key long, packed binary").groupBy("doc_id", "text_key").agg(
+        own, (frequent, flat, begin) = load_pieces(model_path), shared.value
+        compress = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            for part, known in _known(own, batch, 2, frequent):
+                ids, bounds = _ids_with_gaps(own, known, flat, begin)
+                packed = [compress(ids[a:b].tobytes()) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(packed, pa.binary())], names=["doc_id", "text_key", "packed"])
+
+    def other_words(batches):
+        own, (frequent, _, _) = load_pieces(model_path), shared.value
+        for batch in batches:
+            for part, known in _known(own, batch, 2, frequent):
+                rare = np.flatnonzero(known.is_rare[known.entry])
+                bounds = np.searchsorted(rare, known.of_text)
+                text = np.repeat(np.arange(part.num_rows), np.diff(bounds))
+                yield pa.RecordBatch.from_arrays([
+                    part.column(0).take(pa.array(text)), part.column(1).take(pa.array(text)),
+                    pa.array((np.arange(len(rare)) - bounds[text]).astype(np.int32)), known.words.take(pa.array(known.entry[rare])),
+                ], names=["doc_id", "text_key", "at", "word"])
+
+    # Wrapped, a null id equals itself in a plain join, which keeps the partitioning of both sides.
+    key = [F.struct("doc_id").alias("of"), "text_key"]
+    texts = rows.mapInArrow(known_words, f"doc_id {kind}, text_key long, packed binary").groupBy(*key).agg(
         F.first("packed").alias("packed"), F.count("*").alias("copies")
     )
-    others = mapped(rows, other_words, f"doc_id {kind}, text_key long, at int, word string")
+    others = rows.mapInArrow(other_words, f"doc_id {kind}, text_key long, at int, word string")
     rare = words.filter((F.col("n") < least) | (F.octet_length("word") > FREQUENT_BYTES)).select("word", "ids")
-    # Rows that share id and text have the same gaps: once each.
-    gaps = others.join(rare, "word").groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("at", "ids")).alias("rare"))
-    same = texts["doc_id"].eqNullSafe(gaps["doc_id"]) & (texts["text_key"] == gaps["text_key"])
-    return texts.join(gaps, same, "left").select(texts["doc_id"], texts["text_key"], "copies", "packed", "rare")
+    # Rows that share id and text have the same gaps: once each. Their words lie apart, so grouping before the
+    # shuffle would only make the rows wider.
+    placed = others.join(rare, "word").select(*key, "at", "ids").repartition("of", "text_key")
+    gaps = placed.groupBy("of", "text_key").agg(F.collect_set(F.struct("at", "ids")).alias("rare"))
+    return texts.join(gaps, ["of", "text_key"], "left").select("of.doc_id", "text_key", "copies", "packed", "rare")
 
 
-def _filled(packed: bytes, rare: list | None) -> np.ndarray:
+def _filled(packed: bytes, rare: list | None, kind: np.dtype) -> np.ndarray:
     """All ids of a text, in order."""
     import zstandard
 
-    ids = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), "<i4")
+    ids = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), kind)
+    whole = ids.astype("<i4")
     if not rare:
-        return ids
-    places = np.flatnonzero(ids < 0)
+        return whole
+    places = np.flatnonzero(ids == np.iinfo(kind).max)
     found = sorted((r["at"], r["ids"]) for r in rare)
     parts, start = [], 0
     for place, (_, own) in zip(places.tolist(), found, strict=True):
-        parts += [ids[start:place], np.array(own, "<i4")]
+        parts += [whole[start:place], np.array(own, "<i4")]
         start = place + 1
-    return np.concatenate([*parts, ids[start:]])
+    return np.concatenate([*parts, whole[start:]])
 
 
 def decoded(texts: DataFrame, model_path: str) -> DataFrame:
@@ -357,10 +469,11 @@ def decoded(texts: DataFrame, model_path: str) -> DataFrame:
     kind = texts.schema["doc_id"].dataType.simpleString()
 
     def run(columns: list[list]) -> Iterator[tuple]:
-        bytes_of = load_pieces(model_path).bytes_of
+        own = load_pieces(model_path)
         for i, key, copies, packed, rare in zip(*columns):
-            ids = _filled(packed, rare)
-            yield i, key, copies, ids, b"".join(map(bytes_of.__getitem__, ids.tolist())).decode("utf-8", "replace").removeprefix(" ")
+            ids = _filled(packed, rare, own.packed_kind)
+            text = b"".join(map(own.bytes_of.__getitem__, ids.tolist())).decode("utf-8", "replace").removeprefix(" ")
+            yield i, key, copies, ids, text
 
     return mapped(texts, run, f"doc_id {kind}, text_key long, copies long, ids array<int>, text string")
 

@@ -304,6 +304,28 @@ def test_one_row_a_document_with_the_decoded_text(spark, documents):
     assert by_query.count() == len(rows) and "same_text" in by_query.columns
 
 
+def test_packed_texts_are_shuffled_once(spark, documents):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        found = pieces.encoded(documents((1, "some words here"), (None, "no id")), _pieces_path(), frequent_words=1)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(key, before)
+    # Texts, rare words, word table, gaps: one exchange each.
+    assert plan.count("Exchange hashpartitioning") == 4
+
+
+def test_texts_are_cut_in_bounded_parts():
+    import pyarrow as pa
+
+    texts = ["the end", "", None, "x" * 3 * pieces.CUT_BYTES, "é of ① " * 50_000, "a", ""]
+    parts = list(pieces._cut(pa.record_batch({"text": texts}), 0))
+    assert [t for part in parts for t in part.column(0).to_pylist()] == texts
+    assert all(part.num_rows == 1 or sum(len((t or "").encode()) for t in part.column(0).to_pylist()) <= pieces.CUT_BYTES for part in parts)
+
+
 def test_fold_equals_merging():
     own = pieces.load_pieces(_pieces_path())
     random.seed(8)
