@@ -8,9 +8,11 @@ bucket; the likelihood of the registers, given the sizes of both sets, estimates
 and pairs near the limit or above are compared shingle by shingle.
 
 No bucket is expanded into all its pairs. Exact copies are one node. Of each bucket all members are
-compared with its pivot first, the node that meets most others over all buckets. Members that this
-leaves outside the pivot's component are then compared with the rest of the bucket in rounds, and
-only across components: within one, nothing is to be won. By then each member is known by what it
+compared with its pivot first, the node that meets most others over all buckets. A pivot and a band
+name a bucket, so the buckets of one pivot are kept as one group, in which a member is one row with a
+bit for each band. Members that are left outside the pivot's component are then compared with those they
+share a bucket with, once for all these buckets, in rounds, and only across components: within one,
+nothing is to be won. By then each member is known by what it
 shares with the pivot and by a fingerprint of the shingles it has beyond it. Two members share at
 most the smaller of their shares of the pivot and what the fingerprints leave open; a pair that this
 keeps below the limit is never made. Rejected variants of a text so meet only what they may link with.
@@ -47,7 +49,7 @@ MARGIN = 0.2
 #: Longs of the fingerprint of the shingles that a member has beyond its pivot.
 BEYOND_LONGS = 32
 
-#: In round n the members of ranks below this to the power of n are compared with their bucket.
+#: In round n the members of ranks below this to the power of n are compared with their group.
 ROUND_GROWTH = 16
 
 _random = np.random.default_rng(20_240_229)
@@ -240,23 +242,24 @@ def near_duplicates(df: DataFrame, id_column: str = "doc_id", text_column: str =
     kind = found.schema["doc_id"].dataType.simpleString()
     known = found.filter(F.col("doc_id").isNotNull())
     # One node for each distinct set; its smallest document stands for it.
-    sets = known.filter("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("node"))
-    nodes = written(
-        known.join(sets, (known["digest"] == sets["digest"]) & (known["doc_id"] == sets["node"]))
-        .select("node", "n_shingles", "registers").distinct()
-    )
-    placed = nodes.select("node", F.explode(_band_keys(F.col("registers"))).alias("bucket"))
+    sets = written(known.filter("n_shingles > 0").groupBy("digest").agg(
+        F.min("doc_id").alias("node"), F.first("n_shingles").alias("n_shingles"), F.first("registers").alias("registers")
+    ))
+    nodes = sets.select("node", "n_shingles", "registers")
+    placed = nodes.select("node", F.posexplode(_band_keys(F.col("registers"))).alias("band", "bucket"))
     sizes = placed.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
     met = written(placed.join(sizes, "bucket"))
     crowds = met.groupBy("node").agg(F.sum("size").alias("crowd"))
     pivots = met.join(crowds, "node").groupBy("bucket").agg(F.max(F.struct("crowd", "node"))["node"].alias("pivot"))
-    members = written(met.select("bucket", "node").join(pivots, "bucket"))
+    # Two members that share one of the pivot's buckets share a bit: it has one bucket in each band, for each of its texts.
+    band = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("band"))
+    members = written(met.join(pivots, "bucket").groupBy("pivot", "node").agg(F.bit_or(band).alias("bands")))
     candidates = members.select("node").distinct()
     near = written(nodes.join(candidates, "node", "left_semi"))
     texts = written(
         picked(df, node=id_column, text=text_column).join(candidates, "node", "left_semi")
     )
-    of_pivot = members.filter("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
+    of_pivot = members.filter("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
     compared = written(_against_pivot(of_pivot, texts, kind))
     tried = compared.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     links = compared.filter("linked").select("a", "b")
@@ -268,28 +271,31 @@ def near_duplicates(df: DataFrame, id_column: str = "doc_id", text_column: str =
         of_node = labels.select(F.col("node").alias("n"), "label")
         return members.join(of_node, members["node"] == F.col("n"), "left").drop("n").withColumn("label", F.coalesce("label", "node"))
 
-    # Members outside the component of their bucket's pivot take turns, by these ranks.
+    # Members outside the component of their pivot take turns, by these ranks.
     first = labels.select(F.col("node").alias("pivot"), F.col("label").alias("first"))
     apart = labelled().join(first, "pivot", "left").filter(F.col("label") != F.coalesce("first", "pivot"))
-    ranks = written(apart.select("bucket", "node", F.row_number().over(Window.partitionBy("bucket").orderBy("node")).alias("rank")))
+    ranks = written(apart.select("pivot", "node", F.row_number().over(Window.partitionBy("pivot").orderBy("node")).alias("rank")))
     deepest = ranks.agg(F.max("rank")).first()[0] or 0
     done = 0
     while done < deepest:
         upto = max(ROUND_GROWTH, done * ROUND_GROWTH)
-        rows = written(labelled().filter("node <> pivot").drop("pivot").join(ranks, ["bucket", "node"], "left"))
+        rows = written(labelled().filter("node <> pivot").join(ranks, ["pivot", "node"], "left"))
         turn = rows.filter((F.col("rank") > done) & (F.col("rank") <= upto)).select(
-            "bucket", F.col("node").alias("a"), F.col("label").alias("label_a"), F.col("rank").alias("rank_a"), F.col("fact").alias("fact_a")
+            "pivot", F.col("node").alias("a"), F.col("label").alias("label_a"), F.col("rank").alias("rank_a"), F.col("fact").alias("fact_a"),
+            F.col("bands").alias("bands_a"),
         )
-        # A lower rank has had its turn with all of the bucket.
-        across = turn.join(rows, "bucket").filter(
-            (F.col("label") != F.col("label_a")) & (F.col("rank").isNull() | (F.col("rank") > F.col("rank_a"))) & _may_link(F.col("fact_a"), F.col("fact"))
+        # A lower rank has had its turn with all of the group.
+        across = turn.join(rows, "pivot").filter(
+            (F.col("bands").bitwiseAND(F.col("bands_a")) != 0) & (F.col("label") != F.col("label_a")) & (F.col("rank").isNull() | (F.col("rank") > F.col("rank_a"))) & _may_link(F.col("fact_a"), F.col("fact"))
         )
         pairs = written(
             across.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
         )
+        done = upto
+        if pairs.isEmpty():
+            continue
         tried = tried.union(pairs)
         new = written(_verified(_likely(pairs, near, kind), texts, kind))
-        done = upto
         if not new.isEmpty():
             labels = _joined_labels(labels, new)
     of_set = sets.join(labels, "node", "left").select("digest", F.coalesce("label", "node").alias("component_id"))

@@ -212,6 +212,18 @@ def test_near_duplicates_against_all_pairs(spark, documents):
     assert all(r["kept"] == (i == component[i]) for i, r in got.items())
 
 
+def test_buckets_of_one_pivot_are_one_group(spark, documents, monkeypatch):
+    """Near copies meet in many buckets; they travel once for their pivot, not once for each bucket."""
+    frames = []
+    monkeypatch.setattr(neardup, "written", lambda df, write=neardup.written: frames.append(write(df)) or frames[-1])
+    base = [f"w{i}" for i in range(120)]
+    rows = [" ".join([*base[:at], "x", *base[at + 1:]]) for at in range(0, 120, 8)]
+    got = neardup.near_duplicates(documents(*enumerate(rows))).collect()
+    assert {r["component_id"] for r in got} == {0}
+    moved = [f for f in frames if {"pivot", "node"} <= set(f.columns)]
+    assert moved and all(f.count() == f.select("pivot", "node").distinct().count() for f in moved)
+
+
 def test_group_that_one_pivot_does_not_reach(spark, documents):
     """A chain in which only neighbours are linked, and a star around a middle document."""
     words = [f"w{i}" for i in range(400)]
