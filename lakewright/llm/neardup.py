@@ -16,6 +16,9 @@ nothing is to be won. By then each member is known by what it
 shares with the pivot and by a fingerprint of the shingles it has beyond it. Two members share at
 most the smaller of their shares of the pivot and what the fingerprints leave open; a pair that this
 keeps below the limit is never made. Rejected variants of a text so meet only what they may link with.
+
+Texts and sketches are shuffled only for nodes that share a bucket, and in a round only for those of its
+pairs: a bitmap of their ids picks them where they lie.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakewright.llm.common import mapped, picked, quoted, table
+from lakewright.llm.common import mapped, may_be_in, picked, quoted, table
 from lakewright.llm.shingles import shingle_hashes, shingle_texts, words_of
 from lakewright.session import written
 
@@ -111,6 +114,10 @@ def _band_keys(registers: Column) -> Column:
     return F.array(*(F.xxhash64(F.lit(band), F.substring(registers, band * width + 1, width)) for band in range(BANDS)))
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node")))
+
+
 def _likely(pairs: DataFrame, nodes: DataFrame, kind: str) -> DataFrame:
     """Pairs (a, b) whose sizes allow a link and whose estimated similarity is high enough."""
     def side(name: str) -> DataFrame:
@@ -219,7 +226,7 @@ def component_labels(links: DataFrame) -> DataFrame:
 
 def _joined_labels(labels: DataFrame, new: DataFrame) -> DataFrame:
     """``labels`` after more links: only the components that these touch are walked again."""
-    ends = new.select(F.col("a").alias("node")).union(new.select(F.col("b").alias("node"))).distinct()
+    ends = _ends(new).distinct()
     known = written(labels.union(ends.join(labels, "node", "left_anti").select("node", F.col("node").alias("label"))))
 
     def side(name: str) -> DataFrame:
@@ -254,11 +261,9 @@ def near_duplicates(df: DataFrame, id_column: str = "doc_id", text_column: str =
     # Two members that share one of the pivot's buckets share a bit: it has one bucket in each band, for each of its texts.
     band = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("band"))
     members = written(met.join(pivots, "bucket").groupBy("pivot", "node").agg(F.bit_or(band).alias("bands")))
-    candidates = members.select("node").distinct()
-    near = written(nodes.join(candidates, "node", "left_semi"))
-    texts = written(
-        picked(df, node=id_column, text=text_column).join(candidates, "node", "left_semi")
-    )
+    candidates = written(members.select("node").distinct())
+    near = written(may_be_in(nodes, "node", candidates))
+    texts = written(may_be_in(picked(df, node=id_column, text=text_column), "node", candidates))
     of_pivot = members.filter("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
     compared = written(_against_pivot(of_pivot, texts, kind))
     tried = compared.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
@@ -295,7 +300,10 @@ def near_duplicates(df: DataFrame, id_column: str = "doc_id", text_column: str =
         if pairs.isEmpty():
             continue
         tried = tried.union(pairs)
-        new = written(_verified(_likely(pairs, near, kind), texts, kind))
+        likely = written(_likely(pairs, may_be_in(near, "node", _ends(pairs)), kind))
+        if likely.isEmpty():
+            continue
+        new = written(_verified(likely, may_be_in(texts, "node", _ends(likely)), kind))
         if not new.isEmpty():
             labels = _joined_labels(labels, new)
     of_set = sets.join(labels, "node", "left").select("digest", F.coalesce("label", "node").alias("component_id"))

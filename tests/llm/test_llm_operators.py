@@ -13,6 +13,8 @@ from samples import PROSE
 from pyspark.sql import functions as F
 
 from lakewright.llm import contamination, language, lines, neardup, pieces, quality, secrets, shingles, tokens, toxicity, urls
+from lakewright.llm.common import may_be_in
+from lakewright.llm.common import may_be_in
 
 SF = "/root/testdata/sf0.01"
 
@@ -224,6 +226,39 @@ def test_buckets_of_one_pivot_are_one_group(spark, documents, monkeypatch):
     assert moved and all(f.count() == f.select("pivot", "node").distinct().count() for f in moved)
 
 
+def test_texts_that_meet_nothing_stay_where_they_are(spark, documents, monkeypatch):
+    """Also with too many candidates for a broadcast join, the scan that picks their texts shuffles no text."""
+    plans = {}
+
+    def write(df, write=neardup.written):
+        out = write(df)
+        if set(df.columns) in ({"node", "text"}, {"node", "n_shingles", "registers"}):
+            plans[tuple(df.columns)] = df._jdf.queryExecution().executedPlan().toString(), out.count()
+        return out
+
+    monkeypatch.setattr(neardup, "written", write)
+    docs = {i: " ".join(f"w{i}x{j}" for j in range(30)) for i in range(400)}
+    docs |= {1000: docs[7] + " more", 1001: docs[9] + " more"}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(documents(*docs.items())).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == {i: i for i in docs} | {1000: 7, 1001: 9}
+    assert len(plans) == 2
+    for plan, n in plans.values():
+        assert "SortMergeJoin" not in plan and 4 <= n < 50
+
+
+def test_bitmap_keeps_all_keys(spark):
+    rows = spark.range(20_000).selectExpr("cast(id as string) AS `a.b`", "id").union(spark.sql("SELECT CAST(NULL AS STRING), -1L"))
+    keys = rows.filter("id % 50 = 3").select(F.col("`a.b`").alias("key"))
+    found = [r["id"] for r in may_be_in(rows, "a.b", keys).collect()]
+    assert len(found) == len(set(found)) and {i for i in range(20_000) if i % 50 == 3} <= set(found) and len(found) < 1_500
+    assert may_be_in(rows, "a.b", keys.filter("false")).isEmpty()
+
+
 def test_group_that_one_pivot_does_not_reach(spark, documents):
     """A chain in which only neighbours are linked, and a star around a middle document."""
     words = [f"w{i}" for i in range(400)]
