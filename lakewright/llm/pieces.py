@@ -28,8 +28,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakewright.llm.common import mapped, picked, table
-from lakewright.session import written
+from lakewright.llm.common import mapped, picked, release_memory, table
+from lakewright.session import smaller_batches, written
 
 SPACE = "▁"
 
@@ -47,7 +47,7 @@ CUT_BYTES = 1 << 20
 LOOKED_UP = 8
 
 #: Pairs whose merging a worker remembers before it starts anew.
-REMEMBERED = 500_000
+REMEMBERED = 50_000
 
 #: The piece table is broadcast; more pieces than this are refused.
 MOST_PIECES = 1_000_000
@@ -228,6 +228,8 @@ def word_counts(texts: DataFrame, path: str) -> DataFrame:
                     held, rows = [], 0
         if rows:
             yield merged()
+        held.clear()
+        release_memory()
 
     return texts.mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -405,7 +407,8 @@ def encoded(
         "doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"), F.coalesce("text", F.lit("")).alias("text")
     )
     kind = rows.schema["doc_id"].dataType.simpleString()
-    words = written(encoded_words(word_counts(rows.select("text"), model_path), pieces))
+    with smaller_batches(spark):
+        words = written(encoded_words(word_counts(rows.select("text"), model_path), pieces))
     least, *frequent = _frequent(words, frequent_words, pieces.packed_kind)
     shared = spark.sparkContext.broadcast(frequent)
 
@@ -419,6 +422,7 @@ def encoded(
                 ids, bounds = _ids_with_gaps(own, known, flat, begin)
                 packed = [compress(ids[a:b].tobytes()) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(packed, pa.binary())], names=["doc_id", "text_key", "packed"])
+            release_memory()
 
     def other_words(batches):
         own, (frequent, _, _) = load_pieces(model_path), shared.value
@@ -431,6 +435,7 @@ def encoded(
                     part.column(0).take(pa.array(text)), part.column(1).take(pa.array(text)),
                     pa.array((np.arange(len(rare)) - bounds[text]).astype(np.int32)), known.words.take(pa.array(known.entry[rare])),
                 ], names=["doc_id", "text_key", "at", "word"])
+            release_memory()
 
     # Wrapped, a null id equals itself in a plain join, which keeps the partitioning of both sides.
     key = [F.struct("doc_id").alias("of"), "text_key"]

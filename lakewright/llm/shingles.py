@@ -7,8 +7,9 @@ import xxhash
 
 WIDTH = 5
 
-#: Hashes of words that a worker remembers before it starts anew.
-REMEMBERED = 500_000
+#: Hashes of words that a worker remembers before it starts anew. Workers live on in later stages, with
+#: what they remember: some 200 bytes a word.
+REMEMBERED = 50_000
 
 
 class _WordHashes(dict):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -259,6 +260,17 @@ def test_bitmap_keeps_all_keys(spark):
     assert may_be_in(rows, "a.b", keys.filter("false")).isEmpty()
 
 
+def test_workers_remember_few_words():
+    """What a stage leaves in a worker stands beside the memory of the next one."""
+    shingles._word_hashes.clear()
+    tracemalloc.start()
+    for at in range(0, 300_000, 1_000):
+        shingles.shingle_hashes([b"some-word-%d" % i for i in range(at, at + 1_000)])
+    held, _ = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert held < 15_000_000
+
+
 def test_group_that_one_pivot_does_not_reach(spark, documents):
     """A chain in which only neighbours are linked, and a star around a middle document."""
     words = [f"w{i}" for i in range(400)]
