@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakewright.llm.common import mapped, picked, release_memory, table
-from lakewright.session import smaller_batches, written
+from lakewright.session import finer_shuffles, shuffles_removed, smaller_batches, written
 
 SPACE = "▁"
 
@@ -41,10 +41,10 @@ FREQUENT_BYTES = 64
 COUNTED = 400_000
 
 #: Bytes of text that a task cuts at a time; a longer text is cut alone.
-CUT_BYTES = 1 << 20
+CUT_BYTES = 1 << 18
 
 #: Words are looked up for so many parts at once, as each lookup indexes the frequent words anew.
-LOOKED_UP = 8
+LOOKED_UP = 16
 
 #: Pairs whose merging a worker remembers before it starts anew.
 REMEMBERED = 50_000
@@ -57,6 +57,10 @@ MOST_PIECES = 1_000_000
 #: meets one takes it through ``Pieces.path_of``, in proportion to its length.
 LONG_WORD = 60
 
+#: Shuffled bytes of words that a task makes the lattice of: the rows of their substrings are sorted by word, some
+#: 100 times the bytes.
+LATTICE_BYTES = "1m"
+
 #: Where rank, start and size begin in an edge's long; the id is below them.
 RANK_BIT, START_BIT, SIZE_BIT = 36, 30, 24
 
@@ -320,6 +324,14 @@ def encoded_words(words: DataFrame, pieces: Pieces) -> DataFrame:
     return lattice(words, pieces).select("word", "n", folded_ids(F.col("word"), F.col("edges"), pieces).alias("ids"))
 
 
+def word_table(df: DataFrame, model_path: str, text_column: str = "text") -> DataFrame:
+    """``word``, ``n`` and ``ids`` of every distinct word of the texts, written once."""
+    spark = df.sparkSession
+    texts = picked(df, text=text_column).select(F.coalesce("text", F.lit("")).alias("text"))
+    with smaller_batches(spark), finer_shuffles(spark, LATTICE_BYTES), shuffles_removed(spark):
+        return written(encoded_words(word_counts(texts, model_path), load_pieces(model_path)))
+
+
 def _frequent(words: DataFrame, limit: int, kind: np.dtype) -> tuple[int, pa.Array, np.ndarray, np.ndarray]:
     """The count from which words are sent to every task, those words, all their ids, and where each
     word's ids begin, with their number."""
@@ -370,6 +382,8 @@ def _known(own: Pieces, batch: pa.RecordBatch, text: int, frequent: pa.Array) ->
             is_long[entry[too_long]] = True
             yield part, _Known(of_text, entry, words, found[at:at + len(words)], is_long)
             at += len(words)
+        del coded, found
+        release_memory()
 
 
 def _ids_with_gaps(own: Pieces, known: _Known, flat: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -407,8 +421,7 @@ def encoded(
         "doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"), F.coalesce("text", F.lit("")).alias("text")
     )
     kind = rows.schema["doc_id"].dataType.simpleString()
-    with smaller_batches(spark):
-        words = written(encoded_words(word_counts(rows.select("text"), model_path), pieces))
+    words = word_table(rows, model_path)
     least, *frequent = _frequent(words, frequent_words, pieces.packed_kind)
     shared = spark.sparkContext.broadcast(frequent)
 
@@ -422,7 +435,6 @@ def encoded(
                 ids, bounds = _ids_with_gaps(own, known, flat, begin)
                 packed = [compress(ids[a:b].tobytes()) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(packed, pa.binary())], names=["doc_id", "text_key", "packed"])
-            release_memory()
 
     def other_words(batches):
         own, (frequent, _, _) = load_pieces(model_path), shared.value
@@ -435,7 +447,6 @@ def encoded(
                     part.column(0).take(pa.array(text)), part.column(1).take(pa.array(text)),
                     pa.array((np.arange(len(rare)) - bounds[text]).astype(np.int32)), known.words.take(pa.array(known.entry[rare])),
                 ], names=["doc_id", "text_key", "at", "word"])
-            release_memory()
 
     # Wrapped, a null id equals itself in a plain join, which keeps the partitioning of both sides.
     key = [F.struct("doc_id").alias("of"), "text_key"]

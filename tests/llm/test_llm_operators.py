@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 import tracemalloc
 import zlib
 from collections import Counter
@@ -376,6 +377,31 @@ def test_packed_texts_are_shuffled_once(spark, documents):
     assert plan.count("Exchange hashpartitioning") == 4
 
 
+def test_word_table_is_made_in_small_parts_and_leaves_no_shuffle_files(spark, documents, monkeypatch):
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {name for i in range(files.size()) if (name := files.apply(i).getName()).startswith("shuffle_")}
+
+    monkeypatch.setattr(pieces, "LATTICE_BYTES", "16k")
+    keys = ["spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.classic.shuffleDependency.fileCleanup.enabled"]
+    settings = [spark.conf.get(key) for key in keys]
+    random.seed(11)
+    docs = documents(*((i, " ".join("".join(random.choice("abcdefg") for _ in range(5)) for _ in range(200))) for i in range(100)))
+    before, least = shuffled(), "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    usual = spark.conf.get(least)
+    spark.conf.set(least, "16k")
+    try:
+        words = pieces.word_table(docs, _pieces_path())
+    finally:
+        spark.conf.set(least, usual)
+    deadline = time.time() + 20
+    while shuffled() - before and time.time() < deadline:
+        time.sleep(0.2)
+    assert not shuffled() - before
+    assert [spark.conf.get(key) for key in keys] == settings
+    assert words.select(F.input_file_name()).distinct().count() > 4  # the session's shuffle partitions
+
+
 def test_texts_are_cut_in_bounded_parts():
     import pyarrow as pa
 
