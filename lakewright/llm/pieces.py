@@ -12,11 +12,14 @@ merging can form is one of the word's edges, so the edges with their ranks are a
 Texts meet the words' pieces in packed form. The most frequent words, a bounded number, go to every
 task as Arrow arrays; a text becomes their packed ids with gaps, and each occurrence of any other word a
 row that is joined with the word table. Gaps are then filled, text by text, and the ids decoded again.
+Packed are places in an order of the ids, the most frequent piece first, as the code points of UTF-8: what
+is frequent takes a byte, and any order gives the same ids.
 Inside tasks, texts are cut and words counted and looked up by Arrow, some MB of text at a time.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from functools import cached_property
@@ -25,6 +28,7 @@ from itertools import islice
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -91,9 +95,8 @@ class Pieces:
         return {i: p.replace(SPACE, " ").encode() for p, i in self.ids.items()} | {i: bytes([b]) for b, i in enumerate(self.byte_ids)}
 
     @cached_property
-    def packed_kind(self) -> np.dtype:
-        """The least type that holds all ids; its highest value is a gap, for a word whose ids come from the word table."""
-        return np.dtype("<u2" if max([*self.ids.values(), *self.byte_ids]) < 0xFFFF else "<u4")
+    def all_ids(self) -> np.ndarray:
+        return np.unique([*self.ids.values(), *self.byte_ids]).astype(np.int32)
 
     def words_of(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
         """The words of texts, which no piece spans, each one's characters, and where each text's words
@@ -332,9 +335,23 @@ def word_table(df: DataFrame, model_path: str, text_column: str = "text") -> Dat
         return written(encoded_words(word_counts(texts, model_path), load_pieces(model_path)))
 
 
-def _frequent(words: DataFrame, limit: int, kind: np.dtype) -> tuple[int, pa.Array, np.ndarray, np.ndarray]:
-    """The count from which words are sent to every task, those words, all their ids, and where each
-    word's ids begin, with their number."""
+def piece_order(words: DataFrame, pieces: Pieces) -> np.ndarray:
+    """All ids of the model, those that stand most often in the texts first."""
+    found = words.select("n", F.explode("ids").alias("id")).groupBy("id").agg(F.sum("n").alias("n")).collect()
+    n = dict.fromkeys(pieces.all_ids.tolist(), 0) | {r["id"]: r["n"] for r in found}
+    return np.array(sorted(n, key=lambda i: (-n[i], i)), np.int32)
+
+
+def _codes(order: np.ndarray) -> np.ndarray:
+    """The code of each id: its place in ``order``, from 1; 0 is a gap, for a word whose ids come from the word table."""
+    codes = np.zeros(order.max() + 1, np.uint16 if len(order) < 1 << 16 else np.uint32)
+    codes[order] = np.arange(1, len(order) + 1)
+    return codes
+
+
+def _frequent(words: DataFrame, limit: int, codes: np.ndarray) -> tuple[int, pa.Array, np.ndarray, np.ndarray]:
+    """The count from which words are sent to every task, those words, the codes of all their ids, and where
+    each word's codes begin, with their number."""
     short = words.filter(F.octet_length("word") <= FREQUENT_BYTES)
     step = F.floor(F.log2("n") * 8).cast("int")
     held, least = 0, None
@@ -344,11 +361,11 @@ def _frequent(words: DataFrame, limit: int, kind: np.dtype) -> tuple[int, pa.Arr
             break
         least = r["n"]
     if least is None:
-        return 1 << 62, pa.array([], pa.string()), np.zeros(0, kind), np.zeros(1, np.int32)
+        return 1 << 62, pa.array([], pa.string()), codes[:0], np.zeros(1, np.int32)
     found = short.filter(F.col("n") >= least).select("word", "ids").toArrow()
     begin = np.concatenate([[0], np.cumsum(pc.list_value_length(found["ids"]).to_numpy())]).astype(np.int32)
-    ids = pc.list_flatten(found["ids"]).to_numpy().astype(kind)
-    return least, pa.concat_arrays(found["word"].cast(pa.string()).chunks), ids, begin
+    flat = codes[pc.list_flatten(found["ids"]).to_numpy()]
+    return least, pa.concat_arrays(found["word"].cast(pa.string()).chunks), flat, begin
 
 
 @dataclass
@@ -386,32 +403,32 @@ def _known(own: Pieces, batch: pa.RecordBatch, text: int, frequent: pa.Array) ->
         release_memory()
 
 
-def _ids_with_gaps(own: Pieces, known: _Known, flat: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The ids of all words, a gap for each rare one, and where each text's ids begin, with their number."""
-    kind = own.packed_kind
-    long = {int(e): own.ids_of(own.path_of(w, own.edges_of(w))) for e in np.flatnonzero(known.is_long) for w in [known.words[int(e)].as_py()]}
-    # The table of ids: those of the frequent words, one gap, those of the long words met here.
-    table = np.concatenate([flat, [np.iinfo(kind).max], *(np.array(ids) for ids in long.values())]).astype(kind)
+def _with_gaps(own: Pieces, known: _Known, flat: np.ndarray, begin: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The codes of all words, a gap for each rare one, and where each text's codes begin, with their number."""
+    long = {int(e): codes[own.ids_of(own.path_of(w, own.edges_of(w)))] for e in np.flatnonzero(known.is_long) for w in [known.words[int(e)].as_py()]}
+    # The table of codes: those of the frequent words, one gap, those of the long words met here.
+    table = np.concatenate([flat, np.zeros(1, codes.dtype), *long.values()])
     start, size = np.full(len(known.words), len(flat)), np.ones(len(known.words), np.int64)
     short = known.found >= 0
     start[short], size[short] = begin[known.found[short]], begin[known.found[short] + 1] - begin[known.found[short]]
     at = len(flat) + 1
-    for e, ids in long.items():
-        start[e], size[e] = at, len(ids)
-        at += len(ids)
+    for e, own_codes in long.items():
+        start[e], size[e] = at, len(own_codes)
+        at += len(own_codes)
     sizes = size[known.entry]
     total = np.concatenate([[0], np.cumsum(sizes)])
-    ids = table[np.repeat(start[known.entry] - total[:-1], sizes) + np.arange(total[-1])]
-    return ids, total[known.of_text]
+    return table[np.repeat(start[known.entry] - total[:-1], sizes) + np.arange(total[-1])], total[known.of_text]
 
 
 def encoded(
-    df: DataFrame, model_path: str, id_column: str = "doc_id", text_column: str = "text", frequent_words: int = FREQUENT_WORDS
+    df: DataFrame, model_path: str, id_column: str = "doc_id", text_column: str = "text", frequent_words: int = FREQUENT_WORDS,
+    words: DataFrame | None = None, order: np.ndarray | None = None,
 ) -> DataFrame:
     """``doc_id``, ``text_key``, ``copies``, ``packed`` and ``rare``: every distinct text of an id, encoded.
 
     ``packed`` holds the ids of the frequent words, with a gap at each other word; ``rare`` has the places
-    of the gaps with their ids. ``decoded`` puts both together. ``copies`` is how many rows of the input had
+    of the gaps with their ids. ``decoded`` puts both together; it has to get the same ``order``, the model's by
+    default. ``words`` is the texts' word table where the caller has it already. ``copies`` is how many rows of the input had
     that id and text; ``text_key`` tells texts apart that share an id. Null and empty texts have no
     ids. No rows give no rows.
     """
@@ -421,23 +438,24 @@ def encoded(
         "doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"), F.coalesce("text", F.lit("")).alias("text")
     )
     kind = rows.schema["doc_id"].dataType.simpleString()
-    words = word_table(rows, model_path)
-    least, *frequent = _frequent(words, frequent_words, pieces.packed_kind)
-    shared = spark.sparkContext.broadcast(frequent)
+    words = word_table(rows, model_path) if words is None else words
+    codes = _codes(pieces.all_ids if order is None else order)
+    least, *frequent = _frequent(words, frequent_words, codes)
+    # Compressed, as the driver and each executor keep it on disk.
+    shared = spark.sparkContext.broadcast(zstandard.compress(pickle.dumps(frequent)))
 
     def known_words(batches):
-        import zstandard
-
-        own, (frequent, flat, begin) = load_pieces(model_path), shared.value
+        own, (frequent, flat, begin) = load_pieces(model_path), pickle.loads(zstandard.decompress(shared.value))
         compress = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
             for part, known in _known(own, batch, 2, frequent):
-                ids, bounds = _ids_with_gaps(own, known, flat, begin)
-                packed = [compress(ids[a:b].tobytes()) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+                found, bounds = _with_gaps(own, known, flat, begin, codes)
+                text = found.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+                packed = [compress(text[a:b].encode("utf-8", "surrogatepass")) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(packed, pa.binary())], names=["doc_id", "text_key", "packed"])
 
     def other_words(batches):
-        own, (frequent, _, _) = load_pieces(model_path), shared.value
+        own, (frequent, _, _) = load_pieces(model_path), pickle.loads(zstandard.decompress(shared.value))
         for batch in batches:
             for part, known in _known(own, batch, 2, frequent):
                 rare = np.flatnonzero(known.is_rare[known.entry])
@@ -462,15 +480,14 @@ def encoded(
     return texts.join(gaps, ["of", "text_key"], "left").select("of.doc_id", "text_key", "copies", "packed", "rare")
 
 
-def _filled(packed: bytes, rare: list | None, kind: np.dtype) -> np.ndarray:
+def _filled(packed: bytes, rare: list | None, order: np.ndarray) -> np.ndarray:
     """All ids of a text, in order."""
-    import zstandard
-
-    ids = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), kind)
-    whole = ids.astype("<i4")
+    text = zstandard.ZstdDecompressor().decompress(packed).decode("utf-8", "surrogatepass")
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<i4")
+    whole = order[codes - 1]
     if not rare:
         return whole
-    places = np.flatnonzero(ids == np.iinfo(kind).max)
+    places = np.flatnonzero(codes == 0)
     found = sorted((r["at"], r["ids"]) for r in rare)
     parts, start = [], 0
     for place, (_, own) in zip(places.tolist(), found, strict=True):
@@ -479,26 +496,29 @@ def _filled(packed: bytes, rare: list | None, kind: np.dtype) -> np.ndarray:
     return np.concatenate([*parts, whole[start:]])
 
 
-def decoded(texts: DataFrame, model_path: str) -> DataFrame:
+def decoded(texts: DataFrame, model_path: str, order: np.ndarray | None = None) -> DataFrame:
     """``doc_id``, ``text_key``, ``copies``, all ``ids`` of each text and ``text``, decoded from them. Bytes
     that are no UTF-8 become U+FFFD; the space in front that encoding adds is taken off again."""
     kind = texts.schema["doc_id"].dataType.simpleString()
 
     def run(columns: list[list]) -> Iterator[tuple]:
         own = load_pieces(model_path)
+        packed_in = own.all_ids if order is None else order
         for i, key, copies, packed, rare in zip(*columns):
-            ids = _filled(packed, rare, own.packed_kind)
+            ids = _filled(packed, rare, packed_in)
             text = b"".join(map(own.bytes_of.__getitem__, ids.tolist())).decode("utf-8", "replace").removeprefix(" ")
             yield i, key, copies, ids, text
 
     return mapped(texts, run, f"doc_id {kind}, text_key long, copies long, ids array<int>, text string")
 
 
-def round_trips(df: DataFrame, model_path: str, **options) -> DataFrame:
+def round_trips(df: DataFrame, model_path: str, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
     """One row for each row of ``df``: ``doc_id``, ``text_key``, ``copy`` (which numbers rows that share
     both), ``ids`` of the whole text, ``n_pieces``, the ``text`` decoded from them and ``same_text``, whether
     that is the text that was encoded, by its hash."""
-    found = decoded(encoded(df, model_path, **options), model_path)
+    words = word_table(df, model_path, text_column)
+    order = piece_order(words, load_pieces(model_path))
+    found = decoded(encoded(df, model_path, id_column, text_column, words=words, order=order, **options), model_path, order)
     return found.select(
         "doc_id", "text_key", F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"), "ids",
         F.size("ids").cast("long").alias("n_pieces"), "text", (F.xxhash64("text") == F.col("text_key")).alias("same_text"),

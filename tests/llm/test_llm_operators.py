@@ -377,6 +377,24 @@ def test_packed_texts_are_shuffled_once(spark, documents):
     assert plan.count("Exchange hashpartitioning") == 4
 
 
+def test_packed_in_the_order_of_frequency_is_smaller_and_the_same(spark, documents):
+    own = pieces.load_pieces(_pieces_path())
+    random.seed(10)
+    rare_ids = ["漢", "字", "é", "ñ", "!!", "zw", "q", "①", "the"]
+    docs = documents(*((i, " ".join(random.choice(rare_ids) for _ in range(400))) for i in range(40)))
+    words = pieces.word_table(docs, _pieces_path())
+    order = pieces.piece_order(words, own)
+    assert sorted(order.tolist()) == own.all_ids.tolist()
+    found = []
+    for by in (None, order):
+        for frequent in (pieces.FREQUENT_WORDS, 3):
+            packed = pieces.encoded(docs, _pieces_path(), frequent_words=frequent, words=words, order=by)
+            size = packed.agg(F.sum(F.octet_length("packed"))).first()[0]
+            found.append((size, {r["doc_id"]: r["ids"] for r in pieces.decoded(packed, _pieces_path(), by).collect()}))
+    assert all(ids == found[0][1] for _, ids in found)
+    assert found[2][0] < 0.85 * found[0][0] and found[3][0] < found[1][0]
+
+
 def test_word_table_is_made_in_small_parts_and_leaves_no_shuffle_files(spark, documents, monkeypatch):
     def shuffled():
         files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
