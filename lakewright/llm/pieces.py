@@ -48,7 +48,7 @@ COUNTED = 400_000
 CUT_BYTES = 1 << 18
 
 #: Words are looked up for so many parts at once, as each lookup indexes the frequent words anew.
-LOOKED_UP = 16
+LOOKED_UP = 32
 
 #: Pairs whose merging a worker remembers before it starts anew.
 REMEMBERED = 50_000
