@@ -12,10 +12,11 @@ compared with its pivot first, the node that meets most others over all buckets.
 name a bucket, so the buckets of one pivot are kept as one group, in which a member is one row with a
 bit for each band. Members that are left outside the pivot's component are then compared with those they
 share a bucket with, once for all these buckets, in rounds, and only across components: within one,
-nothing is to be won. By then each member is known by what it
-shares with the pivot and by a fingerprint of the shingles it has beyond it. Two members share at
-most the smaller of their shares of the pivot and what the fingerprints leave open; a pair that this
-keeps below the limit is never made. Rejected variants of a text so meet only what they may link with.
+nothing is to be won. In a group the shingles have one order: first those beyond the pivot, the
+rarest of the group foremost, then the pivot's. Two members that may be linked share one so early
+that enough of both sets is still to come, so members meet by the early shingles that they share, and
+by nothing else: rejected variants of a text, whose first shingles are their own, make no pairs, and a
+large group is spread over its shingles.
 
 Texts and sketches are shuffled only for nodes that share a bucket, and in a round only for those of its
 pairs: a bitmap of their ids picks them where they lie.
@@ -49,8 +50,8 @@ SCALE = 20.0
 #: deviation is below 0.04.
 MARGIN = 0.2
 
-#: Longs of the fingerprint of the shingles that a member has beyond its pivot.
-BEYOND_LONGS = 32
+#: Sizes of sets in one class differ by less than this factor.
+SIZE_STEP = 1.06
 
 #: In round n the members of ranks below this to the power of n are compared with their group.
 ROUND_GROWTH = 16
@@ -162,46 +163,91 @@ def _verified(pairs: DataFrame, texts: DataFrame, kind: str) -> DataFrame:
     return mapped(_with_texts(pairs, texts), run, f"a {kind}, b {kind}").distinct()
 
 
-def _fingerprint(beyond: set[bytes]) -> list[int]:
+def _against_pivot(pairs: DataFrame, texts: DataFrame, kind: str) -> DataFrame:
+    """Each pair of a pivot (a) and a member (b), for each text of both: ``linked``, a key of the pivot's text
+    (``of``), the member's size and the hashes of its shingles ``beyond`` the pivot's and ``within`` them, as
+    many of these as can still be early ones."""
     import xxhash
 
-    bits = 0
-    for shingle in beyond:
-        bits |= 1 << xxhash.xxh3_64_intdigest(shingle) % (64 * BEYOND_LONGS)
-    return np.frombuffer(bits.to_bytes(8 * BEYOND_LONGS, "little"), np.int64).tolist()
-
-
-def _against_pivot(pairs: DataFrame, texts: DataFrame, kind: str) -> DataFrame:
-    """Each pair of a pivot (a) and a member (b): ``linked``, and ``fact`` with the member's size,
-    its shingles in the pivot's set and the fingerprint of its others. Ids with several texts have
-    no fact."""
     def run(columns: list[list]) -> list[tuple]:
-        out, last, set_a = [], None, set()
+        out, last, of, hashes_a, set_a = [], None, 0, None, None
         for a, b, t_a, t_b in zip(*columns):
             if last is None or t_a != last:  # rows come sorted by a
-                last, set_a = t_a, shingle_texts(words_of(t_a))
-            set_b = shingle_texts(words_of(t_b))
-            shared = len(set_a & set_b)
-            out.append((a, b, _linked(shared, len(set_a), len(set_b)), len(set_b), shared, _fingerprint(set_b - set_a)))
+                hashes_a, set_a, last = np.unique(shingle_hashes(words_of(t_a))), None, t_a
+                of = xxhash.xxh3_64_intdigest(hashes_a.tobytes()) >> 1
+            words = words_of(t_b)
+            hashes = np.unique(shingle_hashes(words))
+            n = len(hashes)
+            known = np.isin(hashes, hashes_a, assume_unique=True)
+            beyond, within = hashes[~known], hashes[known]
+            linked = _linked(len(within), len(hashes_a), n)
+            if linked:  # confirmed on the shingles themselves
+                set_a, set_b = set_a or shingle_texts(words_of(t_a)), shingle_texts(words)
+                linked = _linked(len(set_a & set_b), len(set_a), len(set_b))
+            within = within[:max(0, n - math.ceil(SIMILARITY * n / 100) + 1 - len(beyond))]
+            out.append((a, b, linked, of, n, beyond.view(np.int64), within.view(np.int64)))
         return out
 
-    rows = mapped(
-        _with_texts(pairs, texts), run, f"a {kind}, b {kind}, linked boolean, n long, shared long, beyond array<bigint>"
+    found = mapped(
+        _with_texts(pairs, texts), run, f"a {kind}, b {kind}, linked boolean, of long, n long, beyond array<bigint>, within array<bigint>"
+    )
+    return found.withColumn("entry", F.monotonically_increasing_id())
+
+
+def _early_shingles(entries: DataFrame) -> DataFrame:
+    """``pivot``, ``node``, ``n`` and ``early``: the shingles by which a member (one entry for each of its texts)
+    meets others of its group, with the number of its shingles that come from there on (``rest``). Shingles
+    that no other entry of the group has only take their places, as the first ones."""
+    spread = entries.select("pivot", "entry", F.explode("beyond").alias("shingle"))
+    met = spread.groupBy("pivot", "shingle").agg(F.count("*").alias("held")).filter("held > 1")
+    ordered = spread.join(met, ["pivot", "shingle"]).groupBy("entry").agg(F.sort_array(F.collect_list(F.struct("held", "shingle")))["shingle"].alias("met"))
+    rows = entries.join(ordered, "entry", "left").withColumn("met", F.coalesce("met", F.expr("array()"))).select(
+        "pivot", "node", "n", (F.col("n") - F.size("beyond") + F.size("met")).alias("rest"), F.concat("met", "within").alias("shingles")
     )
-    return rows.groupBy("a", "b").agg(
-        F.max("linked").alias("linked"), F.when(F.count("*") == 1, F.first(F.struct("n", "shared", "beyond"))).alias("fact")
+    early = F.filter(
+        F.transform("shingles", lambda shingle, i: F.struct((F.col("rest") - i).alias("rest"), shingle.alias("shingle"))),
+        lambda x: 100 * x["rest"] >= SIMILARITY * F.col("n"),
     )
+    return rows.select("pivot", "node", "n", early.alias("early")).filter(F.size("early") > 0)
 
 
-def _may_link(x: Column, y: Column) -> Column:
-    """Whether two members of one bucket may be similar enough, by their facts; true without one."""
-    def missing(p: Column, q: Column) -> Column:
-        lone = [F.bit_count(p["beyond"][i].bitwiseAND(F.bitwise_not(q["beyond"][i]))) for i in range(BEYOND_LONGS)]
-        return sum(lone[1:], lone[0])
+def _enough(rest: Column, sizes: Column) -> Column:
+    """Whether ``rest`` shared shingles suffice for two sets of these sizes, added."""
+    return (100 + SIMILARITY) * rest >= SIMILARITY * sizes
 
-    beyond = F.least(x["n"] - x["shared"] - missing(x, y), y["n"] - y["shared"] - missing(y, x))
-    most = F.least(F.least(x["shared"], y["shared"]) + beyond, x["n"], y["n"])
-    return F.coalesce(100 * most >= SIMILARITY * (x["n"] + y["n"] - most), F.lit(True))
+
+def _listed(members: DataFrame, last: int) -> DataFrame:
+    """``members`` by each of their ``early`` shingles and each class of sizes that a smaller or equal member
+    linked with them may have; ``small`` where they are that member themselves. Left out is what meets nobody,
+    or only ranks beyond ``last``."""
+    def size_class(n: Column) -> Column:
+        return F.floor(F.log(n) / math.log(SIZE_STEP))
+
+    n, key = F.col("n"), ["pivot", "size", "shingle"]
+    least = F.floor(F.pow(F.lit(SIZE_STEP), F.col("size")) * (1 - 1e-9))
+    listed = (
+        members.withColumn("size", F.explode(F.sequence(size_class(F.ceil(SIMILARITY * n / 100)), size_class(n))))
+        .select("pivot", "node", "n", "bands", "rank", "size", F.inline("early"))
+        .filter(_enough(F.col("rest"), n + least))
+        .withColumn("small", (F.col("size") == size_class(n)) & _enough(F.col("rest"), 2 * n))
+    )
+    met = listed.groupBy(*key).agg(F.max("small").alias("small"), F.min("node").alias("x"), F.max("node").alias("y"), F.min("rank").alias("rank"))
+    return listed.join(met.filter((F.col("rank") <= last) & F.col("small") & (F.col("x") != F.col("y"))), key, "left_semi")
+
+
+def _meetings(small: DataFrame, large: DataFrame, first: str) -> DataFrame:
+    """Pairs of a ``small`` member (a) and a ``large`` one (b) of a group, not smaller, that may be linked: of
+    different labels, in a common bucket and with a common early shingle. ``first``, a or b, is the one of the
+    lower rank."""
+    def side(rows: DataFrame, name: str) -> DataFrame:
+        own = (F.col("node").alias(name), *(F.col(c).alias(f"{c}_{name}") for c in ("n", "label", "bands", "rank", "rest")))
+        return rows.select("pivot", "size", "shingle", *own)
+
+    later = "b" if first == "a" else "a"
+    return side(small.filter("small"), "a").join(side(large, "b"), ["pivot", "size", "shingle"]).filter(
+        (F.col("n_a") <= F.col("n_b")) & (F.col(f"rank_{first}") < F.col(f"rank_{later}")) & (F.col("label_a") != F.col("label_b"))
+        & _enough(F.least("rest_a", "rest_b"), F.col("n_a") + F.col("n_b")) & (F.col("bands_a").bitwiseAND(F.col("bands_b")) != 0)
+    ).select("a", "b")
 
 
 def component_labels(links: DataFrame) -> DataFrame:
@@ -267,34 +313,35 @@ def near_duplicates(df: DataFrame, id_column: str = "doc_id", text_column: str =
     of_pivot = members.filter("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
     compared = written(_against_pivot(of_pivot, texts, kind))
     tried = compared.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    links = compared.filter("linked").select("a", "b")
-    facts = compared.select(F.col("a").alias("pivot"), F.col("b").alias("node"), "fact")
-    members = written(members.join(facts, ["pivot", "node"], "left"))
-    labels = component_labels(links)
+    labels = component_labels(compared.filter("linked").select("a", "b"))
 
-    def labelled() -> DataFrame:
-        of_node = labels.select(F.col("node").alias("n"), "label")
-        return members.join(of_node, members["node"] == F.col("n"), "left").drop("n").withColumn("label", F.coalesce("label", "node"))
+    def labelled(rows: DataFrame) -> DataFrame:
+        of_node = labels.select(F.col("node").alias("n_"), "label")
+        return rows.join(of_node, rows["node"] == F.col("n_"), "left").drop("n_").withColumn("label", F.coalesce("label", "node"))
 
-    # Members outside the component of their pivot take turns, by these ranks.
+    # Members outside the component of their pivot take turns, where their group has more members.
     first = labels.select(F.col("node").alias("pivot"), F.col("label").alias("first"))
-    apart = labelled().join(first, "pivot", "left").filter(F.col("label") != F.coalesce("first", "pivot"))
-    ranks = written(apart.select("pivot", "node", F.row_number().over(Window.partitionBy("pivot").orderBy("node")).alias("rank")))
+    group = labelled(members.filter("node <> pivot")).join(first, "pivot", "left").withColumn("apart", F.col("label") != F.coalesce("first", "pivot"))
+    group = written(group.select("pivot", "node", "bands", "apart"))
+    unsettled = group.groupBy("pivot").agg(F.count("*").alias("size"), F.max("apart").alias("apart")).filter("apart AND size > 1")
+    # Of a pivot with several texts, one orders the shingles.
+    of_text = compared.groupBy(F.col("a").alias("pivot")).agg(F.min("of").alias("of"))
+    entries = compared.select(F.col("a").alias("pivot"), F.col("b").alias("node"), "entry", "of", "n", "beyond", "within")
+    met = written(_early_shingles(entries.join(unsettled.join(of_text, "pivot").select("pivot", "of"), ["pivot", "of"])))
+    turns = met.select("pivot", "node").distinct().join(group.filter("apart"), ["pivot", "node"])
+    ranks = written(turns.select("pivot", "node", F.row_number().over(Window.partitionBy("pivot").orderBy("node")).alias("rank")))
     deepest = ranks.agg(F.max("rank")).first()[0] or 0
+    ranked = met.join(group.select("pivot", "node", "bands"), ["pivot", "node"]).join(ranks, ["pivot", "node"], "left")
+    listed = written(_listed(ranked.withColumn("rank", F.coalesce("rank", F.lit(deepest + 1))), deepest))
     done = 0
     while done < deepest:
         upto = max(ROUND_GROWTH, done * ROUND_GROWTH)
-        rows = written(labelled().filter("node <> pivot").join(ranks, ["pivot", "node"], "left"))
-        turn = rows.filter((F.col("rank") > done) & (F.col("rank") <= upto)).select(
-            "pivot", F.col("node").alias("a"), F.col("label").alias("label_a"), F.col("rank").alias("rank_a"), F.col("fact").alias("fact_a"),
-            F.col("bands").alias("bands_a"),
-        )
         # A lower rank has had its turn with all of the group.
-        across = turn.join(rows, "pivot").filter(
-            (F.col("bands").bitwiseAND(F.col("bands_a")) != 0) & (F.col("label") != F.col("label_a")) & (F.col("rank").isNull() | (F.col("rank") > F.col("rank_a"))) & _may_link(F.col("fact_a"), F.col("fact"))
-        )
+        rows = written(labelled(listed.filter(F.col("rank") > done)))
+        turn = rows.filter(F.col("rank") <= min(upto, deepest))
+        across = _meetings(turn, rows, "a").union(_meetings(rows, turn, "b"))
         pairs = written(
-            across.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
+            across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
         )
         done = upto
         if pairs.isEmpty():

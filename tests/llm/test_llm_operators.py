@@ -228,6 +228,53 @@ def test_buckets_of_one_pivot_are_one_group(spark, documents, monkeypatch):
     assert moved and all(f.count() == f.select("pivot", "node").distinct().count() for f in moved)
 
 
+def test_rejected_variants_make_no_pairs(spark, documents, monkeypatch):
+    """Variants of a long text, each with many shingles of its own, beside two that are linked with each other
+    only: no pair is made of the others, whatever the size of the group, and none meets by the pivot alone."""
+    frames, joins = [], []
+
+    def write(df, write=neardup.written):
+        if df.columns == ["a", "b"]:
+            joins.extend(re.findall(r"Join Inner, (.*)", df._jdf.queryExecution().optimizedPlan().toString()))
+        frames.append(write(df))
+        return frames[-1]
+
+    monkeypatch.setattr(neardup, "written", write)
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(6_000)]
+    docs = {}
+    for i in range(24):
+        words = list(base)
+        for at in rng.sample(range(6_000), 360):
+            words[at] = f"own{i}x{at}"
+        docs[i] = " ".join(words)
+    docs[30] = docs[7] + " and more"
+    docs[31] = " ".join(base)
+    got = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(documents(*docs.items())).collect()}
+    assert got == {i: i for i in docs} | {30: 7}
+    pairs = {tuple(r) for f in frames if f.columns == ["a", "b"] for r in f.collect()}
+    assert {(min(p), max(p)) for p in pairs} == {(7, 30)}
+    in_groups = [j for j in joins if "pivot" in j]
+    assert in_groups and all("shingle" in j for j in in_groups)
+
+
+@pytest.mark.parametrize("step", [0, 1, 7, 40])
+def test_early_shingles_find_every_link_of_a_group(spark, documents, step):
+    """Members of many sizes, some inside others, with words of the pivot, of each other and of their own."""
+    rng = random.Random(step)
+    base = [f"w{i}" for i in range(260)]
+    docs = {}
+    for i in range(90):
+        start = rng.randrange(0, step + 1)
+        words = base[start:start + rng.randrange(150, 230)]
+        for _ in range(rng.randrange(9)):
+            words[rng.randrange(len(words))] = rng.choice((f"x{rng.randrange(6)}", f"own{i}"))
+        docs[i] = " ".join(words)
+    docs[90] = " ".join(base)
+    got = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(documents(*docs.items())).collect()}
+    assert got == _components_by_hand(docs)[0]
+
+
 def test_texts_that_meet_nothing_stay_where_they_are(spark, documents, monkeypatch):
     """Also with too many candidates for a broadcast join, the scan that picks their texts shuffles no text."""
     plans = {}
